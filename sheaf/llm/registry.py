@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from sheaf.llm import exact_dedup, line_dedup
+from sheaf.llm import exact_dedup, line_dedup, pieces
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op3_sentencepiece": pieces.op3_sentencepiece,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     }
 
