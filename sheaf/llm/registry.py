@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sheaf.llm import exact_dedup, line_dedup, pieces
+from sheaf.llm import chat, exact_dedup, line_dedup, pieces
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op3_sentencepiece": pieces.op3_sentencepiece,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+        "op8_chat_formatting": chat.op8_chat_formatting,
     }
 
 
@@ -17,4 +18,5 @@ def oracles() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup.ORACLE,
         "op5_exact_dedup": exact_dedup.ORACLE,
+        "op8_chat_formatting": chat.ORACLE,
     }
