@@ -21,11 +21,17 @@ def occurrences(docs: DataFrame, least: int = 20) -> DataFrame:
     return rows.select("doc_id", "th", "pos", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit("line"), F.col("k")).alias("h2"))
 
 
+def _prefix():
+    """The first 48 bits of h1: percentile_approx computes in doubles, which hold them exactly."""
+    return F.shiftright("h1", 16)
+
+
 def hot_hashes(occ: DataFrame, n: int) -> list[int]:
-    """Hashes that hold more than about 1/n of all rows: those that fill two neighbouring
-    n-quantiles. At most n/2 values, whatever the size of the table."""
-    cuts = [i / n for i in range(1, n)] or [0.5]
-    got = occ.agg(F.percentile_approx("h1", cuts, 10 * n + 1000).alias("q")).first()["q"] or []
+    """Prefixes of hashes that hold more than about 1/4n of all rows: those that fill two
+    neighbouring 4n-quantiles. At most 2n values, whatever the size of the table."""
+    n *= 4
+    cuts = [i / n for i in range(1, n)]
+    got = occ.agg(F.percentile_approx(_prefix(), cuts, 10 * n + 1000).alias("q")).first()["q"] or []
     return sorted({a for a, b in zip(got, got[1:]) if a == b})
 
 
@@ -34,21 +40,21 @@ def dropped_lines(occ: DataFrame, n: int, least_docs: int = 3) -> DataFrame:
 
     Hashes are dealt by range and sorted within, each by document (largest first) and position;
     a pass in that order sees the first line of each document. A hot hash is not dealt at all:
-    its documents are counted with partial sums, and its two figures (at most n/2 hashes, so
+    its documents are counted with partial sums, and its two figures (at most 2n hashes, so
     broadcast) go to its rows where they are.
     """
     hot = hot_hashes(occ, n)
     key = ["h1", "h2"]
     order = Window.partitionBy(*key).orderBy(F.col("doc_id").desc_nulls_last(), "th", "pos")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cold = occ.where(~F.col("h1").isin(hot)) if hot else occ
+    cold = occ.where(~_prefix().isin(hot)) if hot else occ
     cold = cold.repartitionByRange(n, *key).sortWithinPartitions(F.col("h1"), F.col("h2"), F.col("doc_id").desc_nulls_last(), "th", "pos")
     new_doc = (F.row_number().over(order) == 1) | ~F.lag("doc_id").over(order).eqNullSafe(F.col("doc_id"))
     cold = cold.withColumn("fresh", new_doc.cast("int")).withColumn("docs", F.sum("fresh").over(whole)).withColumn("top", F.first("doc_id").over(whole))
     gone = (F.col("docs") >= least_docs) & ~F.col("doc_id").eqNullSafe(F.col("top"))
     out = cold.where(gone).select("doc_id", "th", "pos")
     if hot:
-        rows = occ.where(F.col("h1").isin(hot))
+        rows = occ.where(_prefix().isin(hot))
         sums = rows.groupBy(*key, "doc_id").agg(F.lit(1).alias("one")).groupBy(*key).agg(F.count("*").alias("docs"), F.max("doc_id").alias("top"))
         out = out.unionByName(rows.join(F.broadcast(sums), key).where(gone).select("doc_id", "th", "pos"))
     return out
