@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sheaf.llm import chat, exact_dedup, line_dedup, pieces
+from sheaf.llm import chat, exact_dedup, line_dedup, pieces, pii
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op3_sentencepiece": pieces.op3_sentencepiece,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
         "op8_chat_formatting": chat.op8_chat_formatting,
+        "op9_personal_data": pii.op9_personal_data,
     }
 
 
