@@ -37,6 +37,7 @@ class Model:
         if m.trainer_spec.model_type != 2 or not m.trainer_spec.byte_fallback or norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.add_dummy_prefix:
             raise ValueError("only BPE models with byte fallback, identity normaliser, dummy prefix and kept blanks")
         self.text = [p.piece for p in m.pieces]
+        self.size = [len(p) for p in self.text]
         self.score = [p.score for p in m.pieces]
         self.ids = {p.piece: i for i, p in enumerate(m.pieces) if p.type == NORMAL}
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(m.pieces) if p.type == BYTE}
@@ -51,7 +52,7 @@ class Model:
             raise ValueError("a character of a piece is no piece")
         self.back = ahocorasick.Automaton()
         for p, i in own.items():
-            self.back.add_word(p[::-1], (len(p), i))
+            self.back.add_word(p[::-1], i)
         self.back.make_automaton()
         self.own = own
         self.shorter = self._prefixes(own)
@@ -106,29 +107,33 @@ class Model:
         """Pieces of a string over the alphabet, with a space at its start at most."""
         n = len(s)
         longest = [-1] * n
-        size = [0] * n
-        for end, (k, i) in self.back.iter(s[::-1]):
-            at = n - 1 - end
-            if k > size[at]:
-                size[at], longest[at] = k, i
-        open_ = bytearray(b"\xff" * (n // 8 + 1))  # a bit for each position
+        for end, i in self.back.iter(s[::-1]):  # of those that end at one place, the longest comes first
+            if longest[n - 1 - end] < 0:
+                longest[n - 1 - end] = i
+        size, pairs, shorter = self.size, self.pairs, self.shorter
+        failed = bytearray()  # a bit for each position, made when first needed
         out: list[int] = []
-        pos, piece = 0, longest[0]
+        pos, piece, last = 0, longest[0], -1
         while pos < n:
-            last = out[-1] if out else -1
             while True:
-                end = pos + len(self.text[piece])
-                if open_[end >> 3] >> (end & 7) & 1 and (last < 0 or self.compatible(last, piece)):
-                    out.append(piece)
-                    pos = end
-                    piece = longest[pos] if pos < n else -1
-                    break
-                if (piece := self.shorter.get(piece, -1)) < 0:
-                    open_[pos >> 3] &= ~(1 << (pos & 7))
+                end = pos + size[piece]
+                if not failed or not failed[end >> 3] >> (end & 7) & 1:
+                    fits = True if last < 0 else pairs.get(last << 32 | piece)
+                    if fits is None:
+                        fits = self.compatible(last, piece)
+                    if fits:
+                        out.append(piece)
+                        pos, last = end, piece
+                        piece = longest[pos] if pos < n else -1
+                        break
+                if (piece := shorter.get(piece, -1)) < 0:
+                    failed = failed or bytearray(n // 8 + 1)
+                    failed[pos >> 3] |= 1 << (pos & 7)
                     if last < 0:
                         raise ValueError("no segmentation")
                     piece = out.pop()
-                    pos -= len(self.text[piece])
+                    pos -= size[piece]
+                    last = out[-1] if out else -1
                     break
         return out
 
@@ -146,15 +151,18 @@ class Model:
         n = len(s) - len(body)
         if not body:
             return self.spaces(n)
-        out: list[int] = []
-        start = 0
         text = (SPACE if n else "") + body
-        for i in [i for i, c in enumerate(text) if c not in self.alphabet] + [len(text)]:
-            if start < i:
-                out += self.backtrack(text[start:i])
-            if i < len(text):
-                out += [self.byte[b] for b in text[i].encode()]
-            start = i + 1
+        out: list[int] = []
+        if self.alphabet.issuperset(body):
+            out = self.backtrack(text)
+        else:
+            start = 0
+            for i in [i for i, c in enumerate(text) if c not in self.alphabet] + [len(text)]:
+                if start < i:
+                    out += self.backtrack(text[start:i])
+                if i < len(text):
+                    out += [self.byte[b] for b in text[i].encode()]
+                start = i + 1
         if n and out[0] == self.ids[SPACE]:  # the last space did not merge with the word
             return self.spaces(n) + out[1:]
         return self.spaces(n - 1) + out if n > 1 else out
@@ -166,12 +174,18 @@ class Model:
     def encode(self, text: str) -> list[int]:
         return [i for w in self.split(text) for i in self.word(w)]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of the ids, without the dummy prefix."""
+    def plain(self, ids: list[int]) -> str:
+        """The text of the ids, byte pieces put together."""
+        if self.byte_of.keys().isdisjoint(ids):
+            return "".join([self.text[i] for i in ids]).replace(SPACE, " ")
         out = bytearray()
         for i in ids:
             out += bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].replace(SPACE, " ").encode()
-        s = out.decode("utf-8", "replace")
+        return out.decode("utf-8", "replace")
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of the ids, without the dummy prefix."""
+        s = self.plain(ids)
         return s[1:] if ids and self.text[ids[0]].startswith(SPACE) else s
 
 
@@ -191,7 +205,7 @@ class Words(dict):
             self[w] = got
             return got
         ids = self.model.word(w)
-        got = (",".join(map(str, ids)), len(ids), b"".join(bytes([b]) if (b := self.model.byte_of.get(i)) is not None else self.model.text[i].encode() for i in ids).decode().replace(SPACE, " "))
+        got = (",".join(map(str, ids)), len(ids), self.model.plain(ids))
         if len(self) >= MOST_WORDS:
             self.old = dict(self)
             self.clear()
