@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sheaf.llm import chat, exact_dedup, line_dedup, pieces, pii
+from sheaf.llm import chat, exact_dedup, licenses, line_dedup, pieces, pii
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op3_sentencepiece": pieces.op3_sentencepiece,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+        "op7_license_scan": licenses.op7_license_scan,
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_personal_data": pii.op9_personal_data,
     }
