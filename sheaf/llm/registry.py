@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sheaf.llm import chat, exact_dedup, licenses, line_dedup, pieces, pii
+from sheaf.llm import chat, exact_dedup, licenses, line_dedup, pieces, pii, warc
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op3_sentencepiece": pieces.op3_sentencepiece,
+        "op4_warc": warc.op4_warc,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
         "op7_license_scan": licenses.op7_license_scan,
         "op8_chat_formatting": chat.op8_chat_formatting,
@@ -19,6 +20,7 @@ def queries() -> dict:
 def oracles() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup.ORACLE,
+        "op4_warc": warc.ORACLE,
         "op5_exact_dedup": exact_dedup.ORACLE,
         "op8_chat_formatting": chat.ORACLE,
     }
