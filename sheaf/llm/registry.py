@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from sheaf.llm import chat, exact_dedup, licenses, line_dedup, pieces, pii, warc
+from sheaf.llm import chat, exact_dedup, licenses, line_dedup, pieces, pii, quality, warc
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op2_quality_classifier": quality.op2_quality_classifier,
         "op3_sentencepiece": pieces.op3_sentencepiece,
         "op4_warc": warc.op4_warc,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
