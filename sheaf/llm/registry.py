@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sheaf.llm import chat, exact_dedup, licenses, line_dedup, pieces, pii, quality, warc
+from sheaf.llm import chat, decontaminate, exact_dedup, licenses, line_dedup, pieces, pii, quality, warc
 
 
 def queries() -> dict:
@@ -15,6 +15,7 @@ def queries() -> dict:
         "op7_license_scan": licenses.op7_license_scan,
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_personal_data": pii.op9_personal_data,
+        "op10_decontamination": decontaminate.op10_decontamination,
     }
 
 

@@ -59,3 +59,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Ids that are broadcast at most (4 MB); beyond that the rows are joined by shuffle.
+MOST_IDS = 500_000
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, most: int = MOST_IDS) -> DataFrame:
+    """The rows whose doc_id is not among ``ids`` (doc_id). Rows with a null doc_id stay."""
+    ids = stored(ids.where("doc_id IS NOT NULL").distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", "left_anti").select(*docs.columns)
