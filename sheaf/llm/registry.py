@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sheaf.llm import chat, decontaminate, exact_dedup, licenses, line_dedup, pieces, pii, quality, warc
+from sheaf.llm import chat, decontaminate, exact_dedup, licenses, line_dedup, near_dedup, pieces, pii, quality, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_sentencepiece": pieces.op3_sentencepiece,
         "op4_warc": warc.op4_warc,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+        "op6_near_dedup": near_dedup.op6_near_dedup,
         "op7_license_scan": licenses.op7_license_scan,
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_personal_data": pii.op9_personal_data,
@@ -24,5 +25,6 @@ def oracles() -> dict[str, str]:
         "op1_line_dedup": line_dedup.ORACLE,
         "op4_warc": warc.ORACLE,
         "op5_exact_dedup": exact_dedup.ORACLE,
+        "op6_near_dedup": near_dedup.ORACLE,
         "op8_chat_formatting": chat.ORACLE,
     }
