@@ -30,12 +30,19 @@ TEMPLATES = (
     ("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software released into the public domain",)),
 )
-#: Words of fewer letters are in the index only as part of a key phrase.
+#: Words of fewer letters are in the index only as part of a key phrase, and these never.
 LEAST_LETTERS = 5
+COMMON = frozenset("a and any are be by fee for free in into is it met of or that the this to with".split())
 
 
 def _phrase_words() -> list[str]:
-    return sorted({w for p, _ in BASE for w in p.split()} | {w for _, _, ps in TEMPLATES for p in ps for w in p.split()})
+    return sorted(({w for p, _ in BASE for w in p.split()} | {w for _, _, ps in TEMPLATES for p in ps for w in p.split()}) - COMMON)
+
+
+def offset(text: str, phrase: str) -> int:
+    """Place in the text of the phrase's first word that is in the index."""
+    at = f" {text} ".index(f" {phrase} ")
+    return len(text[:at].split()) + next(j for j, w in enumerate(phrase.split()) if w not in COMMON)
 
 
 def vocabulary() -> list[str]:
@@ -54,15 +61,16 @@ def scanned(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "th", F.size("w").cast("long").alias("n_words"), hits.alias("hits"))
 
 
-def phrase_at(hits: Column, phrase: str, first: Column | None = None) -> Column:
-    """Starts of a phrase of licence words among the hits; they stand side by side there."""
-    ws = phrase.split()
+def phrase_at(hits: Column, phrase: str) -> Column:
+    """Places of a phrase's first indexed word where all its indexed words stand at their
+    distances. They are neighbours among the hits, as no word between them is indexed."""
+    ws = [(j, w) for j, w in enumerate(phrase.split()) if w not in COMMON]
 
     def starts(x: Column, k: Column) -> Column:
-        out = x["w"] == ws[0]
-        for j, w in enumerate(ws[1:], 1):
-            n = F.get(hits, k + j)
-            out = out & F.coalesce((n["w"] == w) & (n["i"] == x["i"] + j), F.lit(False))
+        out = x["w"] == ws[0][1]
+        for n, (j, w) in enumerate(ws[1:], 1):
+            y = F.get(hits, k + n)
+            out = out & F.coalesce((y["w"] == w) & (y["i"] == x["i"] + (j - ws[0][0])), F.lit(False))
         return out
 
     return F.transform(F.filter(hits, starts), lambda x: x["i"])
@@ -107,9 +115,7 @@ def license_labels(rows: DataFrame, top: int = 8, least_share: float = 0.5) -> D
         for t, (_, text, phrases) in enumerate(TEMPLATES):
             ok = a["t"] == t
             for p in phrases:
-                off = f" {text} ".index(f" {p} ")
-                off = len(text[:off].split())
-                ok = ok & F.array_contains(phrase_at(F.col("hits"), p), a["shift"] + off)
+                ok = ok & F.array_contains(phrase_at(F.col("hits"), p), a["shift"] + offset(text, p))
             out = out | ok
         return out
 
