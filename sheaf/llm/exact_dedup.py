@@ -83,18 +83,18 @@ def exact_dedup(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
-    """The documents that stay, with their columns. Only those that may repeat shuffle; the
+    """The documents that stay, with all their columns. Only those that may repeat shuffle; the
     others pass straight through with their texts."""
     names = docs.columns
     rows = stored(docs.select("doc_id", F.char_length(text_of()).alias("n_cp"), text_digest().alias("sha")), "digests")
     found = repeat_filter(rows, most_bits)
-    groups = groups_of(mark_possible(rows, found).where("possible").select("doc_id", "n_cp", "sha"))
-    gone = mark_possible(rows, found).where("possible").join(groups, "sha").where(~F.col("doc_id").eqNullSafe(F.col("keep")))
+    possible = mark_possible(rows, found).where("possible").select("doc_id", "n_cp", "sha")
+    gone = possible.join(groups_of(possible), "sha").where(~F.col("doc_id").eqNullSafe(F.col("keep")))
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"))
-    marked = mark_possible(docs.withColumn("_digest", text_digest()), found, "_digest")
-    once = marked.where("NOT possible").select(*names)
-    rest = marked.where("possible").join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")), "left_anti").select(*names)
-    return once.unionByName(rest)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text_digest().alias("sha"))  # no name can clash inside
+    marked = mark_possible(whole, found)
+    rest = marked.where("possible").join(gone, F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")), "left_anti")
+    return marked.where("NOT possible").select("row.*").unionByName(rest.select("row.*"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,15 +91,18 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3) -> DataFra
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with n_lines, n_dropped and ``kept``, the text of the lines that stay."""
+    """``docs`` with n_lines, n_dropped and ``kept``, the text of the lines that stay; columns
+    of these names are replaced."""
     maps = bitmaps.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "runs")
-    rows = docs.withColumn("_h", F.xxhash64(text_of())).join(maps, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
-    rows = rows.withColumn("_lines", _lines()).withColumn("n_lines", F.size("_lines").cast("long"))
+    old = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "kept")]
+    rows = docs.select(F.struct(*old).alias("row"), F.col("doc_id").alias("_doc"), text_of().alias("t"), F.xxhash64(text_of()).alias("_h"))
+    rows = rows.join(maps, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
+    rows = rows.withColumn("lines", F.split("t", "\n", -1))
     sizes = F.transform("runs", lambda r: (r["last"] - r["first"] + 1).cast("long"))
     lost = F.coalesce(F.aggregate(sizes, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
-    left = F.array_compact(F.zip_with("_lines", bits_of(F.col("runs"), F.size("_lines")), lambda x, k: F.when(k, x)))
-    kept = F.when(F.col("runs").isNull(), text_of()).otherwise(F.array_join(left, "\n"))
-    return rows.withColumns({"n_dropped": lost, "kept": kept}).drop("_id", "_th", "_h", "_lines", "runs")
+    left = F.array_compact(F.zip_with("lines", bits_of(F.col("runs"), F.size("lines")), lambda x, k: F.when(k, x)))
+    kept = F.when(F.col("runs").isNull(), F.col("t")).otherwise(F.array_join(left, "\n"))
+    return rows.select("row.*", F.size("lines").cast("long").alias("n_lines"), lost.alias("n_dropped"), kept.alias("kept"))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,7 +220,8 @@ def hub_pairs(hubs: DataFrame, classes: DataFrame, least: int = LEAST_ALIKE) ->
 
 
 def whole_sets(docs: DataFrame, reps: DataFrame, width: int = WIDTH) -> DataFrame:
-    """rep, items (the sorted set, 8 bytes each) of the classes in ``reps`` (rep, set_id)."""
+    """rep, items (the sorted set, 8 bytes each) of the classes in ``reps`` (rep, set_id, and
+    ``first``, a document that has the set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = codes()
@@ -233,7 +234,7 @@ def whole_sets(docs: DataFrame, reps: DataFrame, width: int = WIDTH) -> DataFram
                     items.append(s)
             yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(items, pa.binary())], ["rep", "items"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(reps, "rep").select("rep", "set_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(reps, "first").select("rep", "set_id", "text")
     return rows.mapInArrow(run, "rep long, items binary").dropDuplicates(["rep"])
 
 
@@ -271,7 +272,7 @@ def confirmed(members: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFr
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(rep, part): each linked class and the smallest class that it reaches, by alternating
+    """(rep, part): each linked class and the class of the smallest name that it reaches, by alternating
     large and small stars. Rounds grow with the logarithm of the parts' size; each is written to
     the shared folder."""
     links = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
@@ -293,18 +294,18 @@ def near_components(docs: DataFrame, width: int = WIDTH, least: int = LEAST, sma
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Sets are of ``width``-word shingles of the A-Z lower-cased text, or of all words where there
-    are fewer. Null or empty texts, and texts of blanks, have none and are linked with nothing;
-    so are rows with a null doc_id, whose component_id is null. Rows that share a doc_id are
-    separate sets with one id. Equal sets are linked. An empty table gives no rows; other
-    columns are not read.
+    are fewer. Null or empty texts, and texts of blanks, have none and are linked with nothing.
+    Equal sets are linked. Rows that share a doc_id are sets of their own. A null doc_id is
+    linked by an equal set only, and is never a component_id, unless nothing else is linked
+    with it. An empty table gives no rows; other columns are not read.
     """
     rows = stored(signatures(docs, width), "signatures")
-    classes = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"), F.first("sig").alias("sig"), F.first("low").alias("low"))
-    classes = stored(classes, "classes")
+    classes = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("size"), F.first("sig").alias("sig"), F.first("low").alias("low"))
+    classes = stored(classes.withColumn("rep", F.xxhash64("set_id")), "classes")
     placed, hubs = nodes(classes, small)
     found = clusters(placed.join(classes.select("rep", "low"), "rep"))
     found = stored(found.unionByName(hub_pairs(hubs, classes)).groupBy("cluster", "rep").agg(F.min("tree").alias("tree")), "clusters")
-    need = found.select("rep").distinct().join(classes.select("rep", "set_id"), "rep")
+    need = found.select("rep").distinct().join(classes.select("rep", "set_id", "first"), "rep")
     sets = stored(whole_sets(docs, need, width), "sets")
     lows = classes.select("rep", "low")
     # The hubs and two trees give most links; then only clusters that may join parts count.
@@ -315,10 +316,11 @@ def near_components(docs: DataFrame, width: int = WIDTH, least: int = LEAST, sma
     late = named.join(open_, "cluster").join(lows, "rep").select("cluster", "rep", "low", "part")
     links = parts.select(F.col("rep").alias("a"), F.col("part").alias("b")).unionByName(confirmed(late, sets, least))
     parts = components(links)
-    ends = classes.select("set_id", "rep").join(parts, "rep", "left").select("set_id", F.coalesce("part", "rep").alias("part"))
-    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    out = rows.where(linked).select("doc_id", "n_shingles", "set_id").join(ends, "set_id").select("doc_id", "n_shingles", F.col("part").alias("component_id"))
-    alone = rows.where(~linked).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    ends = stored(classes.select("set_id", "rep", "first").join(parts, "rep", "left").select("set_id", "first", F.coalesce("part", "rep").alias("part")), "ends")
+    least_ids = ends.groupBy("part").agg(F.min("first").alias("component_id"))
+    ends = ends.join(least_ids, "part").select("set_id", "component_id")
+    out = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "set_id").join(ends, "set_id").select("doc_id", "n_shingles", "component_id")
+    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

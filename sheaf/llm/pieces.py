@@ -236,7 +236,7 @@ def encoded(docs: DataFrame, model_file: str, ids: bool = False) -> DataFrame:
     with open(model_file, "rb") as f:
         data = docs.sparkSession.sparkContext.broadcast(f.read())
     new = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()} | ({"ids": pa.list_(pa.int32())} if ids else {})
-    docs = docs.drop(*[c for c in docs.columns if c in new])
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in new])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model_of(data.value)
