@@ -102,7 +102,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     lost = F.coalesce(F.aggregate(sizes, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
     left = F.array_compact(F.zip_with("lines", bits_of(F.col("runs"), F.size("lines")), lambda x, k: F.when(k, x)))
     kept = F.when(F.col("runs").isNull(), F.col("t")).otherwise(F.array_join(left, "\n"))
-    return rows.select("row.*", F.size("lines").cast("long").alias("n_lines"), lost.alias("n_dropped"), kept.alias("kept"))
+    rows = rows.select("row", F.struct(F.size("lines").cast("long").alias("n_lines"), lost.alias("n_dropped"), kept.alias("kept")).alias("new"))
+    return rows.select("row.*", "new.*")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
