@@ -13,6 +13,7 @@ trees lose one of 0.85 in a small node with 0.15 ** 12, three levels deep with 0
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sheaf.llm.shared import partitions, stored
 
-FUNCTIONS, TREES, STEP, SMALL = 64, 12, 5, 256
+FUNCTIONS, TREES, STEP, SMALL = 64, 12, 5, 2048
 #: Of 64 signature bytes, so many must agree: 0.62 against 0.85 is over five standard deviations.
 LEAST_ALIKE = 40
 WIDTH, LEAST = 3, 85
@@ -98,7 +99,7 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, sig binary, low binary")
 
 
-def _token(tree, depth: int):
+def _token(tree, depth):
     """The path's token at a depth, four bytes of the signature."""
     return F.substring(F.col("sig"), (4 * ((tree * STEP + depth) % FUNCTIONS) + 1).cast("int"), F.lit(4))
 
@@ -106,14 +107,15 @@ def _token(tree, depth: int):
 def nodes(classes: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
     """(node, tree, rep) of nodes with 2 to ``small`` classes, and (hub, rep) for those that had more.
 
-    Level by level; a level takes only the classes of larger nodes. At the last level what is
-    still together agrees in all FUNCTIONS tokens; it is cut into runs of ``small`` classes, and
-    the hub, compared with all, ties these together.
+    Level by level; a level takes only the classes of larger nodes, and their paths grow by as
+    many tokens as would make them small if classes agreed in 0.7 of them. At the last level what
+    is still together agrees in all FUNCTIONS tokens; it is cut into runs of ``small`` classes,
+    and the hub, compared with all, ties these together.
     """
     rows = classes.select("rep", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig", "size")
-    rows = rows.select("rep", "size", "tree", F.xxhash64("tree", _token(F.col("tree"), 0)).alias("node"))
+    rows = rows.select("rep", "size", "tree", F.lit(1).alias("depth"), F.xxhash64("tree", _token(F.col("tree"), F.lit(0))).alias("node"))
     done, hubs = None, None
-    for depth in range(1, FUNCTIONS + 1):
+    while True:
         sums = rows.groupBy("node").agg(F.count("*").alias("n"), F.max(F.struct(F.col("size"), (-F.col("rep")).alias("neg"))).alias("top")).where("n > 1")
         met = stored(rows.join(sums.select("node", "n", (-F.col("top.neg")).alias("hub")), "node"), "nodes")
         here = met.where(F.col("n") <= small).select("node", "tree", "rep")
@@ -123,12 +125,12 @@ def nodes(classes: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]
             break
         star = large.where("rep <> hub").select("hub", "rep")
         hubs = star if hubs is None else hubs.unionByName(star)
-        if depth == FUNCTIONS:
-            run = F.xxhash64("node", F.floor(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) * small / (F.col("n") + 1)))
-            done = done.unionByName(large.select(run.alias("node"), "tree", "rep"))
-            break
-        rows = large.select("rep", "size", "tree", "node").join(classes.select("rep", "sig"), "rep")
-        rows = rows.select("rep", "size", "tree", F.xxhash64("node", _token(F.col("tree"), depth)).alias("node"))
+        run = F.xxhash64("node", F.floor(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) * F.ceil(F.col("n") / small) / (1 << 30)))
+        done = done.unionByName(large.where(F.col("depth") == FUNCTIONS).select(run.alias("node"), "tree", "rep"))
+        more = F.greatest(F.lit(1), F.floor(F.log(F.col("n") / small) / math.log(1 / 0.7)).cast("int"))
+        rows = large.where(F.col("depth") < FUNCTIONS).withColumn("to", F.least(F.lit(FUNCTIONS), F.col("depth") + more)).select("rep", "size", "tree", "depth", "to", "node").join(classes.select("rep", "sig"), "rep")
+        path = F.aggregate(F.sequence(F.col("depth"), F.col("to") - 1), F.col("node"), lambda a, d: F.xxhash64(a, _token(F.col("tree"), d)))
+        rows = rows.select("rep", "size", "tree", F.col("to").alias("depth"), path.alias("node"))
     if hubs is None:
         hubs = classes.limit(0).select(F.col("rep").alias("hub"), "rep")
     return done, hubs.distinct()
@@ -157,11 +159,51 @@ def _bounds(t: pa.Table, key: str) -> tuple[pa.Table, np.ndarray]:
     return t, np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]])
 
 
-def _find(up: list[int], i: int) -> int:
-    while up[i] != i:
-        up[i] = up[up[i]]
-        i = up[i]
-    return i
+def _parts(near: np.ndarray) -> Iterator[list[tuple[int, int]]]:
+    """Connected parts of a symmetric matrix, each as (place, the place it was reached from)."""
+    open_ = np.ones(len(near), bool)
+    for seed in range(len(near)):
+        if not open_[seed]:
+            continue
+        open_[seed] = False
+        part = [(seed, seed)]
+        for i, _ in part:  # grows while it is walked
+            new = np.flatnonzero(near[i] & open_)
+            open_[new] = False
+            part += [(int(j), i) for j in new]
+        yield part
+
+
+def _alike(low: np.ndarray, least: int) -> np.ndarray:
+    out = np.empty((len(low), len(low)), bool)
+    for i in range(len(low)):
+        out[i] = (low == low[i]).sum(axis=1) >= least
+    return out
+
+
+def _shared(own: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
+    """Sizes of the sets' intersections, at least where ``pairs`` is true: by pair if these are
+    few, else by products of membership matrices over the items that two sets or more have."""
+    n = len(own)
+    out = np.zeros((n, n), np.float32)
+    at = np.argwhere(np.triu(pairs, 1))
+    if len(at) <= 4 * n:
+        for i, j in at:
+            out[i, j] = out[j, i] = len(np.intersect1d(own[i], own[j], assume_unique=True))
+        return out
+    _, item, count = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+    often = count > 1
+    column = (np.cumsum(often) - 1)[item]
+    row = np.repeat(np.arange(n), [len(x) for x in own])
+    row, column = row[often[item]], column[often[item]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(often.sum()), 4096):
+        a, z = np.searchsorted(column, [first, first + 4096])
+        m = np.zeros((n, 4096), np.float32)
+        m[row[a:z], column[a:z] - first] = 1
+        out += m @ m.T
+    return out
 
 
 def clusters(placed: DataFrame, least: int = LEAST_ALIKE) -> DataFrame:
@@ -178,17 +220,9 @@ def clusters(placed: DataFrame, least: int = LEAST_ALIKE) -> DataFrame:
             alike = two[(low[two] == low[two + 1]).sum(axis=1) >= least]
             parts = [(trees[i], reps[i : i + 2]) for i in alike.tolist()]
             for a, n in zip(at[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                own = low[a : a + n]
-                up = list(range(n))
-                near = np.empty((n, n), bool)
-                for i in range(n):
-                    near[i] = (own == own[i]).sum(axis=1) >= least
-                for i, j in zip(*np.nonzero(np.triu(near, 1))):
-                    up[_find(up, int(i))] = _find(up, int(j))
-                root = np.array([_find(up, i) for i in range(n)])
-                for r in np.unique(root):
-                    if (root == r).sum() > 1:
-                        parts.append((trees[a], reps[a : a + n][root == r]))
+                for part in _parts(_alike(low[a : a + n], least)):
+                    if len(part) > 1:
+                        parts.append((trees[a], reps[a : a + n][[i for i, _ in part]]))
             for tree, p in parts:
                 p = np.unique(p)
                 told += [int(tree)] * len(p)
@@ -249,21 +283,14 @@ def confirmed(members: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFr
             items = t.column("items")
             out: list[tuple[int, int]] = []
             for a, z in zip(at[:-1].tolist(), at[1:].tolist()):
-                first: dict[int, int] = {}
-                up = [first.setdefault(p, i) for i, p in enumerate(part[a:z].tolist())]
                 own = [np.frombuffer(items[i].as_py(), np.uint64) for i in range(a, z)]
-                for i in range(z - a - 1):
-                    near = np.flatnonzero((low[a + i + 1 : z] == low[a + i]).sum(axis=1) >= LEAST_ALIKE) + i + 1
-                    for j in near.tolist():
-                        if _find(up, i) == _find(up, j):
-                            continue
-                        x, y = own[i], own[j]
-                        if 100 * min(len(x), len(y)) < least * max(len(x), len(y)):
-                            continue
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        if 100 * both >= least * (len(x) + len(y) - both):
-                            up[_find(up, i)] = _find(up, j)
-                            out.append((int(max(reps[a + i], reps[a + j])), int(min(reps[a + i], reps[a + j]))))
+                size = np.array([len(x) for x in own])
+                same = part[a:z, None] == part[None, a:z]
+                may = _alike(low[a:z], LEAST_ALIKE) & ~same & (100 * np.minimum.outer(size, size) >= least * np.maximum.outer(size, size))
+                both = _shared(own, may)
+                linked = may & (100 * both >= least * (np.add.outer(size, size) - both))
+                for found in _parts(linked | same):
+                    out += [(int(max(reps[a + i], reps[a + j])), int(min(reps[a + i], reps[a + j]))) for i, j in found if linked[i, j]]
             yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     n = partitions(members.sparkSession)
@@ -280,7 +307,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         links = stored(small.where("a <> b").distinct(), "links")
