@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import stored, without_ids
+from sheaf.llm.shared import held, stored, without_ids
 
 WINDOW = 8
 #: Words of a template window that must not be slots.
@@ -130,7 +130,7 @@ def document_windows(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast((hashes, table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _codes()
+        codes = held("decontaminate", Codes)
         known, maybe = sent.value
 
         def wanted(h: np.ndarray) -> np.ndarray:
@@ -145,15 +145,6 @@ def document_windows(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, {SHAPE}")
 
 
-_CODES: list[Codes] = []
-
-
-def _codes() -> Codes:
-    if not _CODES:
-        _CODES.append(Codes())
-    return _CODES[0]
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> DataFrame:
     """A row per document and item that it holds: doc_id, item_id, n_windows (of the item),
     n_plain (its windows that stand in the document as they are), n_template (also as a

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import partitions, stored
+from sheaf.llm.shared import held, partitions, stored
 
 FUNCTIONS, TREES, STEP, SMALL = 64, 12, 5, 2048
 #: Of 64 signature bytes, so many must agree: 0.62 against 0.85 is over five standard deviations.
@@ -46,13 +46,8 @@ class Codes(dict):
         return h
 
 
-_CODES: list[Codes] = []
-
-
 def codes() -> Codes:
-    if not _CODES:
-        _CODES.append(Codes())
-    return _CODES[0]
+    return held("near_dedup", Codes)
 
 
 def shingles(text: str | None, memo: Codes, width: int = WIDTH) -> np.ndarray:

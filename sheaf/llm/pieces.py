@@ -18,6 +18,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from sheaf.llm.shared import held
+
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: Entries of the memos of a Python worker: words of a generation, and pairs.
@@ -214,15 +216,9 @@ class Words(dict):
         return got
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def model_of(data: bytes) -> Model:
     """One model a Python process."""
-    key = hashlib.sha256(data).hexdigest()
-    if key not in _MODELS:
-        _MODELS[key] = Model(data)
-    return _MODELS[key]
+    return held("pieces " + hashlib.sha256(data).hexdigest(), lambda: Model(data))
 
 
 def encoded(docs: DataFrame, model_file: str, ids: bool = False) -> DataFrame:

@@ -57,6 +57,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held(owner: str, make):
+    """What a Python worker keeps between tasks. Workers are used again by other operators, so
+    what the last owner held goes when another comes."""
+    if owner not in _HELD:
+        _HELD.clear()
+        _HELD[owner] = make()
+    return _HELD[owner]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
