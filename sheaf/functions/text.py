@@ -20,8 +20,8 @@ _HALF = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F))
 
 def split_lines(c: Column) -> Column:
     """str.splitlines(): no empty line after a final line end, none for an empty text."""
-    parts = F.split(c, LINE_END, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    cut = lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p)
+    return F.transform(F.array(F.split(c, LINE_END, -1)), cut)[0]  # bound by a lambda, so that it is split once
 
 
 def strip(c: Column) -> Column:

@@ -75,11 +75,10 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of a document by array functions on its lines: no explode, no shuffle."""
-    ls = text.split_lines(F.col("text"))
-    n = lambda f: F.size(F.filter(ls, f)).cast("long")
-    return table(spark, sf_dir, "documents").select(
+    n = lambda f: F.size(F.filter("ls", f)).cast("long")
+    return table(spark, sf_dir, "documents").withColumn("ls", text.split_lines(F.col("text"))).select(
         "doc_id",
-        F.size(ls).cast("long").alias("n_lines"),
+        F.size("ls").cast("long").alias("n_lines"),
         F.char_length("text").cast("long").alias("n_chars"),
         n(lambda x: x.startswith("#")).alias("n_headings"),
         n(lambda x: F.trim(x) == "---").alias("n_breaks"),
