@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions import text as T
 from sheaf.operators import ledger, sampling, spans
-from sheaf.plans import catalog, library  # noqa: F401
+from sheaf.plans import catalog, exam_queries, library  # noqa: F401
 from sheaf.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
