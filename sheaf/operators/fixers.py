@@ -226,3 +226,50 @@ def item_issues(item: Column, n_lines: Column) -> Column:
         "DISPUTED": (item["status"] == "disputed") & has(item["value_text"]),
     }
     return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in flags.items()]))
+
+
+def image_options(lines: Column, start: Column, end: Column) -> Column:
+    """Options that are images with their letters below: array<struct<label, start_line,
+    end_line>>, in order from A."""
+    found = F.filter(
+        F.transform(F.sequence(start, F.greatest(end - 1, start)), lambda n: F.struct(F.regexp_extract(F.coalesce(_at(lines, n + 1), F.lit("")), r"^\s*<div[^>]*>\s*([A-H])\s*</div>", 1).alias("label"), n.alias("start_line"), (n + 1).alias("end_line"))),
+        lambda o: (o["label"] != "") & _at(lines, o["start_line"]).rlike(r"<img\s"),
+    )
+    return F.filter(found, lambda o, i: o["label"] == F.substr(F.lit("ABCDEFGH"), i + 1, F.lit(1)))
+
+
+def pull_tables(papers: DataFrame) -> DataFrame:
+    """Stems that name a table below them reach over the table lines that follow, up to the next
+    unit and if no span has them yet."""
+    rows = _text(papers).withColumn("_in", covered(F.col("units")))
+    lines = F.col("lines")
+
+    def fixed(u: Column) -> Column:
+        s = u["stem"]
+        said = F.exists(F.slice(lines, s["start"], F.greatest(s["end"] - s["start"] + 1, F.lit(0))), lambda x: x.rlike("下表|如表|表中|表格"))
+        after = F.sequence(s["end"] + 1, F.least(s["end"] + 40, F.size(lines)))
+        free = lambda n: _at(lines, n).rlike(r"^\s*\||<table|</t[rd]>|</table>|^\s*$") & ~F.array_contains(F.col("_in"), n)
+        stop = F.coalesce(F.get(F.filter(after, lambda n: ~free(n)), F.lit(0)), F.size(lines) + 1)
+        last = F.array_max(F.filter(after, lambda n: (n < stop) & (strip(_at(lines, n)) != "")))
+        ok = s.isNotNull() & said & (s["end"] < F.size(lines))
+        return u.withField("stem", F.when(ok, F.struct(s["start"].alias("start"), F.coalesce(last, s["end"]).alias("end"))).otherwise(s))
+
+    return rows.withColumn("units", F.transform("units", fixed)).drop("lines", "_in")
+
+
+def copied_lines(papers: DataFrame, least: float = 0.62, most: float = 0.995) -> DataFrame:
+    """doc_id, line_no, unit_ord, cover: lines that no span has and that nearly repeat a stem's
+    line, with the unit that they repeat best. Pairs are of one document, of like length, and of
+    eight characters or more."""
+    from sheaf.functions import similarity
+    from sheaf.functions.text import compact
+
+    rows = _text(papers).withColumn("_in", covered(F.col("units")))
+    free = F.transform("lines", lambda x, i: F.struct((i + 1).alias("line_no"), compact(x).alias("x"), F.array_contains(F.col("_in"), i + 1).alias("in")))
+    open_ = rows.select("doc_id", F.explode(F.filter(free, lambda r: ~r["in"] & (F.char_length(r["x"]) >= 8))).alias("r")).select("doc_id", "r.line_no", "r.x")
+    stems = rows.select("doc_id", "lines", F.posexplode("units").alias("unit_ord", "u"))
+    stems = stems.select("doc_id", "unit_ord", F.explode(F.slice("lines", F.col("u.stem.start"), F.greatest(F.col("u.stem.end") - F.col("u.stem.start") + 1, F.lit(0)))).alias("y"))
+    stems = stems.select(F.col("doc_id").alias("_d"), "unit_ord", compact(F.col("y")).alias("y")).where(F.char_length("y") >= 8)
+    near = F.char_length("x").between(F.char_length("y") * 0.5, F.char_length("y") * 2.0)
+    met = open_.join(stems, (F.col("doc_id") == F.col("_d")) & near).withColumn("cover", similarity.coverage("x", "y")).where(F.col("cover").between(least, most))
+    return met.groupBy("doc_id", "line_no").agg(F.max_by(F.struct("unit_ord", "cover"), F.struct("cover", -F.col("unit_ord"))).alias("b")).select("doc_id", "line_no", "b.unit_ord", "b.cover")

@@ -129,3 +129,29 @@ def test_manifest_validation(spark):
     p["units"][0]["stem"] = span(5, 99)
     assert "SPAN" in codes(p)
     assert E.ROLES[0] == "stem"
+
+
+def test_markup(spark):
+    from sheaf.functions import markup as M
+
+    def one(c, *values):
+        return [r[0] for r in spark.createDataFrame([(v,) for v in values], "t string").select(c(F.col("t"))).collect()]
+
+    assert one(M.to_html, "# A & b\n\ntext <x\n---\n<table></table>\n##### e") == ["<h1>A &amp; b</h1>\n<p>text &lt;x</p>\n<hr>\n<table></table>\n<h4>e</h4>"]
+    assert one(M.repaired_line, "<td>a\\n1</td>", "x \\quad y $\\quad$") == ["<td>a<br>1</td>", "x   y $\\quad$"]
+    assert one(lambda t: M.excerpt(F.array(t)), '<td>1</td><script>x</script><img src="a">') == ['<td>1</td>&lt;script&gt;x&lt;/script&gt;<img src="a">']
+    m = F.create_map(F.lit("a.png"), F.lit("imgs/b.png"))
+    assert one(lambda t: M.rewritten_refs(t, m), '![x](a.png) <img src="a.png"> ![y](c.png)') == ['![x](imgs/b.png) <img src="imgs/b.png"> ![y](c.png)']
+
+
+def test_more_fixers(spark):
+    t = spark.createDataFrame([(["<img a>", "<div>A</div>", "<img b>", "<div>B</div>", "<img c>", "<div>D</div>"],)], "l array<string>")
+    assert [tuple(x) for x in t.select(X.image_options(F.col("l"), F.lit(1), F.lit(6))).collect()[0][0]] == [("A", 1, 2), ("B", 3, 4)]
+    p = paper()
+    p["text"] = p["text"].replace("2. 第二题的题干是什么？\nA. 丙", "2. 见下表？\n| a | b |\n| c | d |")
+    p["units"][1] |= {"stem": span(9, 9), "options": None}
+    assert units(X.pull_tables(frame(spark, p)))[1]["stem"]["end"] == 11
+    p = paper()
+    p["text"] += "\n2、第二题的题干是什么呢"
+    got = [(r["line_no"], r["unit_ord"]) for r in X.copied_lines(frame(spark, p)).collect()]
+    assert (20, 1) in got
