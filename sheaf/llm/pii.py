@@ -26,7 +26,7 @@ BASE = {
 }
 #: Generators of high recall; their spans may overlap those above.
 LOOSE = {
-    "number": r"(?:\+|\()?+[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+",
+    "number": r"(?<![A-Za-z0-9_.@-])(?:\+|\()?+[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+(?![A-Za-z0-9_@])",
     "secret": r"(?:(?<![A-Za-z0-9_-])|\G)[A-Za-z0-9_-]{20,}+",
     "handle": rf"(?:(?<!{_EMAIL_CHAR})|\G){_EMAIL_CHAR}++(?:\x20\(at\)\x20|\x20\[at\]\x20|\(at\)|\[at\])[A-Za-z0-9-]++(?:(?:\.|\x20\(dot\)\x20|\x20\[dot\]\x20)[A-Za-z0-9-]++)++",
 }
