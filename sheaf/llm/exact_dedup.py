@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import stored, text_of, without_blanks
+from sheaf.llm.shared import partitions, stored, text_of, without_blanks
 
 BLOCK = 32_768  # bits of a block, 4 KB
 #: Most bits of the filter (32 MB): the bound of what is broadcast.
@@ -61,6 +61,20 @@ def groups_of(possible: DataFrame) -> DataFrame:
     return possible.groupBy("sha").agg(F.count("*").alias("size"), best.alias("b")).where("size > 1").select("sha", "size", (-F.col("b.neg")).alias("keep"))
 
 
+def with_groups(possible: DataFrame, groups: DataFrame, n: int) -> DataFrame:
+    """``possible`` with size and keep of its digest's group, null without one.
+
+    Groups of more than 1/4p of the ``n`` rows, p the number of partitions, are 4p at most: they
+    are broadcast, and their rows stay where they are. Only rows of smaller groups shuffle.
+    """
+    most = n / (4 * partitions(possible.sparkSession))
+    large = groups.where(F.col("size") > most).select(F.col("sha").alias("_sha"), F.col("size").alias("_size"), F.col("keep").alias("_keep"))
+    rows = possible.join(F.broadcast(large), F.col("sha") == F.col("_sha"), "left")
+    near = rows.where("_sha IS NOT NULL").select(*possible.columns, F.col("_size").alias("size"), F.col("_keep").alias("keep"))
+    rest = rows.where("_sha IS NULL").select(*possible.columns).join(groups.where(F.col("size") <= most), "sha", "left")
+    return near.unionByName(rest.select(*near.columns))
+
+
 def exact_dedup(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -72,10 +86,11 @@ def exact_dedup(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """
     rows = stored(docs.select("doc_id", F.char_length(text_of()).alias("n_cp"), text_digest().alias("sha")), "digests")
     marked = mark_possible(rows, repeat_filter(rows, most_bits))
-    groups = groups_of(marked.where("possible").select("doc_id", "n_cp", "sha"))
+    possible = stored(marked.where("possible").select("doc_id", "n_cp", "sha"), "possible")
+    groups = stored(groups_of(possible), "groups")
     hexed = F.lower(F.hex("sha")).alias("text_sha256")
     once = marked.where("NOT possible").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), hexed)
-    rest = marked.where("possible").join(groups, "sha", "left")
+    rest = with_groups(possible, groups, rows.count())
     size = F.coalesce("size", F.lit(1).cast("long"))
     rest = rest.withColumn("keep", F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep")))
     rest = rest.select("doc_id", F.col("keep").alias("keep_id"), size.alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep")).alias("kept"), hexed)
@@ -88,8 +103,9 @@ def drop_copies(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     names = docs.columns
     rows = stored(docs.select("doc_id", F.char_length(text_of()).alias("n_cp"), text_digest().alias("sha")), "digests")
     found = repeat_filter(rows, most_bits)
-    possible = mark_possible(rows, found).where("possible").select("doc_id", "n_cp", "sha")
-    gone = possible.join(groups_of(possible), "sha").where(~F.col("doc_id").eqNullSafe(F.col("keep")))
+    possible = stored(mark_possible(rows, found).where("possible").select("doc_id", "n_cp", "sha"), "possible")
+    gone = with_groups(possible, stored(groups_of(possible), "groups"), rows.count())
+    gone = gone.where(F.col("size").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("keep")))
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text_digest().alias("sha"))  # no name can clash inside
     marked = mark_possible(whole, found)
