@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from sheaf.llm.shared import held, partitions, stored
 
 FUNCTIONS, TREES, STEP, SMALL = 64, 12, 5, 2048
-#: Of 64 signature bytes, so many must agree: 0.62 against 0.85 is over five standard deviations.
-LEAST_ALIKE = 40
 WIDTH, LEAST = 3, 85
 MOST_WORDS = 500_000
 _R = np.random.default_rng(20_240_601)
@@ -94,6 +92,13 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, sig binary, low binary")
 
 
+def least_alike(least: int) -> int:
+    """Of FUNCTIONS signature bytes, so many must agree for a pair to be looked at: five standard
+    deviations under what a pair of similarity ``least`` percent has."""
+    p = least / 100
+    return math.floor(FUNCTIONS * p - 5 * math.sqrt(FUNCTIONS * p * (1 - p)))
+
+
 def _token(tree, depth):
     """The path's token at a depth, four bytes of the signature."""
     return F.substring(F.col("sig"), (4 * ((tree * STEP + depth) % FUNCTIONS) + 1).cast("int"), F.lit(4))
@@ -201,7 +206,7 @@ def _shared(own: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
     return out
 
 
-def clusters(placed: DataFrame, least: int = LEAST_ALIKE) -> DataFrame:
+def clusters(placed: DataFrame, least: int) -> DataFrame:
     """(cluster, rep, tree): of each node (node, tree, rep, low), the parts whose signatures may
     be similar. Like parts of different nodes have one name, and the number of the first tree."""
 
@@ -230,7 +235,7 @@ def clusters(placed: DataFrame, least: int = LEAST_ALIKE) -> DataFrame:
     return rows.mapInArrow(run, "cluster long, rep long, tree int").groupBy("cluster", "rep").agg(F.min("tree").alias("tree"))
 
 
-def hub_pairs(hubs: DataFrame, classes: DataFrame, least: int = LEAST_ALIKE) -> DataFrame:
+def hub_pairs(hubs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     """(cluster, rep, tree -1): pairs of a hub and a class of its node that may be similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +286,7 @@ def confirmed(members: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFr
                 own = [np.frombuffer(items[i].as_py(), np.uint64) for i in range(a, z)]
                 size = np.array([len(x) for x in own])
                 same = part[a:z, None] == part[None, a:z]
-                may = _alike(low[a:z], LEAST_ALIKE) & ~same & (100 * np.minimum.outer(size, size) >= least * np.maximum.outer(size, size))
+                may = _alike(low[a:z], least_alike(least)) & ~same & (100 * np.minimum.outer(size, size) >= least * np.maximum.outer(size, size))
                 both = _shared(own, may)
                 linked = may & (100 * both >= least * (np.add.outer(size, size) - both))
                 for found in _parts(linked | same):
@@ -325,8 +330,8 @@ def near_components(docs: DataFrame, width: int = WIDTH, least: int = LEAST, sma
     classes = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("size"), F.first("sig").alias("sig"), F.first("low").alias("low"))
     classes = stored(classes.withColumn("rep", F.xxhash64("set_id")), "classes")
     placed, hubs = nodes(classes, small)
-    found = clusters(placed.join(classes.select("rep", "low"), "rep"))
-    found = stored(found.unionByName(hub_pairs(hubs, classes)).groupBy("cluster", "rep").agg(F.min("tree").alias("tree")), "clusters")
+    found = clusters(placed.join(classes.select("rep", "low"), "rep"), least_alike(least))
+    found = stored(found.unionByName(hub_pairs(hubs, classes, least_alike(least))).groupBy("cluster", "rep").agg(F.min("tree").alias("tree")), "clusters")
     need = found.select("rep").distinct().join(classes.select("rep", "set_id", "first"), "rep")
     sets = stored(whole_sets(docs, need, width), "sets")
     lows = classes.select("rep", "low")
