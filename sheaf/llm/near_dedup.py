@@ -27,6 +27,8 @@ from sheaf.llm.shared import held, partitions, stored
 FUNCTIONS, TREES, STEP, SMALL = 64, 12, 5, 2048
 WIDTH, LEAST = 3, 85
 MOST_WORDS = 500_000
+#: Hubs that are broadcast at most (7 MB); more are joined by shuffle.
+MOST_HUBS = 100_000
 _R = np.random.default_rng(20_240_601)
 _MULTIPLIERS = _R.integers(1, 1 << 63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _R.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -248,8 +250,8 @@ def hub_pairs(hubs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(names, np.int64), 2)), pa.array(both, pa.int64()), pa.array(np.full(len(both), -1), pa.int32())], ["cluster", "rep", "tree"])
 
     own = classes.select("rep", "low")
-    top = hubs.select("hub").distinct().join(classes.select(F.col("rep").alias("hub"), F.col("low").alias("hub_low")), "hub")
-    rows = hubs.join(own, "rep").join(top, "hub").select("rep", "hub", "low", "hub_low")
+    top = stored(hubs.select("hub").distinct().join(classes.select(F.col("rep").alias("hub"), F.col("low").alias("hub_low")), "hub"), "hubs")
+    rows = hubs.join(own, "rep").join(F.broadcast(top) if top.count() <= MOST_HUBS else top, "hub").select("rep", "hub", "low", "hub_low")
     return rows.mapInArrow(run, "cluster long, rep long, tree int")
 
 
