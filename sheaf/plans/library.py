@@ -694,3 +694,27 @@ def corpus_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("lang", "doc_id", F.sha2("text", 256).alias("sha"))
     line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "sha"))), lambda x: F.concat(x["doc_id"].cast("string"), F.lit("\t"), x["sha"], F.lit("\n"))), "")
     return rows.groupBy("lang").agg(F.count("*").alias("n"), F.sha2(line, 256).alias("digest"))
+
+
+@query(
+    "events_hourly",
+    "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
+)
+def events_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-time windows; the same code runs on a stream, with a watermark."""
+    from sheaf.streaming.ingest import windowed_counts
+
+    return windowed_counts(table(spark, sf_dir, "events").select("ts", "event_type"))
+
+
+@query(
+    "priority_rollup_by_day",
+    """
+    SELECT o_orderdate::DATE::VARCHAR AS day, o_orderstatus AS state, count(*) AS n, grouping_id(o_orderdate::DATE::VARCHAR, o_orderstatus)::BIGINT AS level
+    FROM orders GROUP BY ROLLUP (o_orderdate::DATE::VARCHAR, o_orderstatus)
+    """,
+)
+def priority_rollup_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by day and state, by day, and in total."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").cast("string").alias("day"), F.col("o_orderstatus").alias("state"))
+    return rows.rollup("day", "state").agg(F.count("*").alias("n"), F.grouping_id().cast("long").alias("level")).select("day", "state", "n", "level")

@@ -155,3 +155,15 @@ def test_more_fixers(spark):
     p["text"] += "\n2、第二题的题干是什么呢"
     got = [(r["line_no"], r["unit_ord"]) for r in X.copied_lines(frame(spark, p)).collect()]
     assert (20, 1) in got
+
+
+def test_review_pages(spark):
+    from sheaf.operators import review as R
+
+    lines = [f"line {i} <b>x</b> <script>" for i in range(30)]
+    rows = [("p", "2", "t", lines, (1, 25)), ("p", "1", None, lines, (29, 30)), ("q", "1", "t", lines, (5, 99))]
+    items = spark.createDataFrame(rows, "paper string, item string, title string, lines array<string>, span struct<start:int,end:int>")
+    sheets = {r["paper"]: r["page"] for r in R.worksheet(items).collect()}
+    assert sheets["p"].index("## 1 ") < sheets["p"].index("## 2 t") and sheets["p"].count("> line") == 20 and "(no lines)" in sheets["q"]
+    pages = {r["paper"]: r["page"] for r in R.review_html(items).collect()}
+    assert pages["p"].count("<section>") == 2 and "<script>" not in pages["p"] and "<b>x</b>" in pages["p"]
