@@ -178,3 +178,34 @@ def append_ledger(entries: DataFrame, path: str) -> None:
     entries.write.mode("append").parquet(path)
 
 
+
+
+def pdf_pages(content: Column) -> Column:
+    """Page objects that a PDF's plain part shows; null where it shows none, as when all objects
+    are in compressed streams, or where the bytes are no PDF. See ``pdf_pages_by_library``."""
+    text = F.decode(content, "ISO-8859-1")
+    n = F.regexp_count(text, F.lit(r"/Type\s*/Page(?![A-Za-z])"))
+    return F.when(text.startswith("%PDF") & (n > 0), n)
+
+
+@F.pandas_udf(T.IntegerType())
+def pdf_pages_by_library(content: pd.Series) -> pd.Series:
+    """Page counts by an optional PDF library; null without one, and where it fails."""
+    try:
+        import pypdfium2
+    except ImportError:
+        return pd.Series([None] * len(content), dtype="Int32")
+
+    def one(b: bytes) -> int | None:
+        try:
+            return len(pypdfium2.PdfDocument(b))
+        except Exception:  # noqa: BLE001  a file that cannot be read is a null, not a failed job
+            return None
+
+    return pd.Series([one(b) for b in content], dtype="Int32")
+
+
+def text_layer(pages: DataFrame, least_chars: int = 50, least_share: float = 0.6) -> DataFrame:
+    """doc_id, n_pages, kind: native_text where enough pages (doc_id, page, chars) have text."""
+    share = F.avg((F.col("chars") >= least_chars).cast("int"))
+    return pages.groupBy("doc_id").agg(F.count("*").alias("n_pages"), F.when(share >= least_share, "native_text").otherwise("scanned").alias("kind"))

@@ -167,3 +167,12 @@ def test_review_pages(spark):
     assert sheets["p"].index("## 1 ") < sheets["p"].index("## 2 t") and sheets["p"].count("> line") == 20 and "(no lines)" in sheets["q"]
     pages = {r["paper"]: r["page"] for r in R.review_html(items).collect()}
     assert pages["p"].count("<section>") == 2 and "<script>" not in pages["p"] and "<b>x</b>" in pages["p"]
+
+
+def test_pdf_pages_and_text_layer(spark):
+    good = b"%PDF-1.4 1 0 obj <</Type /Pages>> 2 0 obj <</Type/Page>> 3 0 obj <</Type /Page >>"
+    df = spark.createDataFrame([(1, bytearray(good)), (2, bytearray(b"no pdf")), (3, bytearray(b"%PDF-1.7 compressed"))], "i int, c binary")
+    assert [r["n"] for r in df.select("i", C.pdf_pages(F.col("c")).alias("n")).orderBy("i").collect()] == [2, None, None]
+    assert df.select(C.pdf_pages_by_library("c").alias("n")).count() == 3
+    pages = spark.createDataFrame([("a", 1, 90), ("a", 2, 80), ("a", 3, 0), ("b", 1, 0), ("b", 2, 90)], "doc_id string, page int, chars int")
+    assert {r["doc_id"]: r["kind"] for r in C.text_layer(pages).collect()} == {"a": "native_text", "b": "scanned"}
