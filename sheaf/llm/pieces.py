@@ -23,7 +23,7 @@ from sheaf.llm.shared import held
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: Entries of the memos of a Python worker: words of a generation, and pairs.
-MOST_WORDS, MOST_PAIRS = 300_000, 1_000_000
+MOST_WORDS, MOST_PAIRS = 250_000, 500_000
 
 
 class Model:
@@ -176,18 +176,18 @@ class Model:
     def encode(self, text: str) -> list[int]:
         return [i for w in self.split(text) for i in self.word(w)]
 
-    def plain(self, ids: list[int]) -> str:
-        """The text of the ids, byte pieces put together."""
+    def joined(self, ids: list[int]) -> str:
+        """The pieces' text, byte pieces put together, blanks as in pieces."""
         if self.byte_of.keys().isdisjoint(ids):
-            return "".join([self.text[i] for i in ids]).replace(SPACE, " ")
+            return "".join([self.text[i] for i in ids])
         out = bytearray()
         for i in ids:
-            out += bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].replace(SPACE, " ").encode()
+            out += bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].encode()
         return out.decode("utf-8", "replace")
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids, without the dummy prefix."""
-        s = self.plain(ids)
+        s = self.joined(ids).replace(SPACE, " ")
         return s[1:] if ids and self.text[ids[0]].startswith(SPACE) else s
 
 
@@ -195,7 +195,7 @@ PARTS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 
 class Words(dict):
-    """Memo of parts: ids as text, their number, the decoded text. A full generation becomes
+    """Memo of parts: ids as text, their number, the pieces' text. A full generation becomes
     the old one, from which words in use come back."""
 
     def __init__(self, model: Model):
@@ -207,7 +207,8 @@ class Words(dict):
             self[w] = got
             return got
         ids = self.model.word(w)
-        got = (",".join(map(str, ids)), len(ids), self.model.plain(ids))
+        text = self.model.joined(ids)
+        got = (",".join(map(str, ids)), len(ids), w if text == w else text)  # an equal text takes no room of its own
         if len(self) >= MOST_WORDS:
             self.old = dict(self)
             self.clear()
@@ -243,7 +244,7 @@ def encoded(docs: DataFrame, model_file: str, ids: bool = False) -> DataFrame:
                 joined = ",".join([x[0] for x in got])
                 n.append(sum([x[1] for x in got]))
                 h.append(hashlib.sha256(joined.encode()).hexdigest())
-                d.append(hashlib.sha256("".join([x[2] for x in got])[1:].encode()).hexdigest())
+                d.append(hashlib.sha256("".join([x[2] for x in got])[1:].replace(SPACE, " ").encode()).hexdigest())
                 if ids:
                     lists.append([int(i) for i in joined.split(",")] if joined else [])
             arrays = [pa.array(x, t) for x, t in zip([n, h, d] + [lists] * ids, new.values())]
