@@ -39,7 +39,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     decoded text as digests."""
     import public_tokenizers
 
-    return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+    return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), text=False)
 
 
 STAGES = [

@@ -222,9 +222,10 @@ def model_of(data: bytes) -> Model:
     return held("pieces " + hashlib.sha256(data).hexdigest(), lambda: Model(data))
 
 
-def encoded(docs: DataFrame, model_file: str, ids: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, model_file: str, ids: bool = False, text: bool = True) -> DataFrame:
     """Rows of ``docs`` with n_tokens, ids_sha256 (of the decimal ids joined by commas) and
-    decoded_sha256 (of the text decoded from those ids); with ``ids``, also the ids themselves.
+    decoded_sha256 (of the text decoded from those ids); with ``ids``, also the ids themselves,
+    and without ``text``, the text stays behind in the Python worker.
 
     A null text counts as empty and has no ids. Rows are independent: repeated ones give
     repeated results, and other columns pass through, but for those that share a new name.
@@ -239,8 +240,8 @@ def encoded(docs: DataFrame, model_file: str, ids: bool = False) -> DataFrame:
         m = model_of(data.value)
         for batch in batches:
             n, h, d, lists = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                got = [m.words[w] for w in m.split(text or "")]
+            for t in batch.column("text").to_pylist():
+                got = [m.words[w] for w in m.split(t or "")]
                 joined = ",".join([x[0] for x in got])
                 n.append(sum([x[1] for x in got]))
                 h.append(hashlib.sha256(joined.encode()).hexdigest())
@@ -248,10 +249,11 @@ def encoded(docs: DataFrame, model_file: str, ids: bool = False) -> DataFrame:
                 if ids:
                     lists.append([int(i) for i in joined.split(",")] if joined else [])
             arrays = [pa.array(x, t) for x, t in zip([n, h, d] + [lists] * ids, new.values())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *new])
+            kept = [c for c in batch.schema.names if text or c != "text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *arrays], [*kept, *new])
 
     kinds = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "ids": "array<int>"}
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"{c} {kinds[c]}" for c in new])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if text or f.name != "text"] + [f"{c} {kinds[c]}" for c in new])
     return docs.mapInArrow(run, schema)
 
 
@@ -259,4 +261,4 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), text=False)
