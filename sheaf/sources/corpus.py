@@ -46,9 +46,9 @@ def scan(spark: SparkSession, root: str, pattern: str = "*.md", derived: bool =
     """Files below ``root``: rel_path, top_dir, parent_dir, basename, stem, size, mtime, sha256,
     text (null if no UTF-8) and norm_sha256. Derived trees are left out unless asked for."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    prefix = F.lit("file:" + root.rstrip("/").removeprefix("file://").removeprefix("file:") + "/") if "://" not in root or root.startswith("file:") else F.lit(root.rstrip("/") + "/")
-    rel = F.regexp_replace(F.replace("path", prefix, F.lit("")), "^file:/*", "")
-    rows = rows.withColumn("rel_path", rel)
+    local = "://" not in root or root.startswith("file:")
+    base = "file:" + root.removeprefix("file://").removeprefix("file:") if local else root
+    rows = rows.withColumn("rel_path", F.replace("path", F.lit(base.rstrip("/") + "/"), F.lit("")))
     parts = F.split("rel_path", "/")
     rows = rows.withColumns({"top_dir": F.when(F.size(parts) > 1, parts[0]).otherwise(""), "parent_dir": F.when(F.size(parts) > 1, F.element_at(parts, -2)).otherwise(""), "basename": F.element_at(parts, -1)})
     if not derived:
