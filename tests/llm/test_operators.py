@@ -328,6 +328,24 @@ def test_near_dedup(spark, docs, none, small):
     assert near_dedup.near_components(none).count() == 0
 
 
+def test_near_dedup_keeps_pairs_of_large_nodes_together(spark):
+    """Different documents with a common passage: each signature value is the passage's or one's own."""
+    import random
+
+    rng = random.Random(5)
+    sigs = []
+    for _ in range(150):
+        x = [7 if rng.random() < 0.45 else rng.randrange(1 << 32) for _ in range(near_dedup.FUNCTIONS)]
+        y = [v if rng.random() < 0.8 else rng.randrange(1 << 32) for v in x]
+        sigs += [x, y]
+    data = [(i, 1, b"".join(v.to_bytes(4, "little") for v in s)) for i, s in enumerate(sigs)]
+    placed, _ = near_dedup.nodes(spark.createDataFrame(data, "rep long, size long, sig binary"), small=4)
+    held = defaultdict(set)
+    for r in placed.collect():
+        held[r["rep"]].add((r["tree"], r["node"]))
+    assert not [i for i in range(0, 300, 2) if not held[i] & held[i + 1]]
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(300, 301), (301, 300)], "a long, b long")
     got = {r["rep"]: r["part"] for r in near_dedup.components(links).collect()}
