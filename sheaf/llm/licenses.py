@@ -87,22 +87,19 @@ def word_weights(rows: DataFrame) -> dict[str, float]:
 def license_labels(rows: DataFrame, top: int = 8, least_share: float = 0.5) -> DataFrame:
     """Per document with an aligned notice: doc_id, th, ``found`` (labels) and ``score``.
 
-    The ``top`` licence words of a document by IDF are looked up in the index, whose size the
-    templates bound, so it is broadcast. Postings that agree on the shift between document and
-    template are one alignment; its score is the share of the template's weight that it covers,
-    and it counts from ``least_share`` of the best that ``top`` words can cover, if all key
-    phrases stand at their places."""
+    All licence words of a document are looked up in the index, whose size the templates bound,
+    so it is broadcast: a notice is judged by its own words, whatever else the document holds.
+    Postings that agree on the shift between document and template are one alignment; its score
+    is its weight as a share (1 at most) of the template's ``top`` words by IDF, and it counts
+    from ``least_share``, if all key phrases stand at their places."""
     idf = word_weights(rows)
-    weight = F.create_map(*[F.lit(x) for p in idf.items() for x in p])
     postings, totals = [], {}
     for t, (_, text, _) in enumerate(TEMPLATES):
         own = [(w, p) for p, w in enumerate(text.split()) if w in idf]
         totals[t] = sum(sorted((idf[w] for w, _ in own), reverse=True)[:top])
         postings += [(w, t, p, idf[w]) for w, p in own]
     index = F.broadcast(_literal(rows.sparkSession, postings))
-    ranked = F.array_sort(F.array_distinct(F.transform("hits", lambda x: F.struct((-weight[x["w"]]).alias("k"), x["w"].alias("w")))))
-    rare = rows.where(F.size("hits") > 1).withColumn("rare", F.transform(F.slice(ranked, 1, top), lambda x: x["w"]))
-    lookups = rare.select("doc_id", "th", F.explode(F.filter("hits", lambda x: F.array_contains("rare", x["w"]))).alias("x"))
+    lookups = rows.where(F.size("hits") > 1).select("doc_id", "th", F.explode("hits").alias("x"))
     votes = lookups.select("doc_id", "th", F.col("x.w").alias("w"), F.col("x.i").alias("i")).join(index, "w")
     shifts = votes.groupBy("doc_id", "th", "t", (F.col("i") - F.col("p")).alias("shift")).agg(F.sum("weight").alias("got"), F.count("*").alias("n"))
     share = F.least(F.lit(1.0), F.col("got") / F.element_at(F.create_map(*[F.lit(x) for p in totals.items() for x in p]), F.col("t")))

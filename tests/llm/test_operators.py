@@ -279,6 +279,14 @@ def test_license_templates_are_found_where_they_stand(spark):
     assert got[len(licenses.TEMPLATES)]["labels"] == ""
 
 
+def test_license_notices_of_one_text_are_all_found(spark):
+    by = {label: t for label, t, _ in licenses.TEMPLATES}
+    groups = [("bsd", "isc"), ("lgpl", "bsd", "mpl", "isc", "cc-by", "unlicense"), tuple(sorted(by))]
+    texts = [" and so on. ".join(by[x] for x in g) for g in groups]
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in licenses.scan_licenses(table(spark, texts)).collect()}
+    assert all(got[k] >= set(g) for k, g in enumerate(groups))
+
+
 # --- 6 ---------------------------------------------------------------------------------------
 
 
