@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import held, stored, without_ids
+from sheaf.llm.shared import arrow_rows, held, stored, without_ids
 
 WINDOW = 8
 #: Words of a template window that must not be slots.
@@ -119,7 +119,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             yield _fields([(i, *r) for i, t in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()) for r in _rows_of(t or "", codes)], pa.int64(), "item_id")
 
-    return benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(run, f"item_id long, {SHAPE}")
+    return arrow_rows(benchmark.select(F.col("item_id").cast("long"), "text"), run, f"item_id long, {SHAPE}")
 
 
 def document_windows(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
@@ -142,7 +142,7 @@ def document_windows(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
         for batch in batches:
             yield _fields([(i, *r) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()) for r in _rows_of(t or "", codes, wanted)], pa.int64(), "doc_id")
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, {SHAPE}")
+    return arrow_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, f"doc_id long, {SHAPE}")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import held, partitions, stored
+from sheaf.llm.shared import arrow_rows, held, partitions, stored
 
 FUNCTIONS, TREES, STEP, SMALL = 64, 12, 5, 2048
 WIDTH, LEAST = 3, 85
@@ -93,7 +93,7 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 lows.append((g & np.uint32(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in (ids, sigs, lows)]], ["doc_id", "n_shingles", "set_id", "sig", "low"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, sig binary, low binary")
+    return arrow_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_shingles long, set_id binary, sig binary, low binary")
 
 
 def least_alike(least: int) -> int:
@@ -285,7 +285,7 @@ def whole_sets(docs: DataFrame, reps: DataFrame, width: int = WIDTH) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(items, pa.binary())], ["rep", "items"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(reps, "first").select("rep", "set_id", "text")
-    return rows.mapInArrow(run, "rep long, items binary").dropDuplicates(["rep"])
+    return arrow_rows(rows, run, "rep long, items binary").dropDuplicates(["rep"])
 
 
 def confirmed(members: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:

@@ -18,12 +18,12 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm.shared import held
+from sheaf.llm.shared import arrow_rows, held
 
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: Entries of the memos of a Python worker: words of a generation, and pairs.
-MOST_WORDS, MOST_PAIRS = 250_000, 500_000
+MOST_WORDS, MOST_PAIRS = 150_000, 300_000
 
 
 class Model:
@@ -227,8 +227,10 @@ def encoded(docs: DataFrame, model_file: str, ids: bool = False, text: bool = Tr
     decoded_sha256 (of the text decoded from those ids); with ``ids``, also the ids themselves,
     and without ``text``, the text stays behind in the Python worker.
 
-    A null text counts as empty and has no ids. Rows are independent: repeated ones give
-    repeated results, and other columns pass through, but for those that share a new name.
+    A null text counts as empty and has no ids. Texts are encoded whole, however long, and where
+    several merges of one score are open the leftmost is made, as in the library. Rows are
+    independent: repeated ones give repeated results, an empty table none, and other columns pass
+    through, but for those that share a new name.
     The model file (half a MB) is read on the driver and broadcast.
     """
     with open(model_file, "rb") as f:
@@ -254,7 +256,7 @@ def encoded(docs: DataFrame, model_file: str, ids: bool = False, text: bool = Tr
 
     kinds = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "ids": "array<int>"}
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if text or f.name != "text"] + [f"{c} {kinds[c]}" for c in new])
-    return docs.mapInArrow(run, schema)
+    return arrow_rows(docs, run, schema)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

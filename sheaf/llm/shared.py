@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +37,13 @@ def text_of(name: str = "text") -> Column:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the cluster's spark.checkpoint.dir.
-    Where none is set, as in tests, a temporary folder becomes it."""
+    Where none is set and all runs on one machine, as in tests, a temporary folder becomes it."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
-        at = spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="sheaf-")
+        at = spark.sparkContext.getCheckpointDir()
+        if not at and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        at = at or "file://" + tempfile.mkdtemp(prefix="sheaf-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
@@ -57,18 +65,62 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of stored rows that are not read again."""
+    for df in frames:
+        jvm = df.sparkSession.sparkContext._jvm
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 _HELD: dict = {}
 
 
 def held(owner: str, make):
     """What a Python worker keeps between tasks. Workers are used again by other operators, so
-    what the last owner held goes when another comes."""
+    what the last owner held goes, and back to the system, when another comes."""
     if owner not in _HELD:
         _HELD.clear()
+        trim()
         _HELD[owner] = make()
     return _HELD[owner]
 
 
+def trim() -> None:
+    """Give freed memory back to the system: Python's, Arrow's and the C library's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+#: Rows and bytes of an Arrow batch between the JVM and a Python worker, unless the session says
+#: otherwise, and rows that a worker takes up as Python objects at a time.
+BATCH_ROWS, BATCH_BYTES, SLICE_ROWS = 2000, 8 << 20, 200
+
+
+def arrow_rows(df: DataFrame, run, schema: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """mapInArrow in batches of bounded size: ``run`` gets slices of them, or with 0 the batches."""
+    conf = df.sparkSession.conf
+    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
+            conf.set(f"spark.sql.execution.arrow.{key}", str(value))
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def slices() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                step = slice_rows or max(b.num_rows, 1)
+                yield from (b.slice(i, step) for i in range(0, b.num_rows, step))
+
+        yield from run(slices())
+        trim()
+
+    return df.mapInArrow(sliced, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -427,14 +427,109 @@ def test_quality(spark, none):
     assert len(unlabelled) == 405 and all(r["kept"] for r in unlabelled)
 
 
-def test_probabilities_sum_to_one(spark):
-    import numpy as np
-
-    counts = spark.createDataFrame([("en", 0, (a * quality.K + b) * quality.K + c, n) for a, b, c, n in [(1, 1, 5, 3), (1, 5, 6, 2), (5, 6, 7, 1), (5, 6, 8, 4), (6, 8, 5, 1), (1, 5, 7, 1)]], "lang string, view int, key int, c long")
-    m = quality.kneser_ney(counts).toPandas()
-    t = quality.dense(*(m[c].to_numpy() for c in ("order", "key", "p", "left"))).astype(float)
-    total = (2.0**-t).reshape(-1, quality.K).sum(axis=1)
-    assert np.allclose(total, 1, atol=1e-4)
+def kneser_ney(texts, order):
+    """Plain interpolated modified Kneser-Ney: a function of context and symbol."""
+    def grams(t, n):
+        t = quality.EDGE * (order - 1) + t
+        return [t[i : i + n] for i in range(order - n, len(t) - n + 1)]
+
+    tables = [Counter(g for t in texts for g in grams(t, order))]
+    while len(tables) < order:
+        tables.insert(0, Counter(g[1:] for g in tables[0]))
+    cuts = []
+    for t in tables:
+        n = Counter(t.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else None
+        cuts.append([max(0.1, min(i - 0.1, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] and y is not None else 0.5 for i in (1, 2, 3)])
+    cut = lambda k, c: cuts[k][min(c, 3) - 1] if c else 0.0
+
+    def p(g):
+        if not g:
+            return 1 / (len(tables[0]) + 1)
+        k = len(g) - 1
+        mine = {x: c for x, c in tables[k].items() if x[:-1] == g[:-1]}
+        total = sum(mine.values())
+        if not total:
+            return p(g[1:])
+        c = mine.get(g, 0)
+        return (c - cut(k, c)) / total + sum(cut(k, x) for x in mine.values()) / total * p(g[1:])
+
+    return p
+
+
+def test_probabilities_equal_plain_kneser_ney(spark):
+    import random
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abé 😀\x00", [5, 4, 2, 3, 1, 1], k=rng.randint(1, 40))) for _ in range(30)]
+    rows = [(7, i, "x", 1 if i % 3 else 0, bool(i % 2), t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "block long, doc_id long, lang string, fold int, trusted boolean, text string")
+    got = quality.block_grams(df.repartition(2)).where("view = 'char'")
+    order = quality.VIEWS["char"]
+    model = quality.probabilities(quality.orders(got.groupBy("lang", "g").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), order)).collect()
+    clean = [t.replace("\x00", "\ufffd") for t in texts]
+    want = [kneser_ney([t for r, t in zip(rows, clean) if r[4] and r[3] == f], order) for f in (0, 1)]
+    assert len(model) == len({g[i : i + order] for t in clean for g in [quality.EDGE * (order - 1) + t] for i in range(len(t))})
+    for r in model:
+        assert abs(r["p0"] - want[0](r["g"])) < 1e-9 and abs(r["p1"] - want[1](r["g"])) < 1e-9
+
+
+def quality_brute(data, labels, quantile):
+    """Scores and decisions of documents (doc_id, lang, fold, text), one by one."""
+    import math
+
+    trusted = {i for i, q, t in labels if q == 1 and not t and i is not None}
+    enc = quality.Encoder()
+    seen = [(i, lang or "", f, ["".join(map(chr, cp[n - 1 :])) for n, cp in zip(quality.VIEWS.values(), enc.views(t or ""))]) for i, lang, f, t in data]
+    out = [[] for _ in data]
+    limits = []
+    for v, (view, order) in enumerate(quality.VIEWS.items()):
+        models = {(x, f): kneser_ney(ts, order) for x in {s[1] for s in seen} for f in (0, 1) if (ts := [s[3][v] for s in seen if s[0] in trusted and s[1:3] == (x, f) and s[3][v]])}
+        bits = []
+        for i, lang, f, t in seen:
+            g = quality.EDGE * (order - 1) + t[v]
+            m = models.get((lang, 1 - f))
+            bits.append(None if m is None or not t[v] else sum(-math.log2(m(g[k : k + order])) for k in range(len(t[v]))))
+        mean = {}
+        for x in {s[1] for s in seen}:
+            mine = [(b, len(s[3][v])) for s, b in zip(seen, bits) if s[1] == x and s[0] in trusted]
+            if any(b is not None for b, _ in mine):
+                mean[x] = sum(b or 0 for b, _ in mine) / sum(n for _, n in mine)
+        pp = [None if b is None or s[1] not in mean else 2 ** ((b + quality.PRIOR[view] * mean[s[1]]) / (len(s[3][v]) + quality.PRIOR[view])) for s, b in zip(seen, bits)]
+        for x in mean:
+            own = sorted(p for s, p in zip(seen, pp) if s[1] == x and s[0] in trusted and p is not None)
+            limits.append((x, view, own[math.ceil(quantile * len(own)) - 1]))
+        for k, p in enumerate(pp):
+            out[k].append(p)
+    return out, limits
+
+
+def test_quality_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(12)
+    vocab = ["the", "cat", "Sat,", "on", "a", "mat.", "and", "cat", "x1", "%%", "\n", "é"]
+    texts = [" ".join(rng.choices(vocab, k=rng.randint(1, 25))) for _ in range(50)] + [None, "", "same same", "same same", "cat " * 300]
+    ids = [*range(50), 50, 51, 52, 53, None]
+    langs = ["en", "de", None]
+    rows = [(i, langs[k % 3], t, 1, "x") for k, (i, t) in enumerate(zip(ids, texts))]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string, block long, char string").repartition(3)
+    labels = [(i, 1, 0) for i in range(30)] + [(5, 1, 0), (None, 1, 0), (31, None, None), (32, 1, None), (33, 0, 0), (34, 1, 1)]
+    fold = {(r["doc_id"], r["text"]): r["f"] for r in df.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("f")).collect()}
+    data = [(i, lang, fold[i, t], t) for i, lang, t, *_ in rows]
+    want, limits = quality_brute(data, labels, 0.9)
+    got = defaultdict(list)
+    for r in quality.quality(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), 0.9).collect():
+        got[r["doc_id"]].append(r)
+    assert sum(map(len, got.values())) == len(rows)
+    limit = {(x, v): p for x, v, p in limits}
+    for (i, lang, *_), (char, word) in zip(rows, want):
+        (r,) = got[i]
+        assert r["lang"] == lang
+        for v, p in (("char", char), ("word", word)):
+            assert (r[v] is None) == (p is None) and (p is None or abs(r[v] - p) < 0.01 * p)
+            assert (lang or "", v) not in limit or abs(r[f"{v}_limit"] - limit[lang or "", v]) < 0.01 * limit[lang or "", v]
+        assert r["kept"] == all(r[v] is None or r[v] <= r[f"{v}_limit"] for v in ("char", "word"))
 
 
 def test_quality_on_held_out_labels(spark):
