@@ -125,11 +125,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Ids that are broadcast at most (4 MB); beyond that the rows are joined by shuffle.
+#: Row keys that are broadcast at most (12 MB); beyond that the rows are joined by shuffle.
 MOST_IDS = 500_000
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, most: int = MOST_IDS) -> DataFrame:
-    """The rows whose doc_id is not among ``ids`` (doc_id). Rows with a null doc_id stay."""
-    ids = stored(ids.where("doc_id IS NOT NULL").distinct(), "ids")
-    return docs.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", "left_anti").select(*docs.columns)
+def text_hash(name: str = "text") -> Column:
+    """With doc_id, what a row is known by: rows that share both get the same decisions."""
+    return F.xxhash64(text_of(name))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, most: int = MOST_IDS) -> DataFrame:
+    """The rows of ``docs`` whose doc_id (null-safe) and text_hash are not among ``gone``
+    (doc_id, th). Other rows that share the doc_id stay."""
+    gone = stored(gone.select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct(), "gone")
+    same = docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (text_hash() == F.col("_gone_th"))
+    return docs.join(F.broadcast(gone) if gone.count() <= most else gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
