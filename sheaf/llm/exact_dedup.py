@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import partitions, stored, text_of, without_blanks
+from sheaf.llm.shared import discard, partitions, stored, text_of, without_blanks
 
 BLOCK = 32_768  # bits of a block, 4 KB
-#: Most bits of the filter (32 MB): the bound of what is broadcast.
+#: Most bits of a filter that is broadcast (32 MB); the blocks of a larger one are joined.
 MOST_BITS = 1 << 28
 
 
@@ -23,25 +23,25 @@ def _places(sha: str):
     return h1, F.pmod(h2, F.lit(BLOCK)), F.pmod(F.shiftrightunsigned(h2, 20), F.lit(BLOCK))
 
 
-def repeat_filter(digests: DataFrame, most_bits: int = MOST_BITS, sha: str = "sha") -> tuple[DataFrame, int] | None:
-    """First pass: a blocked Bloom filter of the places hit at least twice, one row a block
-    (block long, bits binary). Sixteen bits a row; beyond ``most_bits`` there is none, and
-    every row counts as possibly repeated."""
-    n = digests.count()
-    blocks = max(1, -(-16 * n // BLOCK))
-    if blocks * BLOCK > most_bits:
-        return None
+def bloom(digests: DataFrame, least: int = 1, sha: str = "sha") -> tuple[DataFrame, int]:
+    """A blocked Bloom filter, sixteen bits a row, of the places hit ``least`` times or more: one
+    row a block (block long, bits binary), and the number of blocks."""
+    blocks = max(1, -(-16 * digests.count() // BLOCK))
     h, b1, b2 = _places(sha)
     hits = digests.select(F.pmod(h, F.lit(blocks)).alias("block"), F.explode(F.array_distinct(F.array(b1, b2))).alias("bit"))
-    twice = hits.groupBy("block", "bit").agg(F.count("*").alias("n")).where("n > 1")
-    return twice.groupBy("block").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")), blocks
+    often = hits.groupBy("block", "bit").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return often.groupBy("block").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")), blocks
 
 
-def mark_possible(rows: DataFrame, found: tuple[DataFrame, int] | None, sha: str = "sha") -> DataFrame:
-    """Second pass: ``possible`` is false only where the digest surely occurs once.
-    The broadcast filter has at most MOST_BITS bits (see repeat_filter)."""
-    if found is None:
-        return rows.withColumn("possible", F.lit(True))
+def repeat_filter(digests: DataFrame, sha: str = "sha") -> tuple[DataFrame, int]:
+    """First pass: the filter of what occurs twice or more."""
+    return bloom(digests, 2, sha)
+
+
+def mark_possible(rows: DataFrame, found: tuple[DataFrame, int], sha: str = "sha", most_bits: int = MOST_BITS) -> DataFrame:
+    """Second pass: ``possible`` is false only where the filter surely lacks the digest. A filter of
+    up to ``most_bits`` is broadcast; with more, the rows (digests, never texts) meet its blocks
+    by a join on the block, so the same filter decides at any size."""
     bits, blocks = found
     h, b1, b2 = _places(sha)
 
@@ -49,8 +49,8 @@ def mark_possible(rows: DataFrame, found: tuple[DataFrame, int] | None, sha: str
         byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(b / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         return F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(b, F.lit(8)))), F.lit(2)) == 1
 
-    bits = F.broadcast(bits.select(F.col("block").alias("_block"), F.col("bits").alias("_bits")))
-    out = rows.join(bits, F.pmod(h, F.lit(blocks)) == F.col("_block"), "left")
+    bits = bits.select(F.col("block").alias("_block"), F.col("bits").alias("_bits"))
+    out = rows.join(F.broadcast(bits) if blocks * BLOCK <= most_bits else bits, F.pmod(h, F.lit(blocks)) == F.col("_block"), "left")
     return out.withColumn("possible", F.coalesce(has(b1) & has(b2), F.lit(False))).drop("_block", "_bits")
 
 
@@ -81,16 +81,17 @@ def exact_dedup(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     Texts are equal when they are without blanks (null: empty). Of equal ones the longest in
     code points stays, then the one with the smallest doc_id. Rows that share a doc_id and tie
     share the decision; a null doc_id loses to any other of its length, and is compared
-    null-safe. Other columns are not read. An empty table gives no rows. The whole text is read
-    once; the filter, the groups and the join work on the stored digests.
+    null-safe. Other columns are not read. An empty table gives no rows. The whole text, however
+    long, is read once; the filter, the groups and the join work on the stored digests.
     """
     rows = stored(docs.select("doc_id", F.char_length(text_of()).alias("n_cp"), text_digest().alias("sha")), "digests")
-    marked = mark_possible(rows, repeat_filter(rows, most_bits))
+    marked = stored(mark_possible(rows, repeat_filter(rows), most_bits=most_bits), "marked")
+    discard(rows)
     possible = stored(marked.where("possible").select("doc_id", "n_cp", "sha"), "possible")
     groups = stored(groups_of(possible), "groups")
     hexed = F.lower(F.hex("sha")).alias("text_sha256")
     once = marked.where("NOT possible").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), hexed)
-    rest = with_groups(possible, groups, rows.count())
+    rest = with_groups(possible, groups, marked.count())
     size = F.coalesce("size", F.lit(1).cast("long"))
     rest = rest.withColumn("keep", F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep")))
     rest = rest.select("doc_id", F.col("keep").alias("keep_id"), size.alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep")).alias("kept"), hexed)
@@ -98,19 +99,30 @@ def exact_dedup(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
-    """The documents that stay, with all their columns. Only those that may repeat shuffle; the
-    others pass straight through with their texts."""
+    """The documents that stay, with all their columns: one row of each group. Of rows that share
+    doc_id and length in code points, the one with the smallest text, then any, stays.
+
+    A second filter, of the digests of groups, is asked in the pass over the texts: only rows
+    that may belong to a group shuffle, the others pass straight through. Beyond ``most_bits``
+    (16.8 million rows in groups) that pass is a join by shuffle of all rows instead.
+    """
     names = docs.columns
     rows = stored(docs.select("doc_id", F.char_length(text_of()).alias("n_cp"), text_digest().alias("sha")), "digests")
-    found = repeat_filter(rows, most_bits)
-    possible = stored(mark_possible(rows, found).where("possible").select("doc_id", "n_cp", "sha"), "possible")
-    gone = with_groups(possible, stored(groups_of(possible), "groups"), rows.count())
-    gone = gone.where(F.col("size").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("keep")))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text_digest().alias("sha"))  # no name can clash inside
-    marked = mark_possible(whole, found)
-    rest = marked.where("possible").join(gone, F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")), "left_anti")
-    return marked.where("NOT possible").select("row.*").unionByName(rest.select("row.*"))
+    possible = mark_possible(rows, repeat_filter(rows), most_bits=most_bits).where("possible").select("doc_id", "n_cp", "sha")
+    groups = stored(groups_of(possible), "groups")
+    discard(rows)
+    found = bloom(groups)
+    # no name can clash inside a struct
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text_digest().alias("sha"))
+    near = found[1] * BLOCK <= most_bits
+    marked = mark_possible(whole, found) if near else whole.withColumn("possible", F.lit(True))
+    rest = marked.where("possible").withColumns({"doc_id": F.col("row.doc_id"), "n_cp": F.char_length(text_of("row.text"))})
+    hot = with_groups(rest, groups, groups.agg(F.sum("size")).first()[0] or 0)
+    alone = hot.where("size IS NULL").select("row.*")
+    best = hot.where(F.col("size").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep")))
+    best = best.groupBy("sha").agg(F.min_by("row", F.struct(-F.col("n_cp"), text_of("row.text"))).alias("row")).select("row.*")
+    kept = alone.unionByName(best)
+    return marked.where("NOT possible").select("row.*").unionByName(kept) if near else kept
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
