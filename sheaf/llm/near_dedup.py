@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import arrow_rows, held, partitions, stored
+from sheaf.llm.shared import arrow_rows, held, partitions, stored, text_hash
 
 FUNCTIONS, TREES, STEP, SMALL = 64, 12, 5, 2048
 WIDTH, LEAST = 3, 85
@@ -78,7 +78,7 @@ def signature(s: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, set_id (128 bits), sig, low (a byte of each value)."""
+    """doc_id, th, n_shingles, set_id (128 bits), sig, low (a byte of each value)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = codes()
@@ -91,9 +91,10 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 ids.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sigs.append(g.tobytes())
                 lows.append((g & np.uint32(255)).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in (ids, sigs, lows)]], ["doc_id", "n_shingles", "set_id", "sig", "low"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in (ids, sigs, lows)]], ["doc_id", "th", "n_shingles", "set_id", "sig", "low"])
 
-    return arrow_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_shingles long, set_id binary, sig binary, low binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), "text")
+    return arrow_rows(rows, run, "doc_id long, th long, n_shingles long, set_id binary, sig binary, low binary")
 
 
 def least_alike(least: int) -> int:
@@ -117,6 +118,18 @@ def _blocks(large: DataFrame, small: int) -> DataFrame:
     return rows.select(F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")).alias("node"), (F.col("tree") + TREES).alias("tree"), "rep")
 
 
+def _met(rows: DataFrame, sums: DataFrame) -> DataFrame:
+    """``rows`` with the figures of their nodes. Nodes of more than 1/4p of all rows, p the number
+    of partitions, are 4p at most: their figures are broadcast, and their rows are not dealt."""
+    p = partitions(rows.sparkSession)
+    most = (sums.agg(F.sum("n")).first()[0] or 0) / (4 * p)
+    hot = sums.where(F.col("n") > max(most, SMALL))
+    names = [*rows.columns, "n", "hub"]
+    near = rows.join(F.broadcast(hot), "node").select(*names)
+    rest = rows.join(F.broadcast(hot.select("node")), "node", "left_anti").join(sums.where(F.col("n") <= max(most, SMALL)), "node")
+    return near.unionByName(rest.select(*names))
+
+
 def nodes(classes: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
     """(node, tree, rep) of nodes with 2 to about ``small`` classes, and (hub, rep) for those that had more.
 
@@ -132,7 +145,8 @@ def nodes(classes: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]
     done, hubs = None, None
     while True:
         sums = rows.groupBy("node").agg(F.count("*").alias("n"), F.max(F.struct(F.col("size"), (-F.col("rep")).alias("neg"))).alias("top")).where("n > 1")
-        met = stored(rows.join(sums.select("node", "n", (-F.col("top.neg")).alias("hub")), "node"), "nodes")
+        sums = stored(sums.select("node", "n", (-F.col("top.neg")).alias("hub")), "sums")
+        met = stored(_met(rows, sums), "nodes")
         here = met.where(F.col("n") <= small).select("node", "tree", "rep")
         done = here if done is None else done.unionByName(here)
         large = met.where(F.col("n") > small)
@@ -271,7 +285,7 @@ def hub_pairs(hubs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
 
 def whole_sets(docs: DataFrame, reps: DataFrame, width: int = WIDTH) -> DataFrame:
     """rep, items (the sorted set, 8 bytes each) of the classes in ``reps`` (rep, set_id, and
-    ``first``, a document that has the set)."""
+    ``first`` and ``th``, a document that has the set and its text_hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = codes()
@@ -284,7 +298,8 @@ def whole_sets(docs: DataFrame, reps: DataFrame, width: int = WIDTH) -> DataFram
                     items.append(s)
             yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(items, pa.binary())], ["rep", "items"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(reps, "first").select("rep", "set_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text_hash().alias("_th"), "text")
+    rows = rows.join(reps, F.col("_id").eqNullSafe(F.col("first")) & (F.col("_th") == F.col("th"))).select("rep", "set_id", "text")
     return arrow_rows(rows, run, "rep long, items binary").dropDuplicates(["rep"])
 
 
@@ -334,21 +349,24 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_components(docs: DataFrame, width: int = WIDTH, least: int = LEAST, small: int = SMALL) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, th (text_hash), n_shingles, component_id, kept.
 
     Sets are of ``width``-word shingles of the A-Z lower-cased text, or of all words where there
     are fewer. Null or empty texts, and texts of blanks, have none and are linked with nothing.
-    Equal sets are linked. Rows that share a doc_id are sets of their own. A null doc_id is
-    linked by an equal set only, and is never a component_id, unless nothing else is linked
-    with it. An empty table gives no rows; other columns are not read.
+    Equal sets are linked. Rows that share a doc_id are sets of their own; of those of a
+    component one is kept, the one with the smallest th, and its like in doc_id and text. A
+    null doc_id is linked as others, is never a component_id, unless nothing else is linked with
+    it, and is kept only then. Whole texts count, however long. An empty table gives no rows;
+    other columns are not read.
     """
     rows = stored(signatures(docs, width), "signatures")
-    classes = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("size"), F.first("sig").alias("sig"), F.first("low").alias("low"))
-    classes = stored(classes.withColumn("rep", F.xxhash64("set_id")), "classes")
+    who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    classes = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min(who).alias("who"), F.count("*").alias("size"), F.first("sig").alias("sig"), F.first("low").alias("low"))
+    classes = stored(classes.withColumns({"rep": F.xxhash64("set_id"), "first": F.col("who.doc_id"), "th": F.col("who.th")}), "classes")
     placed, hubs = nodes(classes, small)
     found = clusters(placed.join(classes.select("rep", "low"), "rep"), least_alike(least))
     found = stored(found.unionByName(hub_pairs(hubs, classes, least_alike(least))).groupBy("cluster", "rep").agg(F.min("tree").alias("tree")), "clusters")
-    need = found.select("rep").distinct().join(classes.select("rep", "set_id", "first"), "rep")
+    need = found.select("rep").distinct().join(classes.select("rep", "set_id", "first", "th"), "rep")
     sets = stored(whole_sets(docs, need, width), "sets")
     lows = classes.select("rep", "low")
     # The hubs and two trees give most links; then only clusters that may join parts count.
@@ -359,16 +377,18 @@ def near_components(docs: DataFrame, width: int = WIDTH, least: int = LEAST, sma
     late = named.join(open_, "cluster").join(lows, "rep").select("cluster", "rep", "low", "part")
     links = parts.select(F.col("rep").alias("a"), F.col("part").alias("b")).unionByName(confirmed(late, sets, least))
     parts = components(links)
-    ends = stored(classes.select("set_id", "rep", "first").join(parts, "rep", "left").select("set_id", "first", F.coalesce("part", "rep").alias("part")), "ends")
-    least_ids = ends.groupBy("part").agg(F.min("first").alias("component_id"))
-    ends = ends.join(least_ids, "part").select("set_id", "component_id")
-    out = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "set_id").join(ends, "set_id").select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ends = stored(classes.select("set_id", "rep", "who").join(parts, "rep", "left").select("set_id", "who", F.coalesce("part", "rep").alias("part")), "ends")
+    best = ends.groupBy("part").agg(F.min("who").alias("best"))
+    ends = ends.join(best, "part").select("set_id", "best")
+    out = rows.where("n_shingles > 0").select("doc_id", "th", "n_shingles", "set_id").join(ends, "set_id")
+    kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))
+    out = out.select("doc_id", "th", "n_shingles", F.col("best.doc_id").alias("component_id"), kept.alias("kept"))
+    alone = rows.where("n_shingles = 0").select("doc_id", "th", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return out.unionByName(alone)
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("th")
 
 
 ORACLE = r"""
