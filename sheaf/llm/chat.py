@@ -80,11 +80,13 @@ def format_chats(turns: DataFrame, template: Template = Template(), chunk: int =
     """One row per conv_id: n_turns, valid (the machine ends in a final state), ``segments``
     (array<struct<text, loss>>) and ``formatted``, their texts joined.
 
-    Turns are ordered by turn (null first), then role and text; rows that tie are all kept. A
+    Turns are ordered by turn (null first), then role and text; rows that tie are all kept, and
+    texts are kept whole, however long. A
     null text or role is empty; roles without marks of their own get the general ones. Null
     conv_ids are one conversation. An empty table gives no rows, and other columns are not
     read. Turns are gathered by ``chunk`` first and the machine's moves over a chunk composed,
-    so what meets for a conversation is a few rows, however many turns it has.
+    so what meets for a conversation is a few rows, however many turns it has; turns of one number,
+    or without one, are gathered at once.
     """
     t = template
     role, text = text_of("role"), text_of("text")
@@ -136,6 +138,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("lost").cast("long").alias("loss_chars"),
         F.sha2("lost", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
     )
 
 
@@ -157,7 +160,8 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role IN ({roles})), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role IN ({roles})), '')) AS loss_sha256,
-       sum(length({esc("text")}) + CASE role {known} ELSE {sum(map(len, t.other))} + length({esc("role")}) END)::BIGINT AS formatted_chars
+       sum(length({esc("text")}) + CASE role {known} ELSE {sum(map(len, t.other))} + length({esc("role")}) END)::BIGINT AS formatted_chars,
+       regexp_full_match(string_agg(role, '/' ORDER BY turn, role, text), '(system/)?user/assistant(/user/assistant)*') AS valid
 FROM c GROUP BY conv_id
 """
 
