@@ -4,13 +4,16 @@ repeated rows, empty tables, extra columns with clashing names."""
 import hashlib
 import re
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import duckdb
+import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from sheaf.llm import chat, decontaminate, exact_dedup, licenses, line_dedup, near_dedup, pieces, pii, quality, registry, warc
-from sheaf.llm.shared import new_folder
+from sheaf.llm.shared import new_folder, text_hash, without_rows
 
 SF = "/root/testdata/sf0.001"
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -121,7 +124,19 @@ def test_exact_dedup(spark, docs, none, bits):
     assert exact_dedup.exact_dedup(none, bits).count() == 0
     left = exact_dedup.drop_copies(docs, bits)
     assert left.columns == docs.columns
-    assert sorted(map(str, (r["doc_id"] for r in left.collect()))) == sorted(str(w[0]) for w in want if w[3])
+    assert sorted((r["text"] or "").translate({ord(c): None for c in BLANK}) for r in left.collect()) == sorted(groups)
+    kept = {(w[0], w[4]) for w in want if w[3]}
+    assert {(r["doc_id"], sha((r["text"] or "").translate({ord(c): None for c in BLANK}))) for r in left.collect()} == kept
+
+
+def test_rows_alike_in_id_are_told_apart(spark):
+    df = table(spark, ["bad text", "good text", "same", "same", "bad text", None], [1, 1, 2, 2, None, None])
+    gone = df.where("text = 'bad text'").select("doc_id", text_hash().alias("th"))
+    for most in (100, 0):
+        left = without_rows(df, gone, most)
+        assert left.columns == df.columns
+        assert rows(left.select("doc_id", "text")) == sorted([(1, "good text"), (2, "same"), (2, "same"), (None, None)], key=str)
+    assert rows(exact_dedup.drop_copies(df).select("doc_id", "text")) == sorted([(1, "bad text"), (1, "good text"), (2, "same"), (None, None)], key=str)
 
 
 def test_bloom_filter_is_safe_and_sharp(spark):
@@ -244,10 +259,100 @@ def test_boosted_trees_separate_their_cells():
     assert min(good) > max(bad)
 
 
-def test_secrets_are_added(spark):
-    texts = [f"word token = {hashlib.sha1(str(i).encode()).hexdigest()} more" for i in range(40)] + ["plain words only"] * 40
-    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(table(spark, texts)).collect()}
-    assert all([s["kind"] for s in got[i]] == ["secret"] for i in range(40)) and not any(got[i] for i in range(40, 80))
+def loose_brute(texts):
+    """Spans of each text by plain Python: base spans, and loose candidates by the fitted trees."""
+    import math
+
+    cells, found = Counter(), []
+    for t in texts:
+        base = base_spans(t)
+        mine = []
+        for kind, p in pii.LOOSE.items():
+            for m in regex.finditer(p, t or ""):
+                s, d = m[0], re.sub("[^0-9]", "", m[0])
+                before = t[max(m.start() - 24, 0) : m.start()]
+                luhn = 8 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(d))) % 10 == 0
+                has = [luhn, len(d) >= 8, len(d) >= 13, len(d) >= 16, len(d) > 19, re.fullmatch(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", s), s.startswith("+"), re.search(r"[\x20().-]", s), re.search("[A-Za-z]", s) and len(d) >= 3, re.fullmatch("[0-9a-f]+", s), len(s) >= 32, re.search("[\"'=:]\\s?$", before), re.search(r"(?i)(?:\.|dot\)\x20|dot\]\x20)(?:com|org|net|edu|gov|io|info|de|fr|es|uk|eu|[a-z]{2})$", s), re.search("[(-]", s)]
+                bits = sum(1 << i for i, x in enumerate(has) if x)
+                over = any(a < m.end() and m.start() < z for _, a, z in base)
+                cue = {"number": pii.NUMBER_CUES, "secret": pii.SECRET_CUES, "handle": pii.MAIL_CUES}[kind]
+                label = True if re.search(cue, before) or kind == "number" and over else False if re.search(pii.OTHER_CUES[kind], before) else None
+                if label is not None:
+                    cells[kind, bits, label] += 1
+                mine.append((kind, m.start(), m.end(), bits, over))
+        found.append((base, mine))
+    out = []
+    models = {}
+    for kind, known in pii.KNOWN.items():
+        counts = defaultdict(lambda: [0, 0])
+        for names, no, yes in known:
+            cell = counts[sum(1 << pii.FEATURES.index(f) for f in names.split())]
+            cell[0] += no
+            cell[1] += yes
+        for (k, bits, label), n in sorted(cells.items()):
+            if k == kind:
+                counts[bits][label] += n
+        model = pii.boost({b: tuple(c) for b, c in counts.items()})
+        best, sums = math.inf, [0, 0]
+        for score in sorted({pii._score(b, model) for b in counts}, reverse=True):
+            sums = [sum(c[i] for b, c in counts.items() if pii._score(b, model) >= score) for i in (0, 1)]
+            best = score if sums[1] >= 0.95 * sum(sums) else best
+        models[kind] = (model, best)
+    for base, mine in found:
+        out.append(sorted([(*x, True) for x in base] + [(k, a, z, False) for k, a, z, bits, over in mine if not over and pii._score(bits, models[k][0]) >= models[k][1] - 1e-9], key=lambda x: (pii.KINDS.index(x[0]), x[1])))
+    return out
+
+
+def personal_texts():
+    import random
+
+    rng = random.Random(6)
+    out = [f"word token = {hashlib.sha1(str(i).encode()).hexdigest()} more" for i in range(12)]
+    out += [f"write to joe.{i} (at) site{i} (dot) org now" for i in range(6)] + ["phone 555-123-4567 or 0301 234 567 89", "at home (at) the.mill", "tel (030) 1234-5678."]
+    out += ["plain words only", "order 20240611 of 1000000 pieces", "abcdefghijklmnopqrstuvwxyz", "x" * 40, None, "", "key: Zq8-" + "a1B2c3D4" * 5]
+    return out + [" ".join(rng.choices(["4111 1111 1111 1111", "10.0.0.1", "+1 (017) 555-7713", "a@b.cd", "note", "card 4111-1111", "19990101", "é", "secret=" + "f00d" * 8], k=8)) for _ in range(25)]
+
+
+def test_all_kinds_are_added_and_equal_brute_force(spark):
+    texts = personal_texts()
+    want = loose_brute(texts)
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"], s["base"]) for s in r["spans"]] for r in pii.personal_data(table(spark, texts)).collect()}
+    for i, w in enumerate(want):
+        assert got[i] == w, texts[i]
+    assert {s[0] for w in want for s in w if not s[3]} == {"number", "secret", "handle"}
+    assert all(any(s[0] == "secret" for s in got[i]) for i in range(12)) and all(any(s[0] == "handle" for s in got[i]) for i in range(12, 18))
+    assert any(s[0] == "number" for s in got[18]) and not any(got[i] for i in (21, 22, 23, 24, 25, 26))
+
+
+def test_a_text_alone_is_judged_like_one_among_many(spark):
+    (r,) = pii.personal_data(table(spark, [personal_texts()[0]])).collect()
+    assert [s["kind"] for s in r["spans"]] == ["secret"]
+
+
+def test_planted_spans_are_held_out(spark):
+    """Personal data without any cue word before it, among clean texts: recall and precision."""
+    import random
+
+    rng = random.Random(9)
+    words = ["the", "of", "house", "river", "in 2024 it", "page 12 of", "chapter 7 on", "and", "1999 was", "a", "walk", "20240611 pieces"]
+    make = [lambda: hashlib.sha256(str(rng.random()).encode()).hexdigest(), lambda: f"{rng.choice('abc')}.{rng.randrange(99)} (at) mail (dot) com", lambda: f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}", lambda: "".join(rng.choices("abcdefXYZ0123456789", k=40))]
+    texts, planted = [], []
+    for i in range(200):
+        t = rng.choices(words, k=30)
+        if i % 2:
+            t.insert(15, make[i // 2 % 4]())
+        texts.append(" ".join(t))
+        planted.append(bool(i % 2))
+    got = {r["doc_id"]: bool(r["spans"]) for r in pii.personal_data(table(spark, texts)).collect()}
+    hit = sum(got[i] for i, p in enumerate(planted) if p) / 100
+    wrong = sum(got[i] for i, p in enumerate(planted) if not p) / 100
+    assert hit >= 0.9 and wrong <= 0.02, (hit, wrong)
+
+
+def test_redacted(spark):
+    texts = ["Mail a@b.cd, call +1 (017) 555-7713 or 4111 1111 1111 1111.", "nothing", None, "10.0.0.1" + " 10.0.0.2" * 200]
+    got = {r["doc_id"]: r["redacted"] for r in pii.redacted(table(spark, texts)).collect()}
+    assert got == {0: "Mail [EMAIL], call [PHONE] or [CARD].", 1: "nothing", 2: "", 3: "[IP]" + " [IP]" * 200}
 
 
 # --- 7 ---------------------------------------------------------------------------------------
@@ -328,11 +433,14 @@ def test_near_dedup(spark, docs, none, small):
         for _ in range(rng.randint(0, 6)):
             t[rng.randrange(len(t))] = f"x{rng.randrange(10**6)}"
         texts.append(" ".join(t))
-    for df in (docs.where("doc_id IS NOT NULL"), table(spark, texts)):
+    for df in (docs, table(spark, texts)):
         data = [(r["doc_id"], r["text"]) for r in df.collect()]
         got = near_dedup.near_components(df, small=small)
-        assert rows(got.drop("kept")) == sorted(near_brute(data), key=str)
-        assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.collect())
+        want = near_brute(data)
+        assert rows(got.drop("kept", "th")) == sorted(want, key=str)
+        kept = [r for r in got.collect() if r["kept"]]
+        assert all(r["doc_id"] == r["component_id"] for r in kept)
+        assert {r["component_id"] for r in kept if r["n_shingles"]} == {w[2] for w in want if w[1]}
     assert near_dedup.near_components(none).count() == 0
 
 
@@ -363,19 +471,75 @@ def test_components_of_a_path(spark):
 # --- 10 --------------------------------------------------------------------------------------
 
 
+def leaks_brute(texts, bench, least=0.5):
+    """(document, item): coverage and whether reworded, by plain loops over the places."""
+    codes = decontaminate.Codes()
+    out = {}
+
+    def told(text, n):
+        w = decontaminate.Words(text or "", codes)
+        a, b, slots = w.windows(n)
+        return w, [(int(x), int(y), int(z)) for x, y, z in zip(a, b, slots)]
+
+    for item, it in bench:
+        size = min(decontaminate.WINDOW, len(decontaminate.Words(it or "", codes)))
+        if not size:
+            continue
+        iw, own = told(it, size)
+        for d, dt in enumerate(texts):
+            dw, theirs = told(dt, size)
+            best = None
+            for occ in {2 * ((p - q) // 8) for p in range(len(theirs)) for q in range(len(own))} | {2 * ((p - q + 4) // 8) + 1 for p in range(len(theirs)) for q in range(len(own))}:
+                pairs = [(p, q) for p in range(len(theirs)) for q in range(len(own)) if occ == (2 * ((p - q) // 8), 2 * ((p - q + 4) // 8) + 1)[occ % 2]]
+                if size < decontaminate.LEAST_WORDS:
+                    pairs = [(p, q) for p, q in pairs if dw.starts[p] and dw.ends[p + size - 1]]
+                plain = {q for p, q in pairs if theirs[p][0] == own[q][0]}
+                maps = []
+                for p, q in {(tuple(dw.values(p, size)), q) for p, q in pairs if theirs[p][1] == own[q][1] != own[q][0]}:
+                    maps.append((q, [(x.split("\t")[1], y.split("\t")[1]) for x, y in zip(iw.values(q, size), p)]))
+                # the query counts a window of each place of the document
+                votes = Counter()
+                for p, q in pairs:
+                    if theirs[p][1] == own[q][1] != own[q][0] and theirs[p][1] != theirs[p][0]:
+                        votes.update((x.split("\t")[1], y.split("\t")[1]) for x, y in zip(iw.values(q, size), dw.values(p, size)))
+                to = {x: max((n, y) for (a, y), n in votes.items() if a == x)[1] for x, _ in votes}
+                back = {y: max((n, x) for (x, b), n in votes.items() if b == y)[1] for _, y in votes}
+                fit = {q for q, m in maps if all(to.get(x) == y and back.get(y) == x for x, y in m)} | plain
+                open_ = [q for q in range(len(own)) if not (own[q][2] and own[q][0] == own[q][1])]
+                against = {q for q, _ in maps} - fit
+                cover = max(len(plain) / len(own), min(1, (len(fit) - len(against)) / len(open_)) if open_ else 0)
+                run = max((sum(1 for _ in g) for k, g in groupby(range(len(own)), lambda q: q in plain) if k), default=0)
+                if cover >= least or run >= decontaminate.RUN:
+                    got = (round(cover, 6), len(plain) / len(own) < least and run < decontaminate.RUN)
+                    best = (max(best[0], got[0]), best[1] and got[1]) if best else got
+            if best:
+                out[d, item] = best
+    return out
+
+
 def test_decontamination(spark, docs, none):
     item = "Alice has 12 apples and then Bob gives 5 apples to Alice, so how many apples does Alice have in total after 3 days?"
     other = item.replace("Alice", "Carol").replace("Bob", "Dan").replace("12", "40").replace("5", "7")
+    third = item.replace("Alice", "Emma").replace("Bob", "Frank").replace("12", "61").replace("5", "8")
     mixed = "Alice has 12 apples and then Bob gives 5 apples to Carol, so how many apples does Peter have in total after 3 days?"
-    texts = [f"Before it. {item} After it.", item.upper(), f"Intro. {other}", mixed.replace("12", "77"), "nothing of it", None, "", "tiny item", "a tiny item here"]
-    bench = spark.createDataFrame([(1, item, "k"), (2, None, "k"), (3, "", "k"), (4, "tiny item", "k"), (1, item, "k")], "item_id long, text string, hash string")
-    got = {(r["doc_id"], r["item_id"]): r["reworded"] for r in decontaminate.contaminated(table(spark, texts), bench).collect()}
-    assert got.keys() >= {(0, 1), (1, 1), (2, 1), (7, 4)} and not {d for d, _ in got} & {4, 5, 6, 8}
-    assert got[0, 1] is False and got[2, 1] is True
-    assert decontaminate.contaminated(none, bench).count() == 0
-    assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
-    left = decontaminate.decontaminated(table(spark, texts), bench)
-    assert {r["doc_id"] for r in left.collect()} >= {4, 5, 6, 8}
+    same = item.replace("Alice", "Anna").replace("Bob", "Anna").replace("12", "9").replace("5", "9").replace("3", "9")
+    long = "The quick river ran over old stones and past the mill where nobody had lived since the great flood took the bridge and half of the village with it into the sea"
+    dense = "Ride 30 km in 2 hours, then 45 km in 3 hours, then 10 miles in 4 hours and tell me how many kilometres you rode in these 9 hours."
+    texts = [f"Before it. {item} After it.", item.upper(), f"Intro. {other}", mixed.replace("12", "77"), "nothing of it", None, "", "tiny item", "a tiny item here", "Well. Tiny item! Yes."]
+    texts += [f"We ask: what is the capital of France? Say so.", "The capital of France is known", f"{other} And also: {third}", same, f"so {' '.join(long.split()[:14])} and on", f"so {' '.join(long.split()[:9])} and on", dense.replace("30", "55").replace("45", "71").replace("10", "12").replace("9 h", "14 h").replace("in 4", "in 6"), f"{item} " * 3 + "word " * 3000]  # noqa: F541
+    bench = [(1, item, "k"), (2, None, "k"), (3, "", "k"), (4, "tiny item", "k"), (1, item, "k"), (5, "What is the capital of France?", "k"), (6, long, "k"), (7, dense, "k")]
+    items = spark.createDataFrame(bench, "item_id long, text string, hash string")
+    got = {(r["doc_id"], r["item_id"]): (round(r["coverage"], 6), r["reworded"]) for r in decontaminate.contaminated(table(spark, texts), items).collect()}
+    assert got.keys() == {(0, 1), (1, 1), (2, 1), (12, 1), (17, 1), (7, 4), (9, 4), (10, 5), (14, 6), (16, 7)}
+    assert [got[k][1] for k in ((0, 1), (2, 1), (12, 1), (14, 6), (16, 7))] == [False, True, True, False, True]
+    small = [t for t in texts if len(t or "") < 3000]
+    assert leaks_brute(small, [b[:2] for b in bench if b[0] != 1] + [(1, item)]) == {k: v for k, v in got.items() if k[0] < len(small)}
+    assert decontaminate.contaminated(none, items).count() == 0
+    assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
+    odd = spark.createDataFrame([(1, texts[0]), (1, "clean words"), (None, texts[2]), (None, None), (3, texts[0]), (3, texts[0])], "doc_id long, text string").withColumns({"th": F.lit(1), "place": F.lit("x"), "item_id": F.lit(None)})
+    left = decontaminate.decontaminated(odd, items)
+    assert left.columns == odd.columns and rows(left.select("doc_id", "text")) == [(1, "clean words"), (None, None)]
+    assert len(decontaminate.contaminated(odd, items).collect()) == 3
 
 
 # --- 4 ---------------------------------------------------------------------------------------
@@ -479,8 +643,8 @@ def quality_brute(data, labels, quantile):
     import math
 
     trusted = {i for i, q, t in labels if q == 1 and not t and i is not None}
-    enc = quality.Encoder()
-    seen = [(i, lang or "", f, ["".join(map(chr, cp[n - 1 :])) for n, cp in zip(quality.VIEWS.values(), enc.views(t or ""))]) for i, lang, f, t in data]
+    kinds = quality.classes()
+    seen = [(i, lang or "", f, ["".join(map(chr, v.cp[v.order - 1 :])) for v in quality.text_views([t or ""], kinds)]) for i, lang, f, t in data]
     out = [[] for _ in data]
     limits = []
     for v, (view, order) in enumerate(quality.VIEWS.items()):
@@ -504,6 +668,22 @@ def quality_brute(data, labels, quantile):
     return out, limits
 
 
+def test_word_shapes_of_texts_together():
+    kinds = quality.classes()
+    texts = ["", "The cat, the CAT! sat", " a a a  b b\x00", "", "%% x1. \u3000é", "a"]
+    both = quality.text_views(texts, kinds)
+    for v, edges in zip(both, (4, 2)):
+        alone = [quality.text_views([t], kinds)[0 if edges == 4 else 1] for t in texts]
+        assert v.cp.tolist() == [c for a in alone for c in a.cp.tolist()]
+        assert v.n.tolist() == [a.n[0] for a in alone]
+        values = (v.hash % np.uint64(1000)).astype(np.int64) if not v.empty else None
+        assert v.sums(values).tolist() == [int((a.hash % np.uint64(1000)).sum()) if a.n[0] else 0 for a in alone]
+    assert both[0].n.tolist() == list(map(len, texts))
+    shape = both[1].cp.tolist()
+    words = [[w for w in shape[2 + both[1].begin[k] : 2 + both[1].begin[k] + both[1].n[k]]] for k in range(len(texts))]
+    assert words[2][1:3] == [101, 102] and words[2][4] != 101 and words[4][0] >= 50 and [len(w) for w in words] == [0, 5, 5, 0, 3, 1]
+
+
 def test_quality_equals_brute_force(spark):
     import random
 
