@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sheaf.llm import decontaminate, exact_dedup, near_dedup, pieces, quality
-from sheaf.llm.shared import stored, without_ids
+from sheaf.llm.shared import stored, without_rows
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose perplexity is above their language's limit."""
     found = quality.quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return without_ids(docs, found.where("NOT kept").select("doc_id"))
+    return without_rows(docs, found.where("NOT kept"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words, a similarity of 0.8 or more."""
     found = near_dedup.near_components(docs, width=5, least=80)
-    return without_ids(docs, found.where("NOT kept").select("doc_id"))
+    return without_rows(docs, found.where("NOT kept"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
