@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.text import split_lines, strip
 
-#: Tags that an excerpt keeps.
-KEPT_TAGS = "table|tr|td|th|tbody|thead|br|sub|sup|img|div|p|b|i"
+# Tags that an excerpt keeps, and attributes that are safe in them.
+KEPT_TAGS = "img|table|tr|td|th|div|br|hr|sup|sub|b|i|u|center"
+SAFE_ATTRIBUTE = r"(?:src|alt|width|height|style|align|colspan|rowspan|border|class)=(?:\"(?!\s*(?i:javascript|data):)[^\"<>]*\"|'(?!\s*(?i:javascript|data):)[^'<>]*'|[\w.%#-]+)"
 
 
 def escaped(c: Column) -> Column:
@@ -34,9 +35,10 @@ def page(title: Column, body: Column) -> Column:
 
 
 def excerpt(lines: Column) -> Column:
-    """Lines (array) as HTML in which only KEPT_TAGS are tags."""
+    """Lines (array) as HTML in which only KEPT_TAGS are tags, and these only where all their
+    attributes are SAFE_ATTRIBUTE: others are shown as text, so nothing in them runs."""
     text = escaped(F.array_join(lines, "<br>\n"))
-    return F.regexp_replace(text, rf"(?i)&lt;(/?(?:{KEPT_TAGS})(?:\s(?:(?!&[lg]t;).)*)?/?)&gt;", "<$1>")
+    return F.regexp_replace(text, rf"(?i)&lt;(/?(?:{KEPT_TAGS})(?:\s+{SAFE_ATTRIBUTE})*\s*/?)&gt;", "<$1>")
 
 
 def outside_math(line: Column, old: str, new: str) -> Column:

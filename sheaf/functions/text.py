@@ -5,9 +5,9 @@ Java's \\s lacks U+3000 and others unless (?U) is set, and U+001C-U+001F even th
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Line ends of str.splitlines().
@@ -103,3 +103,15 @@ def safe_path(ref: Column) -> Column:
 def redact(c: Column) -> Column:
     """Mask what looks like an access key."""
     return F.regexp_replace(c, r"(?i)\b(sk-|bearer\s+)[A-Za-z0-9._-]{8,}", "$1***")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, though it stands in lambdas of ``body``: there a
+    plain expression would be computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with columns that the optimizer does not move into the lambdas that use them."""
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))

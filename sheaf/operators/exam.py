@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions import similarity
 from sheaf.functions.exam_text import question_number
-from sheaf.functions.text import compact, first_match, split_lines, strip
+from sheaf.functions.text import compact, computed, first_match, let, split_lines, strip
 from sheaf.operators.qc import worst
 
 # Patterns of the paper format.
@@ -31,6 +31,7 @@ GUIDANCE = "选出.{0,10}(选项|答案)|(涂黑|填涂|填写)该项|将该项.
 PAPER_LINE = (
     r"^#{1,4}\s*\d{4}\s*北京|^#{1,4}\s*[一二三四五六七八九十]+\s*[、．.]\s*(单选|选择|多选|填空|非选择|简答|实验|计算|作文|书面表达|阅读|完形|听力|解答|判断)"
     r"|^#{1,4}\s*参考答案|^#{1,4}\s*答案与解析|^#{1,4}\s*评分标准|共\s*\d+\s*(小题|题).{0,12}(共\s*\d+\s*分|每题|每小题)|^班级[：:]|^\s*姓名[：:]|^\s*学号[：:]"
+    r"|考试时间\s*\d|满分\s*\d+|^\s*注意事项"
 )
 ZONES = {"stem": ("“题干区开始”", "“题干区结束”"), "answer": ("“答案区开始”", "“答案区结束”")}
 ROLES = ("stem", "options", "answer", "explanation", "extra", "material", "questions")
@@ -42,13 +43,18 @@ PAPER = f"doc_id string, text string, rendered string, annotated string, source_
 
 def _text(papers: DataFrame) -> DataFrame:
     """``papers`` with ``lines``, those of the source without META comments."""
-    return papers.withColumn("lines", split_lines(F.regexp_replace("text", META, "")))
+    return computed(papers, {"lines": split_lines(F.regexp_replace("text", META, ""))})
 
 
 def _at(lines: Column, no: Column) -> Column:
     return F.get(lines, no - 1)
 
 
+def is_paper_line(line: Column) -> Column:
+    """A line of the paper, not of a question. The patterns hold where the line begins."""
+    return F.coalesce(strip(line).rlike(f"(?U)^(?:{PAPER_LINE})"), F.lit(False))
+
+
 def is_heading(line: Column) -> Column:
     """A section's heading: not one of answers, nor a sub-question's."""
     s = strip(line)
@@ -61,21 +67,29 @@ def sections(lines: Column) -> Column:
     """array<struct<id, title, ordinal, start_line, end_line, derived>> that partition the
     lines. What stands before the first heading, or all without any, is the derived S0."""
     heads = F.filter(F.transform(lines, lambda x, i: F.struct((i + 1).alias("at"), F.substring(F.regexp_replace(strip(x), r"^#{1,4}\s*", ""), 1, 40).alias("title"), is_heading(x).alias("is"))), lambda h: h["is"])
-    first = F.coalesce(F.get(heads, F.lit(0))["at"], F.greatest(F.size(lines), F.lit(1)) + 1)
-    lead = F.when(first > 1, F.array(F.struct(F.lit(1).alias("at"), F.lit(None).cast("string").alias("title"), F.lit(True).alias("derived")))).otherwise(F.array().cast("array<struct<at:int,title:string,derived:boolean>>"))
-    all_ = F.concat(lead, F.transform(heads, lambda h: F.struct(h["at"].alias("at"), h["title"].alias("title"), F.lit(False).alias("derived"))))
-    n_lead = F.size(lead)
-    return F.transform(
-        all_,
-        lambda s, i: F.struct(
-            F.concat(F.lit("S"), i.cast("string")).alias("id"),
-            s["title"].alias("title"),
-            F.when(s["derived"], 0).otherwise(i - n_lead + 1).alias("ordinal"),
-            s["at"].alias("start_line"),
-            F.coalesce(F.get(all_, i + 1)["at"] - 1, F.greatest(F.size(lines), F.lit(1))).alias("end_line"),
-            s["derived"].alias("derived"),
-        ),
-    )
+    last = F.greatest(F.size(lines), F.lit(1))
+    lead = F.array(F.struct(F.lit(1).alias("at"), F.lit(None).cast("string").alias("title"), F.lit(True).alias("derived")))
+    none = F.array().cast("array<struct<at:int,title:string,derived:boolean>>")
+
+    def whole(h: Column) -> Column:
+        first = F.coalesce(F.get(h, F.lit(0))["at"], last + 1)
+        return F.concat(F.when(first > 1, lead).otherwise(none), F.transform(h, lambda x: F.struct(x["at"].alias("at"), x["title"].alias("title"), F.lit(False).alias("derived"))))
+
+    def told(a: Column) -> Column:
+        n_lead = F.size(F.filter(a, lambda s: s["derived"]))
+        return F.transform(
+            a,
+            lambda s, i: F.struct(
+                F.concat(F.lit("S"), i.cast("string")).alias("id"),
+                s["title"].alias("title"),
+                F.when(s["derived"], 0).otherwise(i - n_lead + 1).alias("ordinal"),
+                s["at"].alias("start_line"),
+                F.coalesce(F.get(a, i + 1)["at"] - 1, last).alias("end_line"),
+                s["derived"].alias("derived"),
+            ),
+        )
+
+    return let(heads, lambda h: let(whole(h), told))
 
 
 def unit_start(u: Column) -> Column:
@@ -85,14 +99,14 @@ def unit_start(u: Column) -> Column:
 def assign_identity(papers: DataFrame) -> DataFrame:
     """Papers of identity version 2: ``sections``, and each unit's section by its first line,
     the first section where it has none. Units are known by position."""
-    rows = _text(papers).withColumn("sections", sections(F.col("lines")))
+    rows = computed(_text(papers), {"sections": sections(F.col("lines"))})
 
     def placed(u: Column) -> Column:
         inside = F.filter("sections", lambda s: unit_start(u).between(s["start_line"], s["end_line"]))
         s = F.coalesce(F.get(inside, F.lit(0)), F.get(F.col("sections"), F.lit(0)))
         return u.withField("section_ref", s["id"]).withField("section", s["title"])
 
-    return rows.withColumns({"units": F.transform("units", placed), "identity_version": F.lit(2)}).drop("lines")
+    return computed(rows, {"units": F.transform("units", placed), "identity_version": F.lit(2)}).drop("lines")
 
 
 def _issue(code: str, severity: str, detail: Column) -> Column:
@@ -144,10 +158,8 @@ def identity_issues(units: Column, secs: Column, lines: Column) -> Column:
     twice = F.size(secs) != F.size(F.array_distinct(F.transform(secs, lambda s: s["ordinal"])))
     lost = F.filter(units, lambda u: F.coalesce(u["section_ref"], F.lit("")) == "")
     claims = F.flatten(F.transform(units, lambda u: F.transform(F.coalesce(u["question_numbers"], F.array().cast("array<int>")), lambda n: F.struct(n.alias("n"), F.coalesce(u["section_ref"], F.lit("")).alias("s"), F.coalesce(u["basis"] == "keep", F.lit(False)).alias("keeps"), evidence_holds(u, lines).alias("proved")))))
-    numbers = F.array_sort(F.array_distinct(F.transform(claims, lambda c: c["n"])))
 
-    def judged(n: Column) -> Column:
-        own = F.filter(claims, lambda c: c["n"] == n)
+    def judged(own: Column, n: Column) -> Column:
         same = F.size(F.array_distinct(F.transform(own, lambda c: c["s"]))) < F.size(own)
         free = F.size(F.filter(own, lambda c: ~c["keeps"])) > 1
         weak = F.exists(own, lambda c: c["keeps"] & ~c["proved"])
@@ -159,7 +171,15 @@ def identity_issues(units: Column, secs: Column, lines: Column) -> Column:
         _when("C13_SECTION_SPAN", F.size(bad_span) > 0),
         _when("C14_SCOPE_MISSING", F.size(lost) > 0, F.size(lost), "PENDING_REVIEW"),
     )
-    return F.array_compact(F.concat(fixed, F.transform(numbers, judged)))
+    # only numbers that are claimed twice are looked at further
+    owned = let(claims, lambda cs: let(F.array_sort(cs), lambda so: F.transform(_repeats(so), lambda n: let(F.filter(so, lambda c: c["n"] == n), lambda own: judged(own, n)))))
+    return F.array_compact(F.concat(fixed, owned))
+
+
+def _repeats(claims: Column) -> Column:
+    """Numbers that stand twice in a sorted array of claims."""
+    again = F.filter(claims, lambda c, i: F.coalesce(F.get(claims, i + 1)["n"] == c["n"], F.lit(False)))
+    return F.array_distinct(F.transform(again, lambda c: c["n"]))
 
 
 def quality(papers: DataFrame) -> DataFrame:
@@ -173,7 +193,7 @@ def quality(papers: DataFrame) -> DataFrame:
     numbers = F.array_distinct(F.flatten(F.transform(units, lambda u: F.coalesce(u["question_numbers"], F.array().cast("array<int>")))))
     in_source = F.array_distinct(F.filter(F.transform(lines, lambda x: question_number(x)["n"]), lambda n: n.between(1, 200)))
     gaps = F.array_sort(F.filter(F.array_except(in_source, numbers), lambda n: n <= F.coalesce(F.array_max(numbers), F.lit(0))))
-    rows = rows.withColumns({"_numbers": numbers, "_covered": covered(units)})
+    rows = computed(rows, {"_numbers": numbers, "_covered": covered(units)})
     count = lambda mark: F.regexp_count(rendered, F.lit(mark))
     zones = [_when("C1_NO_" + z.upper() + ("_END" if i else "_START"), count(m) == 0) for z, ms in ZONES.items() for i, m in enumerate(ms)]
     zones += [_when("C1_UNPAIRED_" + z.upper(), count(a) != count(b)) for z, (a, b) in ZONES.items()]
@@ -193,7 +213,7 @@ def quality(papers: DataFrame) -> DataFrame:
     images = free(lambda x: x.rlike(IMAGE_LINE))
     tables = free(lambda x: x.rlike(TABLE_LINE) & ~x.rlike(NOTICE))
     told = F.filter(split_lines(rendered), lambda x: x.rlike(INSTRUCTION) & ~x.rlike(ESSENTIAL) & ~(F.forall(F.regexp_extract_all(x, F.lit(INSTRUCTION), 0), lambda h: h == "在答题卡上") & x.rlike(GUIDANCE)))
-    structural = F.filter("_covered", lambda n: F.coalesce(strip(_at(lines, n)).rlike(PAPER_LINE), F.lit(False)))
+    structural = F.filter("_covered", lambda n: is_paper_line(_at(lines, n)))
     plain = F.filter(split_lines(F.col("annotated")), lambda x: ~x.rlike(r"^\s*<!--\s*META:"))
     marks = lambda kind: F.regexp_extract_all("annotated", F.lit(rf"META:(\w+):{kind}"), 1)
     kinds = F.array_union(marks("start"), marks("end"))
@@ -276,27 +296,38 @@ def shared_materials(papers: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", F.col("u.material").alias("material")).agg(F.array_sort(F.collect_list("unit_ord")).alias("units"))
 
 
-# Forms of answers that the probes know.
-STEP_LINE = r"^\s*\d{1,2}、"
-NUMBER_LINE = r"^\s*(\d{1,3})\s*[.．]"
-ANSWER_PAIR = r"\d{1,3}\s*[.．]?\s*[A-D]\b"
-ANSWER_FORM = r"【答案】|<table|\d{1,3}\s*[–\-~—]\s*\d{1,3}\s*[A-D]{2,}|^\s*[A-D]{1,5}\s*$|^\s*\d{1,3}\s*[.．]\s*[A-D]\b"
+# Numbers at a line's start, steps of a solution, and forms of answers.
+NUMBER_LINE = r"^\s{0,3}(?:#{1,6}\s*)?(\d{1,3})\s*(?:\\?[.、．,，)）])\s*(?!\d)"
+STEP_LINE = r"^\s*\d{1,3}\s*、\s*[\u4e00-\u9fff]"
+ANSWER_MARKS = r"【答案】|【参考答案】|☑\s*答案|答案\s*[:：]|故选|故答案为"
+ANSWER_TABLE = r"(?i)<table"
+ANSWER_LETTERS = r"(?<![A-Za-z])[A-DＡ-Ｄ]{2,}(?![A-Za-z])"
+ANSWER_RANGE = r"\d{1,3}\s*[-–—~]\s*\d{1,3}\s*[A-DＡ-Ｄ]{2,}"
+ANSWER_SINGLE = r"(?m)^\s*(?:\\?[.、．]?\s*)?[A-DＡ-Ｄ]\s*[.。、，,;；]?\s*$"
+ANSWER_PAIR = r"\d{1,3}\s*(?:\\?[.、．])?\s*(?:[A-DＡ-Ｄ]|[a-z]{3,}|[\u4e00-\u9fff]{1,8})"
 
 
 def probes(papers: DataFrame) -> DataFrame:
-    """doc_id, unit_ord, check, detail: P14 foreign numbers in the question, P15 in the answer,
-    P13 an answer without any form of one. A measure, not a gate."""
+    """doc_id, unit_ord, check, detail: P14 foreign numbers in the question, P15 in the answer
+    (lines of two answers or more are shared, and free), P13 an answer without any form of one. A
+    measure, not a gate."""
     recs = unit_records(papers)
     own = F.coalesce("question_numbers", F.array().cast("array<int>"))
+    pairs = lambda x: F.regexp_count(x, F.lit(f"(?U){ANSWER_PAIR}"))
 
     def foreign(part: Column, shared: bool) -> Column:
-        number = lambda x: F.regexp_extract(x, NUMBER_LINE, 1)
-        odd = F.filter(part, lambda x: ~x.rlike(STEP_LINE) & (number(x) != "") & ~F.array_contains(own, number(x).try_cast("int")) & (F.lit(not shared) | (F.regexp_count(x, F.lit(ANSWER_PAIR)) < 2)))
-        return F.transform(odd, number)
+        number = lambda x: F.regexp_extract(x, f"(?U){NUMBER_LINE}", 1)
+        free = F.lit(False) if not shared else None
+        odd = lambda x: ~x.rlike(f"(?U){STEP_LINE}") & (number(x) != "") & ~F.array_contains(own, number(x).try_cast("int")) & ~(free if free is not None else pairs(x) >= 2)
+        return F.transform(F.filter(part, odd), number)
 
     body = F.when(F.col("unit_type") == "composite_question", F.col("questions")).otherwise(F.col("stem"))
     none = F.array().cast("array<string>")
-    formless = (F.size("answer") > 0) & ~F.exists("answer", lambda x: x.rlike(ANSWER_FORM)) & (F.regexp_count(F.array_join("answer", "\n"), F.lit(ANSWER_PAIR)) < 2)
+    whole = F.array_join("answer", "\n")
+    formed = pairs(whole) >= 2
+    for form in (ANSWER_MARKS, ANSWER_TABLE, ANSWER_RANGE, ANSWER_LETTERS, ANSWER_SINGLE):
+        formed = formed | whole.rlike(f"(?U){form}")
+    formless = (F.size("answer") > 0) & ~formed
     flag = lambda code: lambda d: F.struct(F.lit(code).alias("check"), d.alias("detail"))
     flags = F.concat(
         F.transform(F.coalesce(foreign(body, False), none), flag("P14")),

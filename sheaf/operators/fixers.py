@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.exam_text import inline_answers, question_number, range_answers, table_answers
 from sheaf.functions.text import find_all, first_match, one_of, split_lines, strip
-from sheaf.operators.exam import PAPER_LINE, ROLES, _at, _issue, _text, _when, covered, unit_start
+from sheaf.operators.exam import ROLES, _at, _issue, _text, _when, covered, is_paper_line, unit_start
 
 ANSWER_MARK = "【答案】"
 
@@ -121,18 +121,32 @@ def option_labels(lines: Column, start: Column, end: Column) -> Column:
     return F.transform(ordered, lambda m, i: F.struct(m["label"].alias("label"), m["at"].alias("start_line"), F.greatest(m["at"], F.coalesce(F.get(ordered, i + 1)["at"] - 1, end)).alias("end_line")))
 
 
+# Phrases that stand for an answer, whole answers that are none, marks of parts.
+PLACEHOLDERS = (
+    "答案见解析", "答案见详解", "答案见上文", "答案见下文", "答案见图", "答案见答案",
+    "图像见解析", "图见解析", "见解析图", "证明见解析", "过程见解析", "理由见解析",
+    "详见解析", "详见详解",
+    "见解析", "见详解", "见答案", "见上文", "见下文", "无答案", "答案略",
+)
+NO_ANSWERS = ("略", "无", "同上", "答案略", "无答案")
+PART_NUMBERS = r"[（(\[【]?[0-9０-９一二三四五六七八九十ⅠⅡⅢⅣⅤⅥ①②③④⑤⑥⑦⑧⑨⑩]+[）)\]】]?|[。．\.、，,；;：:！!？\?…—－\-]"
+PART_MARK = r"(?m)[（(]\s*(?:[ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]|[IVX]{1,4})\s*[）)]|^[（(]\s*\d{1,2}\s*[）)]"
+
+
 def placeholder(value: Column) -> Column:
-    """none, pure or partial: whether an answer only points elsewhere, or also does."""
-    rest = value
-    for w in ("答案见解析", "见解析", "详见解析", "略", "无答案"):
-        rest = F.replace(rest, F.lit(w), F.lit(""))
-    bare = F.regexp_replace(rest, r"(?U)[\s。．.，,；;：:（）()]+", "")
-    return F.when(rest == value, "none").when(bare == "", "pure").otherwise("partial")
+    """none, pure or partial: whether an answer only points elsewhere, or also does. Phrases are
+    taken out longest first; what is left of numbers, marks and 的 is no answer."""
+    close = F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)\s+", "")
+    phrase = "|".join(sorted(PLACEHOLDERS, key=len, reverse=True))
+    rest = F.regexp_replace(F.regexp_replace(close, phrase, ""), PART_NUMBERS, "")
+    rest = F.regexp_replace(rest, "^[，,、；;：:的]+|[，,、；;：:的]+$", "")
+    core = F.regexp_replace(close, r"[。．.、，,；;：:！!？?…]+$", "")
+    return F.when(core.isin(*NO_ANSWERS), "pure").when(~close.rlike(phrase), "none").when(rest == "", "pure").otherwise("partial")
 
 
 def many_parts(block: Column) -> Column:
     """Whether a text has two or more different part marks."""
-    return F.size(F.array_distinct(find_all(block, r"[（(]\d{1,2}[)）]|[①②③④⑤⑥⑦⑧⑨⑩]"))) >= 2
+    return F.size(F.array_distinct(F.transform(find_all(block, PART_MARK), lambda m: strip(m)))) >= 2
 
 
 def completeness(value: Column, block: Column, cited: Column) -> Column:
@@ -183,7 +197,7 @@ def validated(papers: DataFrame) -> DataFrame:
         told = F.array_union(F.array_union(F.map_keys(table_answers(block)), F.map_keys(range_answers(block))), F.map_keys(inline_answers(split_lines(block))))
         mixed = [F.exists(F.when(ok(u[r]), of(u[r])), lambda i: marked(i) & ~F.array_contains(F.col("_answers"), i)) for r in ("stem", "material", "questions")]
         head = lambda i: _at(lines, i).rlike(r"^\s*#{1,6}\s*\d") & F.array_contains(own, question_number(_at(lines, i))["n"]) & ~marked(i)
-        paper = [F.exists(F.when(ok(u[r]), of(u[r])), lambda i: strip(_at(lines, i)).rlike(PAPER_LINE)) for r in ROLES]
+        paper = [F.exists(F.when(ok(u[r]), of(u[r])), lambda i: is_paper_line(_at(lines, i))) for r in ROLES]
         rules = [_when("SPAN", u[r].isNotNull() & ~ok(u[r]), F.concat(u["unit_id"], F.lit(f" {r}"))) for r in ROLES]
         rules += [
             _when("NO_NUMBERS", F.size(own) <= 0, u["unit_id"]),

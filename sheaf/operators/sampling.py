@@ -13,13 +13,31 @@ def hash_sample(rows: DataFrame, group: str, key: Column, n: int) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= n).drop("_n")
 
 
-def even_sample(rows: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
-    """Per group of m rows, those at floor(i * m / n) for i below n; all if there are fewer."""
-    whole, by = Window.partitionBy(group), Window.partitionBy(group).orderBy(*order)
-    rows = rows.withColumns({"_i": F.row_number().over(by) - 1, "_m": F.count("*").over(whole)})
-    slot = F.ceil(F.col("_i") * n / F.col("_m"))
-    hit = (F.col("_m") <= n) | ((slot < n) & (F.floor(slot * F.col("_m") / n) == F.col("_i")))
-    return rows.where(hit).drop("_i", "_m")
+def even_sample(rows: DataFrame, group: str, order: list[str], n: int, buckets: int = 64) -> DataFrame:
+    """Per group of m rows, those at floor(i * m / n) for i below n; all if there are fewer.
+
+    Ranks are exact: the first column of ``order``, if it is a number, is dealt by its quantiles
+    in each group into ``buckets``, whose sizes give the ranks before each; so a task ranks a
+    part of a group. Other columns are ranked group by group."""
+    from pyspark.sql.types import NumericType
+
+    parts = F.lit(0)
+    if isinstance(rows.schema[order[0]].dataType, NumericType):
+        at = [i / buckets for i in range(1, buckets)]
+        cuts = rows.groupBy(F.col(group).alias("_g")).agg(F.percentile_approx(order[0], at, 1000).alias("_cuts"))
+        rows = rows.join(cuts, F.col(group).eqNullSafe(F.col("_g")), "left")
+        parts = F.size(F.filter("_cuts", lambda c: c < F.col(order[0])))
+    names = [c for c in rows.columns if c not in ("_g", "_cuts")]
+    rows = rows.select(*names, parts.alias("_p"))
+    sizes = rows.groupBy(F.col(group).alias("_h"), F.col("_p").alias("_q")).agg(F.count("*").alias("_n"))
+    before, whole = Window.partitionBy("_h").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_h")
+    sizes = sizes.select("_h", "_q", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_m"))
+    by = Window.partitionBy(group, "_p").orderBy(*order)
+    rows = rows.withColumn("_k", F.row_number().over(by)).join(sizes, F.col(group).eqNullSafe(F.col("_h")) & (F.col("_p") == F.col("_q")))
+    i = F.col("_before") + F.col("_k") - 1
+    slot = F.ceil(i * n / F.col("_m"))
+    hit = (F.col("_m") <= n) | ((slot < n) & (F.floor(slot * F.col("_m") / n) == i))
+    return rows.where(hit).select(*names)
 
 
 def largest_then_strata(rows: DataFrame, size: str, stratum: str, key: str, n_largest: int, each: int) -> DataFrame:

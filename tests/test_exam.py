@@ -231,3 +231,31 @@ def test_similarities(spark):
     df = spark.createDataFrame([("abcd", "bcde"), (None, "x"), ("", "")], "a string, b string")
     r = df.select(S.ratio("a", "b"), S.coverage("a", "b"), S.is_subsequence("a", "b"), S.longest_share("a", "b")).collect()
     assert tuple(r[0]) == (0.75, 0.75, False, 0.75) and r[1][0] is None and r[2][0] == 1.0
+
+
+def test_probe_patterns_and_paper_lines(spark):
+    rows = spark.createDataFrame([("考试时间 90 分钟",), ("满分150 分",), ("注意事项",), ("本卷考试时间 90",), ("姓名：甲",)], "x string")
+    assert [r[0] for r in rows.select(E.is_paper_line(F.col("x"))).collect()] == [True, True, True, False, True]
+    from sheaf.operators.binding import display, range_value
+
+    forms = spark.createDataFrame([("$10^{12}$",), ("H_{2}O",), ("x^{n-1}",), ("\\Rightarrow \\sqrt \\in",), ("\\frac{\\text{a}}{b}",)], "t string")
+    assert [r[0] for r in forms.select(display(F.col("t"))).collect()] == ["10¹²", "H_{2}O", "xⁿ⁻¹", "⇒ √ \\in", "\\frac{a}{b}"]
+    got = spark.createDataFrame([("1-3：EFG",), ("16—18 ＡＢＣ",), ("1-9 AB",)], "t string").select(range_value(F.col("t"), F.lit(2)), range_value(F.col("t"), F.lit(17))).collect()
+    assert [tuple(r) for r in got] == [("F", None), (None, "B"), ("B", None)]
+
+
+def test_decimals_are_no_numbers_for_the_probes(spark):
+    p = paper()
+    lines = list(LINES)
+    lines[4], lines[15] = "9.5% 的题干", "1. Ａ 2. while"
+    p["text"] = "\n".join(lines)
+    got = {(r["unit_ord"], r["check"], r["detail"]) for r in E.probes(frame(spark, p)).collect()}
+    assert not [g for g in got if g[1] == "P14" and g[2] == "9"] and not [g for g in got if g[0] < 2 and g[1] != "P14"]
+
+
+def test_excerpts_keep_no_handlers(spark):
+    from sheaf.functions.markup import excerpt
+
+    rows = spark.createDataFrame([(['<img src="a.png" onerror="x()">', '<b>t</b><u>s</u><hr>', "<script>y</script>", '<img src="javascript:z">', "<tbody>"],)], "l array<string>")
+    got = rows.select(excerpt(F.col("l"))).first()[0]
+    assert "<b>t</b><u>s</u><hr>" in got and "<img" not in got and "<script" not in got and "<tbody" not in got

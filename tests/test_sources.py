@@ -105,8 +105,11 @@ def test_options_completeness_and_items(spark):
     t = spark.createDataFrame([(["题", "A. 甲  B. 乙", "续", "D. 误", "C. 丙"],)], "l array<string>")
     got = [tuple(x) for x in t.select(X.option_labels(F.col("l"), F.lit(2), F.lit(5))).collect()[0][0]]
     assert got == [("A", 2, 2), ("B", 2, 4), ("C", 5, 5)]
-    rows = spark.createDataFrame([("略", "略", True), ("3；见解析", "x", True), ("3", "得 3", True), ("3", "(1) 3 (2) 4", True), ("3", "得 $3", True), ("3", None, False)], "v string, b string, c boolean")
+    rows = spark.createDataFrame([("略", "略", True), ("甲；见解析", "x", True), ("3", "得 3", True), ("3", "(1) 3\n(2) 4", True), ("3", "得 $3", True), ("3", None, False)], "v string, b string, c boolean")
     assert [r[0] for r in rows.select(X.completeness(F.col("v"), F.col("b"), F.col("c"))).collect()] == ["unknown", "partial", "full", "partial", "partial", "unknown"]
+    # a number beside a placeholder is a part's, and a word that only holds 略 is an answer
+    told = spark.createDataFrame([("3；见解析",), ("战略",), ("略。",), ("同上",), ("理由见解析，乙",), ("",)], "v string")
+    assert [r[0] for r in told.select(X.placeholder(F.col("v"))).collect()] == ["pure", "none", "pure", "pure", "partial", "none"]
     item = "struct<sub_label:string,slot_id:string,value_text:string,asset_ref:string,form:string,source_region:string,evidence_lines:struct<start:int,end:int>,status:string,missing_reason:string>"
     items = spark.createDataFrame([((None, "1#1", "x", None, "verbatim", "answer_area", (1, 2), "resolved", None),), ((None, "1", "x", "a.png", "odd", "nowhere", (3, 2), "disputed", "why"),)], f"i {item}")
     got = [r[0] for r in items.select(X.item_issues(F.col("i"), F.lit(9))).collect()]
