@@ -89,9 +89,30 @@ def test_stream_does_each_file_once_within_the_quota(spark, tmp_path):
     run("2024-01-01")
     done = lambda: sorted((r["source_rel"], r["sha256"]) for r in spark.read.parquet(out).collect())
     assert done() == [("a", "1"), ("b", "1"), ("c", "1")]
-    arrive("2", [("a", "1", 4), ("a", "2", 4), ("d", "1", 4)])
-    run("2024-01-02")
+    arrive("2", [("a", "1", 4), ("a", "2", 4)])
+    run("2024-01-01")  # the quota is used up: all of it waits, d too
+    assert done() == [("a", "1"), ("b", "1"), ("c", "1")]
+    run("2024-01-02", 5)  # nothing new arrives, and d was read long ago; one file goes over the quota
     assert done() == [("a", "1"), ("a", "2"), ("b", "1"), ("c", "1"), ("d", "1")]
+    run("2024-01-03")
+    assert len(done()) == 5
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    led, out = str(tmp_path / "ledger"), str(tmp_path / "out")
+    schema = "source_rel string, sha256 string, pages int"
+    do = lambda rows, i, quota=10: ingest.work_off(spark, spark.createDataFrame(rows, schema), f"{i:012d}", led, lambda d: d, out, "d", quota)
+    first = [(x, "1", 4) for x in "abcd"]
+    do(first, 0)
+    tables = lambda: [sorted(map(str, spark.read.parquet(p).collect())) for p in (out, led, f"{led}_backlog")]
+    one = tables()
+    do(first, 0)
+    assert tables() == one
+    do([("e", "1", 1)], 1, 100)
+    two = tables()
+    do([("e", "1", 1)], 1, 100)
+    assert tables() == two and len(two[0]) == 5
+    assert len({str(r) for r in spark.read.parquet(out).select("source_rel", "sha256").collect()}) == 5
 
 
 def test_entry_imports_without_the_optional_parts(tmp_path):
