@@ -737,3 +737,57 @@ def test_query_equals_sql(spark, name):
     assert sorted(names) == cols
     want = sorted((tuple(r[names.index(c)] for c in cols) for r in con.fetchall()), key=str)
     assert rows(df.select(*cols)) == want
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return {i: (t or "", lang) for i, t, lang in duckdb.sql(f"SELECT doc_id, text, lang FROM '{SF}/documents.parquet'").fetchall()}
+
+
+def test_op3_query(spark, documents):
+    import public_tokenizers
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r["doc_id"]: r for r in pieces.op3_sentencepiece(spark, SF).collect()}
+    assert got.keys() == documents.keys()
+    for i, (t, _) in documents.items():
+        ids = sp.encode(t)
+        assert (got[i]["n_tokens"], got[i]["ids_sha256"], got[i]["decoded_sha256"]) == (len(ids), sha(",".join(map(str, ids))), sha(sp.decode(ids)))
+
+
+def test_op9_query(spark, documents):
+    got = {r["doc_id"]: r for r in pii.op9_personal_data(spark, SF).collect()}
+    assert got.keys() == documents.keys()
+    ids = sorted(documents)
+    told = lambda spans: ",".join(f"{k}:{a}:{z}" for k, a, z in spans)
+    for i, spans in zip(ids, loose_brute([documents[i][0] for i in ids])):
+        base = [s[:3] for s in spans if s[3]]
+        assert [got[i][f"n_{k}"] for k in PATTERNS] == [sum(s[0] == k for s in base) for k in PATTERNS]
+        assert got[i]["base_sha256"] == sha(told(base)) and got[i]["spans"] == told(s[:3] for s in spans) and got[i]["n_spans"] == len(spans)
+
+
+def test_op7_query(spark, documents):
+    got = {r["doc_id"]: r for r in licenses.op7_license_scan(spark, SF).collect()}
+    assert got.keys() == documents.keys()
+    for i, (t, _) in documents.items():
+        w = re.findall(licenses.WORD, t.translate(UP))
+        stands = lambda p: [k for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]  # noqa: E731, B023
+        at = sorted(k for p, _ in licenses.BASE for k in stands(p))
+        base = {label for p, label in licenses.BASE if stands(p)}
+        assert (got[i]["n_words"], got[i]["n_base"], got[i]["first_word"], got[i]["last_word"], got[i]["base_labels"]) == (len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)))
+        # a label of the method needs all key phrases of a notice, and a notice that stands whole gives it
+        labels = set(filter(None, got[i]["labels"].split(",")))
+        keyed = {label for label, _, ps in licenses.TEMPLATES if all(stands(p) for p in ps)}
+        whole = {label for label, text, _ in licenses.TEMPLATES if stands(text)}
+        assert base | whole <= labels <= base | keyed and (got[i]["score"] > 0) == bool(labels - base or got[i]["score"])
+
+
+def test_op10_and_op2_queries(spark, documents):
+    bench = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
+    want = {(i, k) for i, (t, _) in documents.items() for k, b in bench if b and b in t}
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.op10_decontamination(spark, SF).collect()}
+    assert got >= want and len(got) <= len(want) + 2
+    rows_ = quality.op2_quality_classifier(spark, SF).collect()
+    assert {r["doc_id"] for r in rows_} == documents.keys() and len(rows_) == len(documents)
+    assert all(r["kept"] == all(r[v] is None or r[v] <= r[f"{v}_limit"] for v in ("char", "word")) for r in rows_)
