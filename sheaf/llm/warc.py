@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import new_folder, partitions
+from sheaf.llm.shared import new_folder, partitions, stored
 
 LEAST_REVISIT = 100
 _END = b"\r\n"
@@ -30,12 +30,17 @@ DATE = "1970-01-01T00:00:00Z"  # pages have no date; a constant keeps archives r
 
 def planned(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """Marks and pages in one relation, for one sort by page_id: for a revisit, a row
-    (page_id, refers_to) stands before its page. Only digests and ids shuffle to find them."""
+    (page_id, refers_to) stands before its page. Only digests and ids shuffle to find them; those
+    of a payload with more than 1/4p of all rows, p the number of partitions, are not dealt at
+    all: there are 4p such payloads at most, and their first pages are broadcast."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     ids = pages.select("page_id", F.octet_length(payload).alias("n"), F.unhex(F.sha2(payload, 256)).alias("d"))
-    long = ids.where((F.col("n") >= least) & F.col("page_id").isNotNull()).select("page_id", "d")
-    first = long.groupBy("d").agg(F.min("page_id").alias("first"), F.count("*").alias("k")).where("k > 1").select("d", "first")
-    marks = long.join(first, "d").where("page_id <> first").select("page_id", F.col("first").alias("refers_to"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), F.lit(0).alias("kind")).distinct()
+    long = stored(ids.where((F.col("n") >= least) & F.col("page_id").isNotNull()).select("page_id", "d"), "digests")
+    first = stored(long.groupBy("d").agg(F.min("page_id").alias("first"), F.count("*").alias("k")).where("k > 1"), "first")
+    most = (first.agg(F.sum("k")).first()[0] or 0) / (4 * partitions(pages.sparkSession))
+    hot = F.broadcast(first.where(F.col("k") > most).select("d", "first"))
+    rest = long.join(hot.select("d"), "d", "left_anti").join(first.where(F.col("k") <= most).select("d", "first"), "d")
+    marks = long.join(hot, "d").unionByName(rest).where("page_id <> first").select("page_id", F.col("first").alias("refers_to"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), F.lit(0).alias("kind")).distinct()
     rows = pages.select("page_id", F.lit(None).cast("long").alias("refers_to"), F.col("url").cast("string"), payload.alias("html"), F.lit(1).alias("kind"))
     return marks.unionByName(rows)
 
