@@ -32,7 +32,7 @@ RUN = 6
 SHIFT = 4
 #: Benchmark windows looked for in one pass over the documents (16 MB broadcast).
 MOST_WINDOWS = 1_000_000
-MOST_WORDS = 300_000
+MOST_WORDS = 150_000
 UNITS = frozenset("mm cm m km inch inches foot feet ft yard yards mile miles g kg mg lb lbs oz pound pounds ton tons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years l ml litre litres liter liters gallon gallons dollar dollars usd euro euros eur cent cents percent degree degrees kmh mph watt watts volt volts".split())
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:\n]")
 _END, _TITLE, _NUMBER, _UNIT = 1, 2, 4, 8

@@ -28,7 +28,9 @@ from sheaf.llm.shared import arrow_rows, held, partitions, stored, text_hash
 
 FUNCTIONS, TREES, STEP, SMALL = 64, 12, 5, 2048
 WIDTH, LEAST = 3, 85
-MOST_WORDS = 300_000
+MOST_WORDS = 150_000
+#: Items of a cluster's sets that are looked at once, and columns of a membership matrix (8 MB).
+MOST_ITEMS, COLUMNS = 500_000, 1024
 #: Hubs that are broadcast at most (7 MB); more are joined by shuffle.
 MOST_HUBS = 100_000
 _R = np.random.default_rng(20_240_601)
@@ -221,18 +223,24 @@ def _shared(own: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
         for i, j in at:
             out[i, j] = out[j, i] = len(np.intersect1d(own[i], own[j], assume_unique=True))
         return out
-    _, item, count = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-    often = count > 1
-    column = (np.cumsum(often) - 1)[item]
-    row = np.repeat(np.arange(n), [len(x) for x in own])
-    row, column = row[often[item]], column[often[item]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    for first in range(0, int(often.sum()), 4096):
-        a, z = np.searchsorted(column, [first, first + 4096])
-        m = np.zeros((n, 4096), np.float32)
-        m[row[a:z], column[a:z] - first] = 1
-        out += m @ m.T
+    # sets are sorted hashes: they are cut into ranges of hashes, so that few items are held at once
+    cuts = (np.arange(1, parts, dtype=object) * (1 << 64) // parts).astype(np.uint64) if (parts := -(-sum(map(len, own)) // MOST_ITEMS)) > 1 else np.zeros(0, np.uint64)
+    ends = [np.concatenate([[0], np.searchsorted(x, cuts), [len(x)]]) for x in own]
+    for k in range(len(cuts) + 1):
+        part = [x[e[k] : e[k + 1]] for x, e in zip(own, ends)]
+        _, item, count = np.unique(np.concatenate(part), return_inverse=True, return_counts=True)
+        often = count > 1
+        column = (np.cumsum(often, dtype=np.int32) - 1)[item]
+        row = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in part])
+        kept = often[item]
+        row, column = row[kept], column[kept]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for first in range(0, int(often.sum()), COLUMNS):
+            a, z = np.searchsorted(column, [first, first + COLUMNS])
+            m = np.zeros((n, COLUMNS), np.float32)
+            m[row[a:z], column[a:z] - first] = 1
+            out += m @ m.T
     return out
 
 
@@ -315,11 +323,17 @@ def confirmed(members: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFr
             out: list[tuple[int, int]] = []
             for a, z in zip(at[:-1].tolist(), at[1:].tolist()):
                 own = [np.frombuffer(items[i].as_py(), np.uint64) for i in range(a, z)]
-                size = np.array([len(x) for x in own])
+                size = np.array([len(x) for x in own], np.float64)
                 same = part[a:z, None] == part[None, a:z]
-                may = _alike(low[a:z], least_alike(least)) & ~same & (100 * np.minimum.outer(size, size) >= least * np.maximum.outer(size, size))
+                may = _alike(low[a:z], least_alike(least)) & ~same
+                for i in range(z - a):  # row by row: no more matrices of the cluster's square
+                    may[i] &= 100 * np.minimum(size[i], size) >= least * np.maximum(size[i], size)
                 both = _shared(own, may)
-                linked = may & (100 * both >= least * (np.add.outer(size, size) - both))
+                linked = np.zeros_like(may)
+                for i in range(z - a):
+                    s = both[i].astype(np.float64)
+                    linked[i] = may[i] & (100 * s >= least * (size[i] + size - s))
+                del may, both
                 for found in _parts(linked | same):
                     out += [(int(max(reps[a + i], reps[a + j])), int(min(reps[a + i], reps[a + j]))) for i, j in found if linked[i, j]]
             yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], ["a", "b"])

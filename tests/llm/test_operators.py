@@ -462,6 +462,19 @@ def test_near_dedup_keeps_pairs_of_large_nodes_together(spark):
     assert not [i for i in range(0, 300, 2) if not held[i] & held[i + 1]]
 
 
+@pytest.mark.parametrize("most", [10**9, 700])
+def test_sizes_of_intersections(monkeypatch, most):
+    monkeypatch.setattr(near_dedup, "MOST_ITEMS", most)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 64)
+    rng = np.random.default_rng(4)
+    every = np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2))
+    own = [np.sort(rng.choice(every, int(rng.integers(0, 200)), replace=False)) for _ in range(40)]
+    got = near_dedup._shared(own, np.ones((40, 40), bool))
+    for i in range(40):
+        for j in range(40):
+            assert i == j or got[i, j] == len(np.intersect1d(own[i], own[j]))
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(300, 301), (301, 300)], "a long, b long")
     got = {r["rep"]: r["part"] for r in near_dedup.components(links).collect()}
