@@ -259,13 +259,20 @@ def fidelity(source: Column, layer: Column, least_text: int = 50, least: int = 1
     the source, whole or by their first or last ``edge``."""
     bare = lambda c: F.regexp_replace(c, r"[^0-9A-Za-z一-鿿]+", "")
     passages = F.filter(F.transform(F.split(layer, r"[，。、；：！？\n\r]", -1), bare), lambda s: F.char_length(s) >= least)
-    near = bare(F.regexp_replace(F.coalesce(source, F.lit("")), "<[^>]+>", ""))
-    stands = lambda s: F.contains(near, s) | F.contains(near, F.left(s, F.lit(edge))) | F.contains(near, F.right(s, F.lit(edge)))
-    lost = F.filter(passages, lambda s: ~stands(s))
-    status = F.when(layer.isNull() | (F.char_length(bare(layer)) < least_text), "no_text_layer").when(F.size(passages) == 0, "no_prose").otherwise("ok")
-    some = status == "ok"
-    found = F.size(passages) - F.size(lost)
-    return F.struct(status.alias("status"), F.when(some, F.size(passages)).alias("n_prose"), F.when(some, found).alias("n_found"), F.when(some, F.round(found / F.size(passages), 3)).alias("coverage"), F.when(some, lost).alias("missing"))
+    parts = F.struct(passages.alias("passages"), bare(F.regexp_replace(F.coalesce(source, F.lit("")), "<[^>]+>", "")).alias("near"), F.char_length(bare(layer)).alias("n"))
+
+    def told(p: Column) -> Column:
+        near, n = p["near"], F.size(p["passages"])
+        stands = lambda s: F.contains(near, s) | F.contains(near, F.left(s, F.lit(edge))) | F.contains(near, F.right(s, F.lit(edge)))
+        status = F.when(p["n"].isNull() | (p["n"] < least_text), "no_text_layer").when(n == 0, "no_prose").otherwise("ok")
+
+        def judged(lost: Column) -> Column:
+            some = status == "ok"
+            return F.struct(status.alias("status"), F.when(some, n).alias("n_prose"), F.when(some, n - F.size(lost)).alias("n_found"), F.when(some, F.round((n - F.size(lost)) / n, 3)).alias("coverage"), F.when(some, lost).alias("missing"))
+
+        return let(F.filter(p["passages"], lambda s: ~stands(s)), judged)
+
+    return let(parts, told)
 
 
 def inline_evidence(lines: Column, answer: Column) -> Column:
