@@ -140,3 +140,25 @@ def without_rows(docs: DataFrame, gone: DataFrame, most: int = MOST_IDS) -> Data
     gone = stored(gone.select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct(), "gone")
     same = docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (text_hash() == F.col("_gone_th"))
     return docs.join(F.broadcast(gone) if gone.count() <= most else gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<bigint>")
+
+
+def range_ends(ids: DataFrame, n: int) -> list[int]:
+    """The largest ids of about ``n`` even ranges of the one integer column, sorted; null ids
+    aside. Quantiles cut the ranges; they may be a little off, so each range's own largest id is looked
+    up; there are n + 1 at most."""
+    (name,) = ids.columns
+    cuts = ids.agg(F.percentile_approx(name, [i / n for i in range(1, n)] + [1.0], max(10_000, 20 * n))).first()[0]
+    cuts = sorted(set(cuts or []))
+    ends = ids.where(F.col(name).isNotNull()).groupBy(range_of(F.col(name), cuts)).agg(F.max(name).alias("end"))
+    return sorted(r["end"] for r in ends.collect())
+
+
+def range_of(c: Column, ends: list[int]) -> Column:
+    """How many of the sorted ``ends`` are less than the value, by halving; of null, none."""
+    at = longs(ends)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(ends).bit_length()))]) if ends else F.array().cast("array<int>")
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(at, n + step - 1) < c, n + step).otherwise(n))
