@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sheaf.llm import chat, decontaminate, exact_dedup, licenses, line_dedup, near_dedup, pieces, pii, quality, warc
+from sheaf.llm import chat, decontaminate, exact_dedup, fingerprints, licenses, line_dedup, manifest, near_dedup, pieces, pii, quality, warc, whitening
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_personal_data": pii.op9_personal_data,
         "op10_decontamination": decontaminate.op10_decontamination,
+        "op11_fingerprints": fingerprints.op11_fingerprints,
+        "op12_whitening": whitening.op12_whitening,
+        "op13_manifest": manifest.op13_manifest,
     }
 
 
@@ -27,4 +30,6 @@ def oracles() -> dict[str, str]:
         "op5_exact_dedup": exact_dedup.ORACLE,
         "op6_near_dedup": near_dedup.ORACLE,
         "op8_chat_formatting": chat.ORACLE,
+        "op11_fingerprints": fingerprints.ORACLE,
+        "op13_manifest": manifest.ORACLE,
     }
