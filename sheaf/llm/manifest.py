@@ -97,15 +97,16 @@ def _path(k: Column) -> Column:
     return F.transform("pre", step)
 
 
-def paths(built: Tree, above: DataFrame) -> DataFrame:
-    """The leaves' blocks, each with path: what ``above`` (key, path, more) has for the key, below it
-    the preimages between. From the top down; a round's blocks meet those of the next by key and rank."""
-    more = [c for c in above.columns if c not in ("key", "path")]
-    above = above.withColumn("block", F.lit(0).cast("long"))
-    for here in reversed(built.rounds[1:]):
+def paths(built: Tree, above: DataFrame | None = None) -> DataFrame:
+    """The leaves' blocks, each with path: the preimages up to the key's top and their slots, and after
+    them what ``above`` (key, path, more) has for the key. From the top, where a key has one block,
+    down; a round's blocks meet those of the next by key and rank."""
+    top, more = built.rounds[-1], [c for c in above.columns if c not in ("key", "path")] if above is not None else []
+    here = top.join(above, "key") if above is not None else top.withColumn("path", F.array().cast("array<struct<pre: string, slot: int>>"))
+    for below in reversed(built.rounds[:-1]):
         items = F.transform("items", lambda x, k: F.struct(x["rank"].alias("block"), F.concat(_path(k), "path").alias("path")))
-        above = here.join(above, ["key", "block"]).select("key", *more, F.inline(items))
-    return built.rounds[0].join(above, ["key", "block"])
+        here = below.join(here.select("key", *more, F.inline(items)), ["key", "block"])
+    return here
 
 
 def siblings(path: Column) -> Column:
@@ -129,7 +130,6 @@ def verified(docs: DataFrame, claimed: Column) -> DataFrame:
     a lone source's subroot the root. Columns beyond the five are not read. An empty table gives no
     rows. Texts of any length are read once, where they are.
     """
-    spark = docs.sparkSession
     own = [F.col(f"`{c}`") for c in FIELDS]
     changed = F.when(F.col("text").isNotNull() & claimed.isNotNull() & (claimed != F.col("text")), row_digest([*own[:-1], claimed]))
     leaves = stored(docs.select(source_key(F.col("source")).alias("key"), "doc_id", row_digest(own).alias("hash"), changed.alias("changed")), "leaves")
@@ -138,9 +138,8 @@ def verified(docs: DataFrame, claimed: Column) -> DataFrame:
     discard(leaves)
     top = over.tops.first()
     root = F.lit(top["top"] if top else None).cast("string")
-    start = spark.range(1).select(F.lit("").alias("key"), F.array().cast("array<struct<pre: string, slot: int>>").alias("path"))
     item = F.transform("items", lambda x, k: F.struct(x["source"].alias("key"), x["hash"].alias("subroot"), F.concat(_path(k), "path").alias("path")))
-    sources = paths(over, start).select(F.inline(item))
+    sources = paths(over).select(F.inline(item))
     item = F.transform("items", lambda x, k: F.struct(x["doc_id"].alias("doc_id"), x["hash"].alias("leaf"), x["changed"].alias("changed"), F.concat(_path(k), "path").alias("path")))
     rows = paths(built, sources).select("subroot", F.inline(item))
     rows = rows.select("doc_id", "leaf", "subroot", root.alias("root"), siblings(F.col("path")).alias("siblings"), folded(F.coalesce("changed", "leaf"), F.col("path")).alias("folded_root"))
