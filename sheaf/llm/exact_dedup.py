@@ -23,10 +23,12 @@ def _places(sha: str):
     return h1, F.pmod(h2, F.lit(BLOCK)), F.pmod(F.shiftrightunsigned(h2, 20), F.lit(BLOCK))
 
 
-def bloom(digests: DataFrame, least: int = 1, sha: str = "sha") -> tuple[DataFrame, int]:
-    """A blocked Bloom filter, sixteen bits a row, of the places hit ``least`` times or more: one
-    row a block (block long, bits binary), and the number of blocks."""
+def bloom(digests: DataFrame, least: int = 1, sha: str = "sha", most_bits: int | None = None) -> tuple[DataFrame, int]:
+    """A blocked Bloom filter, sixteen bits a row (or ``most_bits`` in all, where fewer bits a row pass
+    more that are not in it), of the places hit ``least`` times or more: one row a block (block
+    long, bits binary), and the number of blocks."""
     blocks = max(1, -(-16 * digests.count() // BLOCK))
+    blocks = min(blocks, max(1, most_bits // BLOCK)) if most_bits else blocks
     h, b1, b2 = _places(sha)
     hits = digests.select(F.pmod(h, F.lit(blocks)).alias("block"), F.explode(F.array_distinct(F.array(b1, b2))).alias("bit"))
     often = hits.groupBy("block", "bit").agg(F.count("*").alias("n")).where(F.col("n") >= least)
@@ -102,27 +104,24 @@ def drop_copies(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """The documents that stay, with all their columns: one row of each group. Of rows that share
     doc_id and length in code points, the one with the smallest text, then any, stays.
 
-    A second filter, of the digests of groups, is asked in the pass over the texts: only rows
-    that may belong to a group shuffle, the others pass straight through. Beyond ``most_bits``
-    (16.8 million rows in groups) that pass is a join by shuffle of all rows instead.
+    A second filter, of the digests of groups, is broadcast to the pass over the texts: only rows
+    that may belong to a group shuffle, the others pass straight through. It has ``most_bits`` at
+    most; beyond 16.8 million groups more rows that belong to none shuffle too, and stay.
     """
     names = docs.columns
     rows = stored(docs.select("doc_id", F.char_length(text_of()).alias("n_cp"), text_digest().alias("sha")), "digests")
     possible = mark_possible(rows, repeat_filter(rows), most_bits=most_bits).where("possible").select("doc_id", "n_cp", "sha")
     groups = stored(groups_of(possible), "groups")
     discard(rows)
-    found = bloom(groups)
     # no name can clash inside a struct
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text_digest().alias("sha"))
-    near = found[1] * BLOCK <= most_bits
-    marked = mark_possible(whole, found) if near else whole.withColumn("possible", F.lit(True))
+    marked = mark_possible(whole, bloom(groups, most_bits=most_bits), most_bits=max(most_bits, BLOCK))
     rest = marked.where("possible").withColumns({"doc_id": F.col("row.doc_id"), "n_cp": F.char_length(text_of("row.text"))})
     hot = with_groups(rest, groups, groups.agg(F.sum("size")).first()[0] or 0)
     alone = hot.where("size IS NULL").select("row.*")
     best = hot.where(F.col("size").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep")))
     best = best.groupBy("sha").agg(F.min_by("row", F.struct(-F.col("n_cp"), text_of("row.text"))).alias("row")).select("row.*")
-    kept = alone.unionByName(best)
-    return marked.where("NOT possible").select("row.*").unionByName(kept) if near else kept
+    return marked.where("NOT possible").select("row.*").unionByName(alone).unionByName(best)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
