@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sheaf.llm.exact_dedup import MOST_BITS, bloom, mark_possible
 from sheaf.llm.shared import BLANKS, ascii_lower, partitions, stored, text_of
 
 
@@ -92,11 +93,18 @@ def line_dedup(docs: DataFrame, least: int = 20, least_docs: int = 3) -> DataFra
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with n_lines, n_dropped and ``kept``, the text of the lines that stay; columns
-    of these names are replaced."""
-    maps = bitmaps.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "runs")
+    of these names are replaced.
+
+    A filter of the documents that lose lines (of bounded size) is broadcast; only texts it lets
+    through meet the bitmaps by a shuffle, the others stay where they are.
+    """
+    maps = stored(bitmaps.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "runs"), "bitmaps")
+    losing = bloom(maps.select(F.xxhash64("_id", "_th").alias("_key")), sha="_key", most_bits=MOST_BITS)
     old = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "kept")]
     rows = docs.select(F.struct(*old).alias("row"), F.col("doc_id").alias("_doc"), text_of().alias("t"), F.xxhash64(text_of()).alias("_h"))
-    rows = rows.join(maps, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
+    rows = mark_possible(rows.withColumn("_key", F.xxhash64("_doc", "_h")), losing, "_key")
+    some = rows.where("possible").join(maps, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left").select("row", "t", "runs")
+    rows = some.unionByName(rows.where("NOT possible").select("row", "t", F.lit(None).cast(maps.schema["runs"].dataType).alias("runs")))
     rows = rows.withColumn("lines", F.split("t", "\n", -1))
     sizes = F.transform("runs", lambda r: (r["last"] - r["first"] + 1).cast("long"))
     lost = F.coalesce(F.aggregate(sizes, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
