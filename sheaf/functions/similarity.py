@@ -16,6 +16,19 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+@F.pandas_udf(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("ratio", T.DoubleType())]))
+def first_alike(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.DataFrame:
+    """Of two arrays of texts, the first place where the difflib ratio is above ``least``, else null."""
+
+    def one(xs, ys, bound: float) -> tuple:
+        for i, (x, y) in enumerate(zip(xs if xs is not None else (), ys if ys is not None else ())):
+            if (r := difflib.SequenceMatcher(None, x, y).ratio()) > bound:
+                return i, r
+        return None, None
+
+    return pd.DataFrame([one(*row) for row in zip(a, b, least)], columns=["at", "ratio"]).astype({"at": "Int32", "ratio": "Float64"})
+
+
 @F.pandas_udf(T.DoubleType())
 def coverage(a: pd.Series, b: pd.Series) -> pd.Series:
     """Share of the shorter text that matching blocks cover."""

@@ -183,7 +183,13 @@ def _repeats(claims: Column) -> Column:
 
 
 def quality(papers: DataFrame) -> DataFrame:
-    """doc_id, issues array<struct<code, severity, detail>>, verdict: rules C1 to C15.
+    """doc_id, issues array<struct<code, severity, detail>>, verdict of each paper: see with_quality()."""
+    return with_quality(papers).select("doc_id", "issues", "verdict")
+
+
+def with_quality(papers: DataFrame) -> DataFrame:
+    """``papers`` with issues array<struct<code, severity, detail>> and verdict: rules C1 to C15, each a
+    projection of its row, so papers that share a doc_id are judged one by one.
 
     ``text`` null means that the source is missing or not readable, which fails alone (C15).
     ``annotated`` null means there is none (C8). Version 1 papers are held to one owner of a
@@ -241,8 +247,9 @@ def quality(papers: DataFrame) -> DataFrame:
     rows = _with_repeats(rows)
     found = F.array_compact(F.concat(F.array(*rules), F.when(v2, identity_issues(units, secs, lines)).otherwise(F.array())))
     issues = F.when(F.col("text").isNull() | F.col("source_file").isNull(), F.array(_issue("C15_PROVENANCE", "FAIL", F.lit("")))).otherwise(found)
-    rows = rows.withColumn("issues", issues)
-    return rows.select("doc_id", "issues", worst(F.transform("issues", lambda i: i["severity"])).alias("verdict"))
+    names = [c for c in papers.columns if c not in ("issues", "verdict")]
+    rows = computed(rows.select(*names, issues.alias("_issues")), {"issues": F.col("_issues")})
+    return rows.select(*names, "issues", worst(F.transform("issues", lambda i: i["severity"])).alias("verdict"))
 
 
 def _with_repeats(rows: DataFrame) -> DataFrame:
@@ -253,18 +260,15 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
     # An upper bound of the ratio, 2 * shorter / both, leaves few pairs to Python.
     short = lambda p: F.least(F.char_length(p["e"]), F.char_length(p["s"]))
     close = F.filter(close, lambda p: 2.0 * short(p) > 0.85 * (F.char_length(p["e"]) + F.char_length(p["s"])))
-    rows = rows.withColumn("_pairs", close)
-    first = rows.select("doc_id", F.posexplode("_pairs").alias("k", "p"))
-    first = first.select("doc_id", "k", "p.unit", similarity.ratio("p.e", "p.s").alias("r")).where("r > 0.85")
-    first = first.groupBy("doc_id").agg(F.min_by(F.struct("r", "unit"), "k").alias("b"))
-    return rows.drop("_pairs").join(first.select(F.col("doc_id").alias("_d"), F.col("b.r").alias("_repeats"), F.col("b.unit").alias("_repeat_unit")), F.col("doc_id") == F.col("_d"), "left").drop("_d")
+    rows = computed(rows, {"_pairs": close})
+    rows = rows.withColumn("_alike", similarity.first_alike(F.col("_pairs.e"), F.col("_pairs.s"), F.lit(0.85)))
+    return rows.withColumns({"_repeats": F.col("_alike.ratio"), "_repeat_unit": F.get("_pairs", F.col("_alike.at"))["unit"]}).drop("_pairs", "_alike")
 
 
 def dispositions(papers: DataFrame) -> DataFrame:
     """doc_id, verdict, disposition: what a consumer may use. First match wins, and what cannot
     be checked is never admitted. A paper without units has no manifest."""
-    checked = quality(papers).select(F.col("doc_id").alias("_d"), "verdict")
-    rows = _text(papers).join(checked, F.col("doc_id") == F.col("_d"), "left")
+    rows = _text(with_quality(papers))
     n = F.size("lines")
     stale = F.exists("units", lambda u: F.exists(F.array(*[u[r] for r in ROLES]), lambda s: s.isNotNull() & ~F.coalesce((s["start"] >= 1) & (s["start"] <= s["end"]) & (s["end"] <= F.greatest(n, F.lit(1))), F.lit(False))))
     out = first_match(
@@ -391,9 +395,9 @@ def anchors(annotated: DataFrame) -> DataFrame:
 
 
 def annotated(papers: DataFrame) -> DataFrame:
-    """doc_id, annotated: the source with a start and an end mark around each unit and span.
-    At one line, units open before their spans and close after them."""
-    rows = _text(papers).select("doc_id", "lines", "units")
+    """``papers`` with ``annotated``: the source with a start and an end mark around each unit and
+    span. At one line, units open before their spans and close after them."""
+    rows = _text(papers)
     spans = F.flatten(F.transform("units", lambda u, i: F.array_compact(F.array(*[F.when(u[r].isNotNull(), F.struct(u[r]["start"].alias("a"), u[r]["end"].alias("z"), F.lit(1).alias("depth"), (i * 10 + k).alias("seq"), F.lit(r).alias("kind"), u["unit_id"].alias("id"))) for k, r in enumerate(ROLES)]))))
     lo = lambda u: F.array_min(F.array_compact(F.array(*[u[r]["start"] for r in ROLES])))
     hi = lambda u: F.array_max(F.array_compact(F.array(*[u[r]["end"] for r in ROLES])))
@@ -404,4 +408,5 @@ def annotated(papers: DataFrame) -> DataFrame:
     opens = F.transform("s", lambda s: row(s["a"], 0, s["depth"], s["seq"], tag(s, "start")))
     closes = F.transform("s", lambda s: row(s["z"], 2, -s["depth"], -s["seq"], tag(s, "end")))
     texts = F.transform("lines", lambda x, i: row(i + 1, 1, F.lit(0), F.lit(0), x))
-    return rows.select("doc_id", F.array_join(F.transform(F.array_sort(F.concat(opens, texts, closes)), lambda r: r["x"]), "\n").alias("annotated"))
+    text = F.array_join(F.transform(F.array_sort(F.concat(opens, texts, closes)), lambda r: r["x"]), "\n")
+    return rows.withColumn("_marked", text).select(*[F.col("_marked").alias(c) if c == "annotated" else F.col(c) for c in dict.fromkeys([*papers.columns, "annotated"])])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Severity order of verdicts: unknown never counts as passed.
@@ -26,8 +26,19 @@ def worst(severities: Column) -> Column:
     return out
 
 
+def number_gaps(rows: DataFrame, key: str, number: Column) -> DataFrame:
+    """``key``, first_missing, last_missing: the ranges that lack in 1..max of a key's numbers, one row
+    each, however wide. Repeats go before the shuffle; a key's distinct numbers are sorted in one
+    task, which spills. Null numbers and those below 1 are not looked at."""
+    n = rows.select(key, number.cast("long").alias("_n")).where("_n >= 1").distinct()
+    before = F.lag("_n", 1, 0).over(Window.partitionBy(key).orderBy("_n"))
+    gaps = n.select(key, (before + 1).alias("first_missing"), (F.col("_n") - 1).alias("last_missing"))
+    return gaps.where("first_missing <= last_missing")
+
+
 def number_coverage(rows: DataFrame, key: str, number: Column) -> DataFrame:
-    """Per key, which of 1..max are missing, and how many numbers are repeats."""
-    got = rows.select(key, number.alias("_n")).groupBy(key).agg(F.collect_set("_n").alias("ns"), F.max("_n").alias("top"), F.count("_n").alias("n"))
-    gaps = F.array_except(F.sequence(F.lit(1).cast("long"), F.col("top")), F.col("ns"))
-    return got.select(key, F.when(F.col("top") >= 1, F.array_sort(gaps)).otherwise(F.array().cast("array<bigint>")).alias("missing"), (F.col("n") - F.size("ns")).alias("n_repeated"))
+    """Per key: top (its largest number), n_missing (of 1..top) and n_repeated (numbers beyond the
+    first of each). Sums over distinct numbers: nothing is as long as the largest number."""
+    each = rows.select(key, number.cast("long").alias("_n")).groupBy(key, "_n").count()
+    inside = F.count_if(F.col("_n") >= 1)
+    return each.groupBy(key).agg(F.max("_n").alias("top"), F.greatest(F.coalesce(F.max("_n"), F.lit(0)) - inside, F.lit(0)).alias("n_missing"), F.coalesce(F.sum(F.when(F.col("_n").isNotNull(), F.col("count") - 1)), F.lit(0)).alias("n_repeated"))

@@ -79,9 +79,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def annotated_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = papers(spark, sf_dir)
-    marks = exam.annotated(df).select(F.col("doc_id").alias("_d"), F.col("annotated").alias("_a"))
-    return df.join(marks, F.col("doc_id") == F.col("_d")).withColumn("annotated", F.col("_a")).drop("_d", "_a")
+    return exam.annotated(papers(spark, sf_dir))
 
 
 @query(

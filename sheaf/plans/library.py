@@ -401,13 +401,26 @@ def shared_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "missing_numbers",
     """
-    WITH g AS (SELECT l_orderkey, list(DISTINCT l_linenumber) AS ns, max(l_linenumber) AS top, count(*) AS n FROM lineitem WHERE l_quantity > 10 GROUP BY l_orderkey)
-    SELECT l_orderkey, list_sort(list_filter(range(1, top + 1), lambda x: NOT list_contains(ns, x))) AS missing, n - len(ns) AS n_repeated FROM g
+    SELECT l_partkey, max(l_linenumber) AS top, max(l_linenumber) - count(DISTINCT l_linenumber) AS n_missing, count(*) - count(DISTINCT l_linenumber) AS n_repeated
+    FROM lineitem GROUP BY l_partkey
     """,
 )
 def missing_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gaps of 1..max and repeated numbers of each order."""
-    return qc.number_coverage(table(spark, sf_dir, "lineitem").where("l_quantity > 10"), "l_orderkey", F.col("l_linenumber").cast("long"))
+    """How many line numbers up to its largest each part never had, and how many it had again."""
+    return qc.number_coverage(table(spark, sf_dir, "lineitem"), "l_partkey", F.col("l_linenumber"))
+
+
+@query(
+    "number_gaps",
+    """
+    WITH n AS (SELECT DISTINCT l_partkey, l_orderkey AS k FROM lineitem),
+    g AS (SELECT l_partkey, k, lag(k, 1, 0) OVER (PARTITION BY l_partkey ORDER BY k) AS b FROM n)
+    SELECT l_partkey, b + 1 AS first_missing, k - 1 AS last_missing FROM g WHERE k - b > 1
+    """,
+)
+def number_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of order numbers between the orders of each part."""
+    return qc.number_gaps(table(spark, sf_dir, "lineitem"), "l_partkey", F.col("l_orderkey"))
 
 
 @query(

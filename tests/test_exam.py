@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sheaf.functions import exam_text as X
 from sheaf.functions import similarity as S
 from sheaf.functions.text import split_lines
+from sheaf.operators import audit, qc
 from sheaf.operators import exam as E
 
 LINES = [
@@ -63,9 +64,7 @@ def frame(spark, *papers):
 
 def ready(spark, p):
     """The paper with identity and its annotated text."""
-    df = E.assign_identity(frame(spark, p))
-    ann = E.annotated(df).select("doc_id", F.col("annotated").alias("a"))
-    return df.drop("annotated").join(ann, "doc_id").withColumnRenamed("a", "annotated")
+    return E.annotated(E.assign_identity(frame(spark, p)))
 
 
 def codes(df):
@@ -259,3 +258,23 @@ def test_excerpts_keep_no_handlers(spark):
     rows = spark.createDataFrame([(['<img src="a.png" onerror="x()">', '<b>t</b><u>s</u><hr>', "<script>y</script>", '<img src="javascript:z">', "<tbody>"],)], "l array<string>")
     got = rows.select(excerpt(F.col("l"))).first()[0]
     assert "<b>t</b><u>s</u><hr>" in got and "<img" not in got and "<script" not in got and "<tbody" not in got
+
+
+@pytest.mark.parametrize("ids", [("p", "p"), (None, None), ("p", None)])
+def test_papers_that_share_an_id_are_judged_one_by_one(spark, ids):
+    good, bad = paper() | {"doc_id": ids[0]}, paper() | {"doc_id": ids[1], "rendered": "x"}
+    df = E.annotated(E.assign_identity(frame(spark, good, bad, good)))
+    assert df.count() == 3
+    assert sorted(r["verdict"] for r in E.quality(df).collect()) == ["FAIL", "PASS", "PASS"]
+    assert sorted(r["disposition"] for r in E.dispositions(df).collect()) == ["ADMITTED", "ADMITTED", "REJECTED_QC_FAIL"]
+    assert audit.preflight(df).count() == 3
+    for out in (E.dispositions(df), audit.preflight(df)):
+        assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_number_coverage_is_not_as_long_as_its_numbers(spark):
+    data = [("a", 1), ("a", 3), ("a", 3), ("a", 2_000_000_000), ("b", 1), ("b", 2), ("c", None), ("d", 0), ("d", -5), ("d", 2)]
+    df = spark.createDataFrame(data, "k string, n long")
+    assert sorted(map(tuple, qc.number_gaps(df, "k", F.col("n")).collect())) == [("a", 2, 2), ("a", 4, 1_999_999_999), ("d", 1, 1)]
+    got = {r["k"]: (r["top"], r["n_missing"], r["n_repeated"]) for r in qc.number_coverage(df, "k", F.col("n")).collect()}
+    assert got == {"a": (2_000_000_000, 1_999_999_997, 1), "b": (2, 0, 0), "c": (None, 0, 0), "d": (2, 1, 0)}
