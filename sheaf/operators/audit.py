@@ -14,7 +14,8 @@ from sheaf.functions.exam_text import question_number, range_answers, table_answ
 from sheaf.functions.text import computed, find_all, half_width, let, split_lines, strip
 from sheaf.operators import binding
 from sheaf.operators.exam import IMAGE_LINE, ROLES, TABLE_LINE, ZONES, _issue, _text, _when, anchors, identity_issues, sections, with_quality
-from sheaf.operators.fixers import many_parts, option_labels
+from sheaf.operators.fixers import many_parts
+from sheaf.operators.options import option_marks
 
 # The third zone's marks, words of the contract, and forms that older annotations know.
 EXPLANATION = ("“详解区开始”", "“详解区结束”")
@@ -295,13 +296,13 @@ def table_evidence(lines: Column, answer: Column, numbers: Column) -> Column:
 
 def composite_options(papers: DataFrame) -> DataFrame:
     """doc_id, unit_ord, label, start_line, end_line of the options of composite choice units that
-    declare none, as they stand in their questions (see fixers.option_labels). ``papers`` units have
+    declare none, as they stand in their questions (see options.option_marks). ``papers`` units have
     ``original_question_type``."""
     rows = _text(papers).select("doc_id", "lines", F.posexplode("units").alias("unit_ord", "u"))
     u = F.col("u")
     q = u["questions"]
     some = (u["unit_type"] == "composite_question") & u["options"].isNull() & u["original_question_type"].isin(*CHOICES) & (q["start"] >= 1) & (q["start"] <= q["end"]) & (q["end"] <= F.size("lines"))
-    return rows.where(some).select("doc_id", "unit_ord", F.explode(option_labels(F.col("lines"), q["start"], q["end"])).alias("o")).select("doc_id", "unit_ord", "o.*")
+    return rows.where(some).select("doc_id", "unit_ord", F.explode(option_marks(F.col("lines"), q["start"], q["end"])).alias("o")).select("doc_id", "unit_ord", "o.*")
 
 
 def expected_output(path: Column, grades: dict[str, str], subjects: list[str], otherwise: str) -> Column:

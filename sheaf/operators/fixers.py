@@ -111,16 +111,6 @@ def attach_orphan_images(papers: DataFrame, most: int = 6) -> DataFrame:
     return rows.withColumn("units", F.transform("units", fixed)).drop("lines", "_in", "_orphans", "_spans", "_homes")
 
 
-def option_labels(lines: Column, start: Column, end: Column) -> Column:
-    """array<struct<label, start_line, end_line>> of the options A to H in a span: labels at a
-    line's start or after a blank that come in order; each reaches to the line before the next."""
-    body = F.slice(lines, start, F.greatest(end - start + 1, F.lit(0)))
-    marks = F.flatten(F.transform(body, lambda x, i: F.transform(find_all(x, r"(?:^|\s)[（(]?([A-H])\s*[.．、)）]", 1), lambda c: F.struct(c.alias("label"), (start + i).alias("at")))))
-    none = F.array().cast("array<struct<label:string,at:int>>")
-    ordered = F.aggregate(marks, none, lambda acc, m: F.when(m["label"] == F.substr(F.lit("ABCDEFGH"), F.size(acc) + 1, F.lit(1)), F.concat(acc, F.array(m))).otherwise(acc))
-    return F.transform(ordered, lambda m, i: F.struct(m["label"].alias("label"), m["at"].alias("start_line"), F.greatest(m["at"], F.coalesce(F.get(ordered, i + 1)["at"] - 1, end)).alias("end_line")))
-
-
 # Phrases that stand for an answer, whole answers that are none, marks of parts.
 PLACEHOLDERS = (
     "答案见解析", "答案见详解", "答案见上文", "答案见下文", "答案见图", "答案见答案",
