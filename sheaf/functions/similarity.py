@@ -1,4 +1,4 @@
-"""Similarities that SQL lacks, as Arrow-batched UDFs. difflib's ratio is not a Levenshtein
+"""Similarities that SQL lacks, as Arrow-batched UDFs (others are in functions.places). difflib's ratio is not a Levenshtein
 distance, so Python's own matcher computes it."""
 
 from __future__ import annotations
@@ -39,48 +39,3 @@ def coverage(a: pd.Series, b: pd.Series) -> pd.Series:
         return sum(m.size for m in difflib.SequenceMatcher(None, x, y).get_matching_blocks()) / min(len(x), len(y))
 
     return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
-
-
-@F.pandas_udf(T.BooleanType())
-def is_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Whether a's characters stand in b in their order."""
-
-    def one(x: str | None, y: str | None) -> bool | None:
-        if x is None or y is None:
-            return None
-        rest = iter(y)
-        return all(c in rest for c in x)
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="object")
-
-
-@F.pandas_udf(T.DoubleType())
-def longest_share(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Length of the longest common substring over a's length."""
-
-    def one(x: str | None, y: str | None) -> float | None:
-        if x is None or y is None:
-            return None
-        m = difflib.SequenceMatcher(None, x, y, autojunk=False).find_longest_match()
-        return m.size / len(x) if x else 0.0
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
-
-
-_FOLD = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
-
-
-@F.pandas_udf(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-def find_compact(hay: pd.Series, needle: pd.Series) -> pd.DataFrame:
-    """Half-open span of ``needle`` in ``hay``, both without white space and full-width folded,
-    in places of the raw text; null where there is none."""
-
-    def one(h: str | None, n: str | None) -> tuple:
-        if h is None or n is None:
-            return None, None
-        kept = [(i, c) for i, c in enumerate(h.translate(_FOLD)) if not c.isspace()]
-        want = "".join(c for c in n.translate(_FOLD) if not c.isspace())
-        at = "".join(c for _, c in kept).find(want) if want else -1
-        return (kept[at][0], kept[at + len(want) - 1][0] + 1) if at >= 0 else (None, None)
-
-    return pd.DataFrame([one(h, n) for h, n in zip(hay, needle)], columns=["start", "end"]).astype("Int32")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions import similarity
+from sheaf.functions import places, similarity
 from sheaf.functions.exam_text import question_number
 from sheaf.functions.text import compact, computed, first_match, let, split_lines, strip
 from sheaf.operators.qc import worst
@@ -343,37 +343,59 @@ def probes(papers: DataFrame) -> DataFrame:
 
 def bound_answers(entries: DataFrame) -> DataFrame:
     """Answers against their source. ``entries``: value_text, form (null: verbatim), block (text
-    of the cited lines, null without valid ones), document, candidates array<string>.
-
-    Adds tier, match, mismatch_class, source_value: the candidate of a rule that equals the
-    value, else its place in the block, else a weak anchor of a compressed answer, else nothing:
-    the value is withheld, and told why."""
+    of the cited lines, null without valid ones), document, candidates array<string>; and if there
+    is such a column, cited (lines were cited, valid or not) and bind_source (entry_bound: the
+    candidates are this entry's own).
+
+    Adds tier, match, mismatch_class, lcs_share (of compressed and descriptive answers that have no
+    place), source_value (what the source says) and bound_value. In this order: the first candidate
+    that equals the value but for blanks and full-width forms; its place in the block; a compressed
+    answer whose characters stand in the block in order, four fifths in one piece; an entry's own
+    candidate in place of a wrong verbatim value; nothing: the value is withheld, and told why (no
+    lines, lines that are not there, edited, found elsewhere, found nowhere). All of it is a
+    projection, native, and linear in the texts but for lcs_share."""
     value = strip(F.coalesce("value_text", F.lit("")))
-    form = F.coalesce("form", F.lit("verbatim"))
-    rows = entries.withColumns({"_v": value, "_form": form, "_block": similarity.find_compact("block", value), "_doc": similarity.find_compact("document", value)})
-    rows = rows.withColumns({"_run": similarity.longest_share(compact(F.col("_v")), compact(F.col("block"))), "_sub": similarity.is_subsequence(compact(F.col("_v")), compact(F.col("block")))})
-    cands = F.coalesce("candidates", F.array().cast("array<string>"))
-    exact = F.filter(cands, lambda c: c == F.col("_v"))
-    near = F.filter(cands, lambda c: compact(c) == compact(F.col("_v")))
-    raw = F.substr("block", F.col("_block.start") + 1, F.col("_block.end") - F.col("_block.start"))
+    own = lambda c, otherwise: F.coalesce(F.col(c), F.lit(otherwise)) if c in entries.columns else F.lit(otherwise)
+    rows = computed(entries, {"_v": value, "_form": F.coalesce("form", F.lit("verbatim")), "_c": compact(value), "_b": compact(F.col("block")), "_cands": F.coalesce("candidates", F.array().cast("array<string>"))})
+    hit = F.get(F.filter("_cands", lambda c: compact(c) == F.col("_c")), F.lit(0))
+    rows = computed(rows, {"_hit": F.when((F.col("_v") != "") & F.col("block").isNotNull(), hit), "_span": places.find_compact(F.col("block"), F.col("_v"))})
+    raw = F.substr("block", F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start"))
+    lost = (F.col("_v") != "") & F.col("block").isNotNull() & F.col("_hit").isNull() & F.col("_span").isNull()
+    rows = computed(rows, {"_raw": F.when(F.col("_hit").isNull(), raw), "_sub": F.when(lost, places.is_subsequence(F.col("_c"), F.col("_b")))})
+    loose = F.col("_form").isin("compressed", "descriptive")
+    rows = computed(rows, {"lcs_share": F.when(F.col("_sub").isNotNull() & loose, places.longest_share(F.col("_c"), F.col("_b")))})
     quoted = F.col("_form").isin("verbatim", "combined")
+    recoverable = (own("bind_source", "region_bound") == "entry_bound") & (F.col("_form") == "verbatim") & (F.size("_cands") > 0)
     tier = first_match(
         [
             ("not_applicable", F.col("_v") == ""),
             ("mismatch_withheld", F.col("block").isNull()),
-            ("rule_candidate", F.size(near) > 0),
-            ("source_substring", raw.isNotNull() & quoted),
-            ("compressed_strong", raw.isNotNull()),
-            ("compressed_weak", (F.col("_form") == "compressed") & F.col("_sub") & (F.col("_run") >= 0.8)),
+            ("rule_candidate", F.col("_hit").isNotNull()),
+            ("source_substring", F.col("_raw").isNotNull() & quoted),
+            ("compressed_strong", F.col("_raw").isNotNull()),
+            ("compressed_weak", (F.col("_form") == "compressed") & F.col("_sub") & (F.col("lcs_share") >= 0.8)),
+            ("mismatch_recovered", recoverable),
         ],
         "mismatch_withheld",
     )
-    rows = rows.withColumn("tier", tier)
-    match = first_match([("exact", (F.col("tier") == "rule_candidate") & (F.size(exact) > 0)), ("normalized", F.col("tier") == "rule_candidate"), ("none", raw.isNull()), ("exact", raw == F.col("_v"))], "normalized")
-    held = F.col("tier") == "mismatch_withheld"
-    why = first_match([("no_locator", held & F.col("block").isNull()), ("outside_region", held & F.col("_doc.start").isNotNull()), ("in_region_edit", held & (F.col("_run") >= 0.5)), ("absent_from_doc", held)])
-    source = F.when(F.col("tier") == "rule_candidate", F.coalesce(F.get(exact, F.lit(0)), F.get(near, F.lit(0)))).when(F.col("tier") == "source_substring", raw)
-    return rows.withColumns({"match": F.when(F.col("tier").isin("not_applicable", "mismatch_withheld", "compressed_weak"), "none").otherwise(match), "mismatch_class": why, "source_value": source}).drop("_v", "_form", "_block", "_doc", "_run", "_sub")
+    rows = computed(rows, {"tier": tier})
+    is_ = lambda *tiers: F.col("tier").isin(*tiers)
+    missed = is_("mismatch_recovered", "mismatch_withheld")
+    why = first_match(
+        [
+            ("locator_invalid", missed & F.col("block").isNull() & own("cited", False)),
+            ("no_locator", missed & F.col("block").isNull()),
+            ("outside_region", missed & F.contains(compact(F.col("document")), F.col("_c"))),
+            ("in_region_edit", missed & F.col("_sub")),
+            ("outside_region", missed & places.is_subsequence(F.col("_c"), compact(F.col("document")))),
+            ("absent_from_doc", missed),
+        ]
+    )
+    kind = lambda c: F.when(c == F.col("_v"), "exact").otherwise("normalized")
+    match = F.when(is_("rule_candidate"), kind(F.col("_hit"))).when(is_("source_substring", "compressed_strong"), kind(F.col("_raw"))).otherwise("none")
+    source = F.when(is_("rule_candidate"), F.col("_hit")).when(is_("source_substring"), F.col("_raw")).when(is_("mismatch_recovered"), F.get("_cands", F.lit(0)))
+    bound = F.when(is_("rule_candidate") & ~quoted | is_("compressed_strong", "compressed_weak"), F.col("_v")).otherwise(source)
+    return rows.withColumns({"match": match, "mismatch_class": why, "source_value": source, "bound_value": bound}).drop("_v", "_form", "_c", "_b", "_cands", "_hit", "_span", "_raw", "_sub")
 
 
 def anchors(annotated: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.functions.text import computed
-from sheaf.operators import options
+from sheaf.functions.text import compact, computed
+from sheaf.operators import exam, options
 from sheaf.plans.catalog import query
 from sheaf.sources.tables import table
 
@@ -80,3 +80,49 @@ def option_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = options.with_options(computed(units, {"lines": F.col("lines")}))
     told = F.transform(F.coalesce("options", F.array().cast(f"array<{options.MARK}>")), lambda m: F.concat(m["label"], m["start_line"].cast("string"), F.lit("-"), m["end_line"].cast("string")))
     return out.select("doc_id", "block", "option_note", F.array_join(told, " ").alias("options"))
+
+
+_WIDE, _NARROW = ("".join(chr(c - shift) for c in range(0xFF01, 0xFF5F)).replace("'", "''") for shift in (0, 0xFEE0))
+_BLANK = r"[\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_SUB = "list_reduce(range(1, length({b}) + 1), lambda i, k: CASE WHEN substr({a}, i + 1, 1) = substr({b}, k, 1) AND i < length({a}) THEN i + 1 ELSE i END, 0::BIGINT) = length({a})"
+
+
+def _binding_oracle() -> str:
+    c = lambda x: f"regexp_replace(translate({x}, '{_WIDE}', '{_NARROW}'), '{_BLANK}', '', 'g')"
+    sub = lambda a, b: _SUB.format(a=a, b=b)
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS document, string_split(coalesce(text, ''), chr(10)) AS ls, length(coalesce(text, '')) % 7 AS k FROM documents),
+b AS (SELECT *, ls[(len(ls) + 1) // 2] AS block, ls[-1] AS final FROM d),
+e AS (SELECT *, substr(block, 1, length(block) * 9 // 10) || substr(block, length(block) * 9 // 10 + 2) AS edited FROM b),
+v AS (SELECT doc_id, document, block, CASE WHEN k IN (3, 4) THEN 'compressed' ELSE 'verbatim' END AS form, k,
+  regexp_replace(CASE k WHEN 0 THEN block WHEN 1 THEN replace(translate(block, 'ABCDEFabcdef', 'ＡＢＣＤＥＦａｂｃｄｅｆ'), ' ', '　 ') WHEN 2 THEN final WHEN 3 THEN edited WHEN 4 THEN block || final WHEN 5 THEN edited ELSE reverse(block) END, '^{_BLANK}|{_BLANK}$', '', 'g') AS v,
+  CASE k WHEN 0 THEN [final, block] WHEN 5 THEN ['Q'] ELSE [] END AS cands FROM e),
+n AS (SELECT *, {c("v")} AS nv, {c("block")} AS nb, {c("document")} AS nd, list_filter(cands, lambda x: {c("x")} = {c("v")})[1] AS hit FROM v),
+s AS (SELECT *, v <> '' AND hit IS NULL AND contains(nb, nv) AS inside FROM n),
+f AS (SELECT *, CASE WHEN v <> '' AND hit IS NULL AND NOT inside THEN {sub("nv", "nb")} END AS sub FROM s),
+r AS (SELECT *, CASE WHEN sub IS NOT NULL AND form = 'compressed' THEN CASE WHEN nv = '' THEN 0.0::DOUBLE ELSE list_reduce(range(1, length(nv) + 1), lambda best, i: CASE WHEN contains(nb, substr(nv, i - best, best + 1)) THEN best + 1 ELSE best END, 0::BIGINT)::DOUBLE / length(nv) END END AS share FROM f),
+t AS (SELECT *, CASE WHEN v = '' THEN 'not_applicable' WHEN hit IS NOT NULL THEN 'rule_candidate' WHEN inside AND form = 'verbatim' THEN 'source_substring' WHEN inside THEN 'compressed_strong'
+       WHEN form = 'compressed' AND sub AND share >= 0.8 THEN 'compressed_weak' WHEN k = 5 THEN 'mismatch_recovered' ELSE 'mismatch_withheld' END AS tier FROM r)
+SELECT doc_id, tier, CASE WHEN tier = 'rule_candidate' THEN CASE WHEN hit = v THEN 'exact' ELSE 'normalized' END WHEN inside THEN CASE WHEN contains(block, v) THEN 'exact' ELSE 'normalized' END ELSE 'none' END AS match,
+  CASE WHEN tier LIKE 'mismatch%' THEN CASE WHEN contains(nd, nv) THEN 'outside_region' WHEN sub THEN 'in_region_edit' WHEN {sub("nv", "nd")} THEN 'outside_region' ELSE 'absent_from_doc' END END AS mismatch_class,
+  round(share, 9) AS lcs_share, {c("CASE WHEN tier IN ('rule_candidate') THEN hit WHEN tier = 'source_substring' THEN v WHEN tier IN ('compressed_strong', 'compressed_weak') THEN v WHEN tier = 'mismatch_recovered' THEN 'Q' END")} AS bound
+FROM t
+"""
+
+
+@query("answer_binding", _binding_oracle())
+def answer_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The middle line of each document is what an answer cites; the answer is that line as it is, spaced
+    and widened, with a character lost, with more behind it, backwards, or another line."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("document"))
+    d = computed(d, {"ls": F.split("document", "\n", -1), "k": F.char_length("document") % 7})
+    d = d.select("doc_id", "document", "k", F.get("ls", F.floor((F.size("ls") + 1) / 2).cast("int") - 1).alias("block"), F.element_at("ls", -1).alias("final"))
+    at = F.floor(F.char_length("block") * 9 / 10).cast("int")
+    edited = F.concat(F.substr("block", F.lit(1), at), F.substr("block", at + 2))
+    wide = F.replace(F.translate("block", "ABCDEFabcdef", "ＡＢＣＤＥＦａｂｃｄｅｆ"), F.lit(" "), F.lit("　 "))
+    k = F.col("k")
+    value = F.when(k == 0, F.col("block")).when(k == 1, wide).when(k == 2, F.col("final")).when(k == 4, F.concat("block", "final")).when(k == 6, F.reverse("block")).otherwise(edited)
+    cands = F.when(k == 0, F.array("final", "block")).when(k == 5, F.array(F.lit("Q")))
+    entries = d.select("doc_id", "document", "block", value.alias("value_text"), F.when(k.isin(3, 4), "compressed").alias("form"), cands.alias("candidates"), F.lit("entry_bound").alias("bind_source"), F.lit(True).alias("cited"))
+    out = exam.bound_answers(computed(entries, {"value_text": F.col("value_text")}))
+    return out.select("doc_id", "tier", "match", "mismatch_class", F.round("lcs_share", 9).alias("lcs_share"), compact(F.col("bound_value")).alias("bound"))

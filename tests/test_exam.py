@@ -228,8 +228,8 @@ def test_binding_tiers(spark):
 
 def test_similarities(spark):
     df = spark.createDataFrame([("abcd", "bcde"), (None, "x"), ("", "")], "a string, b string")
-    r = df.select(S.ratio("a", "b"), S.coverage("a", "b"), S.is_subsequence("a", "b"), S.longest_share("a", "b")).collect()
-    assert tuple(r[0]) == (0.75, 0.75, False, 0.75) and r[1][0] is None and r[2][0] == 1.0
+    r = df.select(S.ratio("a", "b"), S.coverage("a", "b")).collect()
+    assert tuple(r[0]) == (0.75, 0.75) and r[1][0] is None and r[2][0] == 1.0
 
 
 def test_probe_patterns_and_paper_lines(spark):
@@ -278,3 +278,65 @@ def test_number_coverage_is_not_as_long_as_its_numbers(spark):
     assert sorted(map(tuple, qc.number_gaps(df, "k", F.col("n")).collect())) == [("a", 2, 2), ("a", 4, 1_999_999_999), ("d", 1, 1)]
     got = {r["k"]: (r["top"], r["n_missing"], r["n_repeated"]) for r in qc.number_coverage(df, "k", F.col("n")).collect()}
     assert got == {"a": (2_000_000_000, 1_999_999_997, 1), "b": (2, 0, 0), "c": (None, 0, 0), "d": (2, 1, 0)}
+
+
+HAYS = ["", " ", "a", " a b ", "ａ　ｂ\tc\n", "x𝟘y 😀 z", "\x1cab\x85c", "因 为，所以（Ａ）", "aXbXc" * 30, None]
+NEEDLES = ["", " ", "a", "ab", "b c", "abc", "y😀", "为,所", "(A)", "caX bXca", "zz", None]
+
+
+def test_index_map_and_likenesses_against_loops(spark):
+    from sheaf.functions import places as P
+
+    fold = {i: i - 0xFEE0 for i in range(0xFF01, 0xFF5F)}
+    kept = lambda s: [(i, c) for i, c in enumerate(s.translate(fold)) if not c.isspace()]
+    pairs = [(h, n) for h in HAYS for n in NEEDLES]
+    df = spark.createDataFrame([(i, h, n) for i, (h, n) in enumerate(pairs)], "i int, h string, n string")
+    got = df.select("i", P.find_compact(F.col("h"), F.col("n")).alias("s"), P.is_subsequence(F.col("n"), F.col("h")).alias("sub"), P.longest_share(F.col("n"), F.col("h")).alias("run"), F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: P.raw_place(P.runs(F.col("h")), k)).alias("map"))
+    for r in got.collect():
+        h, n = pairs[r["i"]]
+        if h is not None:
+            places = [i for i, _ in kept(h)]
+            assert r["map"] == [places[k] if k < len(places) else None for k in range(10)]
+        if h is None or n is None:
+            assert r["s"] is None and r["sub"] is None
+            continue
+        text, want = "".join(c for _, c in kept(h)), "".join(c for _, c in kept(n))
+        at = text.find(want) if want else -1
+        assert (tuple(r["s"]) if r["s"] else None) == ((kept(h)[at][0], kept(h)[at + len(want) - 1][0] + 1) if at >= 0 else None), (h, n)
+        rest = iter(h)
+        assert r["sub"] == all(c in rest for c in n)
+        best = max([q - p for p in range(len(n)) for q in range(p + 1, len(n) + 1) if n[p:q] in h], default=0)
+        assert r["run"] == (best / len(n) if n else 0.0)
+
+
+def test_binding_tiers(spark):
+    rows = [
+        (1, "ＡB", "verbatim", "x", "x", ["zz", "A B", "ＡB"], None, None),
+        (2, "错", "verbatim", "块", "文", ["对"], "entry_bound", True),
+        (3, "错", "verbatim", "块", "文", ["对"], "region_bound", True),
+        (4, "错", "combined", "块", "文", ["对"], "entry_bound", True),
+        (5, "甲丙", "verbatim", "甲乙丙", "甲乙丙丁", [], None, True),
+        (6, "甲丁", "verbatim", "甲乙丙", "甲乙丙丁", [], None, True),
+        (7, "x", None, None, "x", [], None, True),
+        (8, "x", None, None, "x", None, None, None),
+        (9, "a b", "compressed", "xab", "xab", [], None, True),
+        (10, "abcdefghij", "descriptive", "abcdefghi…j", "d", [], None, True),
+        (11, "Ｂ", "compressed", "x", "x", ["B"], None, True),
+    ]
+    df = spark.createDataFrame(rows, "k int, value_text string, form string, block string, document string, candidates array<string>, bind_source string, cited boolean")
+    got = {r["k"]: (r["tier"], r["match"], r["mismatch_class"], r["source_value"], r["bound_value"]) for r in E.bound_answers(df).collect()}
+    assert got == {
+        1: ("rule_candidate", "normalized", None, "A B", "A B"),
+        2: ("mismatch_recovered", "none", "absent_from_doc", "对", "对"),
+        3: ("mismatch_withheld", "none", "absent_from_doc", None, None),
+        4: ("mismatch_withheld", "none", "absent_from_doc", None, None),
+        5: ("mismatch_withheld", "none", "in_region_edit", None, None),
+        6: ("mismatch_withheld", "none", "outside_region", None, None),
+        7: ("mismatch_withheld", "none", "locator_invalid", None, None),
+        8: ("mismatch_withheld", "none", "no_locator", None, None),
+        9: ("compressed_strong", "normalized", None, None, "a b"),
+        10: ("mismatch_withheld", "none", "in_region_edit", None, None),
+        11: ("rule_candidate", "normalized", None, "B", "Ｂ"),
+    }
+    plan = E.bound_answers(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
