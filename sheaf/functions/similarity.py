@@ -39,3 +39,25 @@ def coverage(a: pd.Series, b: pd.Series) -> pd.Series:
         return sum(m.size for m in difflib.SequenceMatcher(None, x, y).get_matching_blocks()) / min(len(x), len(y))
 
     return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    """difflib ratios of two arrays of texts, place by place."""
+    return pd.Series([[difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(xs, ys)] for xs, ys in zip(a, b)], dtype="object")
+
+
+@F.pandas_udf(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("cover", T.DoubleType())]))
+def best_cover(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """Which of an array of texts shares most of the shorter text's characters in matching blocks with
+    a text, the first of equals, and that share; null where none shares any."""
+
+    def one(x: str, ys) -> tuple:
+        best, at = 0.0, None
+        for i, y in enumerate(ys):
+            c = sum(m.size for m in difflib.SequenceMatcher(None, x, y).get_matching_blocks()) / min(len(x), len(y))
+            if c > best:
+                best, at = c, i
+        return at, best if at is not None else None
+
+    return pd.DataFrame([one(x, ys) for x, ys in zip(a, b)], columns=["at", "cover"]).astype({"at": "Int32", "cover": "Float64"})

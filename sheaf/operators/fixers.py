@@ -259,21 +259,3 @@ def pull_tables(papers: DataFrame) -> DataFrame:
         return u.withField("stem", F.when(ok, F.struct(s["start"].alias("start"), F.coalesce(last, s["end"]).alias("end"))).otherwise(s))
 
     return rows.withColumn("units", F.transform("units", fixed)).drop("lines", "_in")
-
-
-def copied_lines(papers: DataFrame, least: float = 0.62, most: float = 0.995) -> DataFrame:
-    """doc_id, line_no, unit_ord, cover: lines that no span has and that nearly repeat a stem's
-    line, with the unit that they repeat best. Pairs are of one document, of like length, and of
-    eight characters or more."""
-    from sheaf.functions import similarity
-    from sheaf.functions.text import compact
-
-    rows = _text(papers).withColumn("_in", covered(F.col("units")))
-    free = F.transform("lines", lambda x, i: F.struct((i + 1).alias("line_no"), compact(x).alias("x"), F.array_contains(F.col("_in"), i + 1).alias("in")))
-    open_ = rows.select("doc_id", F.explode(F.filter(free, lambda r: ~r["in"] & (F.char_length(r["x"]) >= 8))).alias("r")).select("doc_id", "r.line_no", "r.x")
-    stems = rows.select("doc_id", "lines", F.posexplode("units").alias("unit_ord", "u"))
-    stems = stems.select("doc_id", "unit_ord", F.explode(F.slice("lines", F.col("u.stem.start"), F.greatest(F.col("u.stem.end") - F.col("u.stem.start") + 1, F.lit(0)))).alias("y"))
-    stems = stems.select(F.col("doc_id").alias("_d"), "unit_ord", compact(F.col("y")).alias("y")).where(F.char_length("y") >= 8)
-    near = F.char_length("x").between(F.char_length("y") * 0.5, F.char_length("y") * 2.0)
-    met = open_.join(stems, (F.col("doc_id") == F.col("_d")) & near).withColumn("cover", similarity.coverage("x", "y")).where(F.col("cover").between(least, most))
-    return met.groupBy("doc_id", "line_no").agg(F.max_by(F.struct("unit_ord", "cover"), F.struct("cover", -F.col("unit_ord"))).alias("b")).select("doc_id", "line_no", "b.unit_ord", "b.cover")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions.text import compact, computed
-from sheaf.operators import exam, options
+from sheaf.operators import copies, exam, options
 from sheaf.plans.catalog import query
 from sheaf.sources.tables import table
 
@@ -126,3 +126,78 @@ def answer_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = d.select("doc_id", "document", "block", value.alias("value_text"), F.when(k.isin(3, 4), "compressed").alias("form"), cands.alias("candidates"), F.lit("entry_bound").alias("bind_source"), F.lit(True).alias("cited"))
     out = exam.bound_answers(computed(entries, {"value_text": F.col("value_text")}))
     return out.select("doc_id", "tier", "match", "mismatch_class", F.round("lcs_share", 9).alias("lcs_share"), compact(F.col("bound_value")).alias("bound"))
+
+
+#: Line ends besides the line feed, which lines of these queries do not have.
+_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85  "
+_LINES = f"""
+WITH d AS (SELECT doc_id, string_split(translate(coalesce(text, ''), {"||".join(f"chr({ord(c)})" for c in _ENDS)}, '{" " * len(_ENDS)}'), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS x, unnest(range(1, len(ls) + 1)) AS k FROM d)
+"""
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents")
+    return computed(rows.select("doc_id", F.split(F.translate(F.coalesce("text", F.lit("")), _ENDS, " " * len(_ENDS)), "\n", -1).alias("xs")), {"xs": F.col("xs")})
+
+
+_SHORT = rf"length(regexp_replace(x, '[\s,。，、：:；;（）()\x{{a0}}\x{{3000}}\x{{2000}}-\x{{200a}}]', '', 'g'))"
+
+
+@query(
+    "line_scan",
+    _LINES
+    + rf"""
+, n AS (SELECT doc_id, k, CASE WHEN length(x) % 4 = 3 AND contains(x, '$') THEN 4 ELSE length(x) % 4 END AS s, k <= 999 AND {_SHORT} >= 8 AS told FROM l),
+r AS (SELECT doc_id, string_agg((2 * k - 1) || '-' || (2 * k) || ':' || k, ' ' ORDER BY k) FILTER (WHERE told AND s <> 1) AS doubled,
+  string_agg((2 * k)::VARCHAR, ' ' ORDER BY k) FILTER (WHERE s = 3 AND k % 2 = 0) AS bare_complex, string_agg((2 * k)::VARCHAR, ' ' ORDER BY k) FILTER (WHERE s = 3 AND k % 2 = 1) AS bare_simple FROM n GROUP BY doc_id)
+SELECT doc_id, coalesce(doubled, '') AS doubled, coalesce(bare_simple, '') AS bare_simple, coalesce(bare_complex, '') AS bare_complex FROM r
+""",
+)
+def line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line of a document twice with its number: again as it is, as other signs, without its
+    blanks, or with a command behind it, which is bare unless the line has a dollar sign."""
+    rows = _lines(spark, sf_dir)
+
+    def twice(x, i):
+        n, k = F.char_length(x) % 4, (i + 1).cast("string")
+        dressed = F.when(i % 2 == 1, F.concat(x, F.lit("\\frac"))).otherwise(F.concat(x, F.lit("\\sqrt")))
+        y = F.when(n == 0, x).when(n == 1, F.lit("☂☃☄★☆☇☈☉☊☋")).when(n == 2, F.replace(x, F.lit(" "), F.lit(""))).otherwise(dressed)
+        return F.array(F.concat(k, F.lit(". "), x), F.concat(k, F.lit(". "), y))
+
+    docs = rows.select("doc_id", F.array_join(F.flatten(F.transform("xs", twice)), "\n").alias("text"))
+    out = copies.line_scan(docs)
+    pairs = F.transform("doubled", lambda p: F.concat(p["line"].cast("string"), F.lit("-"), p["again"].cast("string"), F.lit(":"), p["number"]))
+    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), " ").alias(c)
+    return out.select("doc_id", F.array_join(pairs, " ").alias("doubled"), joined("bare_simple"), joined("bare_complex"))
+
+
+@query(
+    "copied_lines",
+    _LINES
+    + """
+SELECT doc_id, k - 1 AS unit_ord, 2 * k + len(ls) + 1 AS line_no, round((length(k::VARCHAR) + 25)::DOUBLE / (length(k::VARCHAR) + 33), 9) AS cover
+FROM l JOIN d USING (doc_id) WHERE length(x) % 3 = 1 AND k <= 999
+""",
+)
+def copied_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers whose questions are digests of a document's lines. Before each answer stands its question
+    once more: as it is, with a quarter of it changed, or changed all over."""
+    rows = _lines(spark, sf_dir)
+    digest = lambda x, i: F.md5(F.concat(x, F.lit(":"), (i + 1).cast("string")))
+    asked = lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), digest(x, i))
+    signs = "☂☃☄★☆☇☈☉"
+
+    def again(x, i):
+        n = F.char_length(x) % 3
+        y = F.when(n == 0, digest(x, i)).when(n == 1, F.concat(F.substring(digest(x, i), 1, 24), F.lit(signs))).otherwise(F.lit(signs * 4))
+        return F.array(F.concat((i + 1).cast("string"), F.lit(". "), y), F.lit("A"))
+
+    rows = computed(rows, {"q": F.transform("xs", asked), "a": F.flatten(F.transform("xs", again)), "n": F.size("xs")})
+    spans = {"stem": lambda i: i + 2, "answer": lambda i: F.col("n") + 4 + 2 * i}
+    span = lambda r, i: F.struct(spans[r](i).cast("int").alias("start"), spans[r](i).cast("int").alias("end")) if r in spans else F.lit(None).cast(exam.SPAN)
+    name = lambda i: F.concat(F.lit("Q"), (i + 1).cast("string"))
+    unit = lambda x, i: F.struct(name(i).alias("unit_id"), F.lit("standalone_question").alias("unit_type"), F.array(i + 1).alias("question_numbers"), F.array((i + 1).cast("string")).alias("printed_number"), *[F.lit(None).cast("string").alias(c) for c in ("section", "section_ref", "basis", "basis_evidence")], *[span(r, i).alias(r) for r in exam.ROLES])
+    papers = rows.select("doc_id", F.array_join(F.concat(F.array(F.lit("# t")), "q", F.array(F.lit("## a")), "a"), "\n").alias("text"), F.transform("xs", unit).cast(f"array<{exam.UNIT}>").alias("units"))
+    out = copies.copied_lines(papers)
+    return out.select("doc_id", F.col("unit_ord").cast("long").alias("unit_ord"), F.col("line_no").cast("long").alias("line_no"), F.round("cover", 9).alias("cover"))
