@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions import exam_text as X
 from sheaf.functions.text import computed, split_lines
-from sheaf.operators import audit, binding, exam, fixers, ledger
+from sheaf.operators import audit, binding, exam, fixers, ledger, mutants
 from sheaf.plans.catalog import query
 from sheaf.sources.tables import table
 
@@ -518,3 +518,25 @@ def stage_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", F.char_length("text").alias("n")), table(spark, sf_dir, "labels").select("doc_id", "quality")
     named = {"source": (docs, F.lit("OK")), "ocr": (docs, F.when(F.col("n") < 50, "EMPTY").otherwise("OK")), "qc": (labels, F.when(F.col("quality") == 1, "OK").otherwise("FAIL"))}
     return ledger.stages(docs, "doc_id", named)
+
+
+_KILLS = """
+, t AS (SELECT count(*) AS n, count(*) FILTER (WHERE source <> 'src3') AS live, count(*) FILTER (WHERE source <> 'src6') AS plain, count(*) FILTER (WHERE source NOT IN ('src3', 'src6')) AS live_plain,
+  count(*) FILTER (WHERE source NOT IN ('src3', 'src4')) AS bounded, count(*) FILTER (WHERE source <> 'src3' AND n - cut::INT > 1) AS several,
+  count(*) FILTER (WHERE source NOT IN ('src2', 'src3', 'src5', 'src6') AND n - cut::INT = 1) AS alone FROM p)
+SELECT 'annotation_edited' AS mutant, 'C8_DIFFERS' AS target, live AS n, live AS n_hit, 0::BIGINT AS n_silent FROM t
+UNION ALL SELECT 'annotation_lost', 'C8_NO_ANNOTATED', live, live, 0 FROM t UNION ALL SELECT 'answer_emptied', 'C3_ANSWERS', n, live, 0 FROM t
+UNION ALL SELECT 'image_added', 'C5_IMAGES', live, bounded, 0 FROM t UNION ALL SELECT 'table_added', 'C6_TABLES', live, bounded, 0 FROM t
+UNION ALL SELECT 'instruction_added', 'C7_INSTRUCTIONS', n, live, 0 FROM t UNION ALL SELECT 'mark_renamed', 'C10_UNPAIRED', live, live, 0 FROM t
+UNION ALL SELECT 'number_lost', 'C2_NUMBERS', n, several, alone FROM t UNION ALL SELECT 'number_twice', 'C13_SAME_SECTION', n, live, 0 FROM t
+UNION ALL SELECT 'paper_line_taken', 'C9_PAPER_LINES', n, live, 0 FROM t UNION ALL SELECT 'parts_crossed', 'C12_NOT_NESTED', n, live, 0 FROM t
+UNION ALL SELECT 'parts_lost', 'C4_COMPOSITE', plain, live_plain, 0 FROM t UNION ALL SELECT 'section_lost', 'C14_SCOPE_MISSING', live, live, 0 FROM t
+UNION ALL SELECT 'source_lost', 'C15_PROVENANCE', live, live, 0 FROM t UNION ALL SELECT 'stem_as_explanation', 'C11_REPEATED_STEM', n, live, 0 FROM t
+UNION ALL SELECT 'zone_mark_lost', 'C1_NO_STEM_START', n, live, 0 FROM t
+"""
+
+
+@query("rule_kills", _PAPERS + _KILLS)
+def rule_kills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each rule's mutant of every paper: how many it changed, how many the rule told, how many passed."""
+    return mutants.survivors(mutants.judged_mutants(annotated_papers(spark, sf_dir)))
