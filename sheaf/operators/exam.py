@@ -358,7 +358,8 @@ def bound_answers(entries: DataFrame) -> DataFrame:
     own = lambda c, otherwise: F.coalesce(F.col(c), F.lit(otherwise)) if c in entries.columns else F.lit(otherwise)
     rows = computed(entries, {"_v": value, "_form": F.coalesce("form", F.lit("verbatim")), "_c": compact(value), "_b": compact(F.col("block")), "_cands": F.coalesce("candidates", F.array().cast("array<string>"))})
     hit = F.get(F.filter("_cands", lambda c: compact(c) == F.col("_c")), F.lit(0))
-    rows = computed(rows, {"_hit": F.when((F.col("_v") != "") & F.col("block").isNotNull(), hit), "_span": places.find_compact(F.col("block"), F.col("_v"))})
+    rows = computed(rows, {"_hit": F.when((F.col("_v") != "") & F.col("block").isNotNull(), hit)})
+    rows = computed(rows, {"_span": F.when(F.col("_hit").isNull() & F.contains("_b", "_c"), places.find_compact(F.col("block"), F.col("_v")))})
     raw = F.substr("block", F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start"))
     lost = (F.col("_v") != "") & F.col("block").isNotNull() & F.col("_hit").isNull() & F.col("_span").isNull()
     rows = computed(rows, {"_raw": F.when(F.col("_hit").isNull(), raw), "_sub": F.when(lost, places.is_subsequence(F.col("_c"), F.col("_b")))})
