@@ -34,8 +34,8 @@ def rstrip(c: Column) -> Column:
 
 
 def half_width(c: Column) -> Column:
-    """Full-width forms U+FF01-U+FF5E as ASCII."""
-    return F.translate(c, _FULL, _HALF)
+    """Full-width forms U+FF01-U+FF5E as ASCII. A text that is ASCII by its length has none."""
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(c, _FULL, _HALF))
 
 
 def compact(c: Column) -> Column:

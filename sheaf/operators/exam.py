@@ -362,7 +362,7 @@ def bound_answers(entries: DataFrame) -> DataFrame:
     rows = computed(rows, {"_span": F.when(F.col("_hit").isNull() & F.contains("_b", "_c"), places.find_compact(F.col("block"), F.col("_v")))})
     raw = F.substr("block", F.col("_span.start") + 1, F.col("_span.end") - F.col("_span.start"))
     lost = (F.col("_v") != "") & F.col("block").isNotNull() & F.col("_hit").isNull() & F.col("_span").isNull()
-    rows = computed(rows, {"_raw": F.when(F.col("_hit").isNull(), raw), "_sub": F.when(lost, places.is_subsequence(F.col("_c"), F.col("_b")))})
+    rows = computed(rows, {"_raw": F.when(F.col("_hit").isNull(), raw), "_sub": F.when(lost, places.is_subsequence(F.col("_c"), F.col("_b"))), "_d": F.when(lost, compact(F.col("document")))})
     loose = F.col("_form").isin("compressed", "descriptive")
     rows = computed(rows, {"lcs_share": F.when(F.col("_sub").isNotNull() & loose, places.longest_share(F.col("_c"), F.col("_b")))})
     quoted = F.col("_form").isin("verbatim", "combined")
@@ -386,9 +386,9 @@ def bound_answers(entries: DataFrame) -> DataFrame:
         [
             ("locator_invalid", missed & F.col("block").isNull() & own("cited", False)),
             ("no_locator", missed & F.col("block").isNull()),
-            ("outside_region", missed & F.contains(compact(F.col("document")), F.col("_c"))),
+            ("outside_region", missed & F.contains("_d", "_c")),
             ("in_region_edit", missed & F.col("_sub")),
-            ("outside_region", missed & places.is_subsequence(F.col("_c"), compact(F.col("document")))),
+            ("outside_region", missed & places.is_subsequence(F.col("_c"), F.col("_d"))),
             ("absent_from_doc", missed),
         ]
     )
@@ -396,7 +396,7 @@ def bound_answers(entries: DataFrame) -> DataFrame:
     match = F.when(is_("rule_candidate"), kind(F.col("_hit"))).when(is_("source_substring", "compressed_strong"), kind(F.col("_raw"))).otherwise("none")
     source = F.when(is_("rule_candidate"), F.col("_hit")).when(is_("source_substring"), F.col("_raw")).when(is_("mismatch_recovered"), F.get("_cands", F.lit(0)))
     bound = F.when(is_("rule_candidate") & ~quoted | is_("compressed_strong", "compressed_weak"), F.col("_v")).otherwise(source)
-    return rows.withColumns({"match": match, "mismatch_class": why, "source_value": source, "bound_value": bound}).drop("_v", "_form", "_c", "_b", "_cands", "_hit", "_span", "_raw", "_sub")
+    return rows.withColumns({"match": match, "mismatch_class": why, "source_value": source, "bound_value": bound}).drop("_v", "_form", "_c", "_b", "_d", "_cands", "_hit", "_span", "_raw", "_sub")
 
 
 def anchors(annotated: DataFrame) -> DataFrame:
