@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.exam_text import inline_answers, question_number, range_answers, table_answers
-from sheaf.functions.text import find_all, first_match, one_of, split_lines, strip
+from sheaf.functions.text import computed, find_all, first_match, one_of, split_lines, strip
 from sheaf.operators.exam import ROLES, _at, _issue, _text, _when, covered, is_paper_line, unit_start
 
 ANSWER_MARK = "【答案】"
@@ -17,16 +17,16 @@ ANSWER_MARK = "【答案】"
 
 def clamp_spans(papers: DataFrame) -> DataFrame:
     """All spans inside their document, their ends in order."""
-    n = F.size(split_lines(F.col("text")))
+    rows = computed(papers, {"_n": F.size(split_lines(F.col("text")))})  # once a paper, not once a span
 
     def fixed(u: Column) -> Column:
         out = u
         for r in ROLES:
-            a, b = (F.least(F.greatest(u[r][e], F.lit(1)), n) for e in ("start", "end"))
+            a, b = (F.least(F.greatest(u[r][e], F.lit(1)), F.col("_n")) for e in ("start", "end"))
             out = out.withField(r, F.when(u[r]["start"].isNotNull() & u[r]["end"].isNotNull(), F.struct(F.least(a, b).alias("start"), F.greatest(a, b).alias("end"))))
         return out
 
-    return papers.withColumn("units", F.transform("units", fixed))
+    return rows.withColumn("units", F.transform("units", fixed)).drop("_n")
 
 
 def number_missing(papers: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def shift_numbers(papers: DataFrame) -> DataFrame:
         return F.struct(F.greatest(acc["top"], F.coalesce(F.array_max(new), F.lit(0))).alias("top"), F.concat(acc["out"], F.array(F.struct(x["i"].alias("i"), new.alias("n")))).alias("out"))
 
     got = F.aggregate(order, F.struct(F.lit(0).alias("top"), none.alias("out")), step, lambda a: a["out"])
-    rows = papers.withColumn("_new", F.map_from_entries(got))
+    rows = computed(papers, {"_new": F.map_from_entries(got)})
     return rows.withColumn("units", F.transform("units", lambda u, i: u.withField("question_numbers", F.element_at("_new", i)))).drop("_new")
 
 
@@ -69,7 +69,7 @@ def trim_explanations(papers: DataFrame) -> DataFrame:
 
 def plain_numbered_lines(papers: DataFrame) -> DataFrame:
     """Numbered lines inside units lose their heading marks."""
-    rows = _text(papers).withColumn("_in", covered(F.col("units")))
+    rows = computed(_text(papers), {"_in": covered(F.col("units"))})
     new = F.transform("lines", lambda x, i: F.when(F.array_contains(F.col("_in"), i + 1) & x.rlike(r"^#{1,6}\s*\d{1,3}\s*[.．、]"), F.regexp_replace(x, r"^#{1,6}\s*", "")).otherwise(x))
     return rows.withColumn("text", F.array_join(new, "\n")).drop("lines", "_in")
 
@@ -83,7 +83,7 @@ def attach_orphan_images(papers: DataFrame, most: int = 6) -> DataFrame:
     """Image lines that no span covers join the nearest span within ``most`` lines that only
     blank lines part from them; ties go to the earlier unit. All gaps are those of the spans as
     they came in, and a span that several images join reaches over all of them."""
-    rows = _text(papers).withColumn("_in", covered(F.col("units")))
+    rows = computed(_text(papers), {"_in": covered(F.col("units"))})
     lines = F.col("lines")
     orphans = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(r"<img\s|!\[[^\]]*\]\(") & ~F.array_contains(F.col("_in"), i + 1), i + 1)), lambda n: n.isNotNull())
     spans = F.flatten(F.transform("units", lambda u, i: F.array_compact(F.array(*[F.when(u[r].isNotNull(), F.struct(i.alias("u"), F.lit(k).alias("r"), u[r]["start"].alias("a"), u[r]["end"].alias("z"))) for k, r in enumerate(ROLES)]))))
@@ -96,7 +96,8 @@ def attach_orphan_images(papers: DataFrame, most: int = 6) -> DataFrame:
         best = F.array_min(F.transform(near, lambda s: F.struct(gap(s).alias("gap"), s["u"].alias("u"), s["r"].alias("r"))))
         return F.struct(n.alias("n"), best["u"].alias("u"), best["r"].alias("r"))
 
-    rows = rows.withColumns({"_orphans": orphans, "_spans": spans}).withColumn("_homes", F.transform("_orphans", home))
+    rows = computed(rows, {"_orphans": orphans, "_spans": spans})
+    rows = computed(rows, {"_homes": F.transform("_orphans", home)})
 
     def mine(i: Column, k: int) -> Column:
         return F.transform(F.filter("_homes", lambda h: (h["u"] == i) & (h["r"] == k)), lambda h: h["n"])
@@ -245,7 +246,7 @@ def image_options(lines: Column, start: Column, end: Column) -> Column:
 def pull_tables(papers: DataFrame) -> DataFrame:
     """Stems that name a table below them reach over the table lines that follow, up to the next
     unit and if no span has them yet."""
-    rows = _text(papers).withColumn("_in", covered(F.col("units")))
+    rows = computed(_text(papers), {"_in": covered(F.col("units"))})
     lines = F.col("lines")
 
     def fixed(u: Column) -> Column:

@@ -28,10 +28,11 @@ v AS (SELECT *, k = 1 + cut::INT AS is_first FROM u WHERE NOT (cut AND k = 1))
 """
 
 
-def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def papers(spark: SparkSession, sf_dir: str, *carried: str) -> DataFrame:
     """Papers with one fault each, by source: src1 claims a number twice, src2 shows a short answer,
     src3 has no source text, src4 cites lines that are not there, src5 has an image outside of all
-    spans, src6 a composite unit without a text. In French ones the first unit is missing."""
+    spans, src6 a composite unit without a text. In French ones the first unit is missing.
+    ``carried``: source or lang, as _source and _lang."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.split(F.translate(F.coalesce("text", F.lit("")), ENDS, " " * len(ENDS)), "\n", -1).alias("ls"))
     rows = computed(rows, {"n": F.size("ls"), "ls": F.col("ls")})
     numbered = F.transform("ls", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x))
@@ -74,6 +75,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("p.md").alias("source_file"),
         F.lit(1).alias("identity_version"),
         kept(F.transform("ls", unit)).cast(f"array<{exam.UNIT}>").alias("units"),
+        *[F.col(c).alias(f"_{c}") for c in carried],
     )
     return exam.assign_identity(rows)
 

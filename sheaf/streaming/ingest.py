@@ -32,13 +32,44 @@ def _batches(spark: SparkSession, path: str, before: str | None = None) -> list[
     return [i for i in ids if before is None or i < before]
 
 
+def _compactions(spark: SparkSession, path: str, before: str | None = None) -> list[str]:
+    """Ids of the batches up to which the ledger is compacted, in order."""
+    return _batches(spark, f"{path}_compact", before)
+
+
 def read_ledger(spark: SparkSession, path: str, before: str | None = None) -> DataFrame:
-    """The last entry of each path, of the batches before one; no rows where there are none."""
-    ids = _batches(spark, path, before)
+    """The last entry of each path, of the batches before one; no rows where there are none. Read are the
+    last compaction before that batch and the batches after it."""
+    upto = max(_compactions(spark, path, before), default=None)
+    ids = [i for i in _batches(spark, path, before) if upto is None or i > upto]
     rows = spark.read.schema(LEDGER).option("basePath", path).parquet(*[f"{path}/batch_id={i}" for i in ids]) if ids else spark.createDataFrame([], LEDGER)
+    if upto is not None:  # a compaction keeps the ids of its batches as a column
+        rows = rows.unionByName(spark.read.schema(LEDGER.replace("batch_id", "done_in")).parquet(f"{path}_compact/batch_id={upto}").withColumnRenamed("done_in", "batch_id"))
     return last_wins(rows, "source_rel", "batch_id")
 
 
+def compact(spark: SparkSession, path: str) -> str | None:
+    """Writes the ledger up to the last batch but one as one folder and removes what it stands for: batches,
+    older compactions and backlogs. Returns the id up to which the ledger is compacted.
+
+    The last batch stays, as it may run again and must then find what it found. Call it while no stream
+    runs. A crash in the middle leaves folders that the next call removes; readers skip them."""
+    ids = _batches(spark, path)
+    done = _compactions(spark, path)
+    if len(ids) > 1 and (not done or ids[-2] > done[-1]):
+        rows = read_ledger(spark, path, ids[-1]).withColumnRenamed("batch_id", "done_in")
+        rows.write.mode("overwrite").parquet(f"{path}_compact/batch_id={ids[-2]}")
+        done.append(ids[-2])
+    if done:
+        # the backlog that the last batch began with is the last one before it
+        left = _batches(spark, f"{path}_backlog", ids[-1]) if ids else []
+        old = [f"{path}/batch_id={i}" for i in ids[:-1] if i <= done[-1]] + [f"{path}_compact/batch_id={i}" for i in done[:-1]] + [f"{path}_backlog/batch_id={i}" for i in left[:-1]]
+        for folder in old:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return done[-1] if done else None
+
+
 def backlog(spark: SparkSession, path: str, before: str | None = None) -> DataFrame | None:
     """What the last batch left over; None before the first."""
     ids = _batches(spark, path, before)
@@ -80,6 +111,7 @@ def start(source: DataFrame, ledger_path: str, work: Callable[[DataFrame], DataF
     """Work off the backlog, then start the query over ``source`` (source_rel, sha256, pages, ...);
     it ends when all files that are there now are seen. ``work`` maps rows to what is written."""
     spark = source.sparkSession
+    compact(spark, ledger_path)
     last = max(_batches(spark, ledger_path), default=None)
     if last is not None:  # an id after the last batch's and before the next one's
         work_off(spark, None, f"{last.partition('_')[0]}_{day()}", ledger_path, work, out_path, day(), quota)
