@@ -433,7 +433,7 @@ def mark_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "layer_fidelity",
     r"""
     WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-    s AS (SELECT *, list_filter(list_transform(ls, lambda x: regexp_replace(x, '[^0-9A-Za-z一-鿿]+', '', 'g')), lambda x: length(x) >= 12) AS ps,
+    s AS (SELECT *, list_filter(list_transform(string_split_regex(t, '[,.;:!?()，。、；：！？\r\n]'), lambda x: regexp_replace(x, '[^0-9A-Za-z一-鿿]+', '', 'g')), lambda x: length(x) >= 12) AS ps,
           regexp_replace(regexp_replace(array_to_string(CASE WHEN source = 'src1' THEN ls[2:] ELSE ls END, chr(10)), '<[^>]+>', '', 'g'), '[^0-9A-Za-z一-鿿]+', '', 'g') AS near FROM d),
     f AS (SELECT *, list_filter(ps, lambda x: contains(near, x) OR contains(near, x[1:10]) OR contains(near, x[-10:])) AS fs,
           CASE WHEN length(regexp_replace(t, '[^0-9A-Za-z一-鿿]+', '', 'g')) < 50 THEN 'no_text_layer' WHEN len(ps) = 0 THEN 'no_prose' ELSE 'ok' END AS status FROM s)
@@ -443,8 +443,9 @@ def mark_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts against the layer of their original; those of src1 lost their first line."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    # the layer parts at line feeds alone here: other marks that part passages become letters
-    layer = F.translate(F.coalesce("text", F.lit("")), "，。、；：！？\r", " " * 8)
+    # a mark of the layer for each ASCII one of the source: the layer parts there, the source does not
+    marks = "，。、；：！？\r"
+    layer = F.translate(F.coalesce("text", F.lit("")), ",.;:!?()", marks)
     source = F.array_join(F.when(F.col("source") == "src1", F.slice(lines, 2, F.size(lines))).otherwise(lines), "\n")
     rows = table(spark, sf_dir, "documents").select("doc_id", audit.fidelity(source, layer).alias("f"))
     return rows.select("doc_id", "f.status", F.col("f.n_prose").cast("long").alias("n_prose"), F.col("f.n_found").cast("long").alias("n_found"))

@@ -125,7 +125,7 @@ _TURNS = "WITH t AS (SELECT conv_id, (turn + 1) AS line_no, role, text FROM conv
     "section_locators",
     _TURNS
     + """, n AS (SELECT conv_id, max(line_no) AS n_lines FROM t GROUP BY conv_id),
-    h AS (SELECT conv_id, line_no, substr(text, 1, 8) AS title FROM t WHERE role = 'user'
+    h AS (SELECT conv_id, line_no, text AS title FROM t WHERE role = 'user'
           UNION ALL SELECT conv_id, 1, NULL FROM n),
     g AS (SELECT conv_id, line_no, max(title) AS title FROM h GROUP BY conv_id, line_no)
     SELECT g.conv_id, row_number() OVER (PARTITION BY g.conv_id ORDER BY line_no) AS ordinal, title,
@@ -137,7 +137,7 @@ _TURNS = "WITH t AS (SELECT conv_id, (turn + 1) AS line_no, role, text FROM conv
 def section_locators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headings (user turns) as a partition of each conversation."""
     t = _turns(spark, sf_dir)
-    heads = t.where("role = 'user'").select("conv_id", "line_no", F.substring("text", 1, 8).alias("title"))
+    heads = t.where("role = 'user'").select("conv_id", "line_no", F.col("text").alias("title"))
     return spans.sections(heads, t.groupBy("conv_id").agg(F.max("line_no").alias("n_lines")), "conv_id")
 
 
@@ -148,7 +148,7 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "located_sections",
     _TURNS
-    + """, m AS (SELECT conv_id, line_no, substr(text, 1, 8) AS title FROM t WHERE role = 'user')
+    + """, m AS (SELECT conv_id, line_no, text AS title FROM t WHERE role = 'user')
     SELECT t.conv_id, t.line_no, (SELECT m.title FROM m WHERE m.conv_id = t.conv_id AND m.line_no <= t.line_no ORDER BY m.line_no DESC LIMIT 1) AS title
     FROM t WHERE role = 'assistant'
     """,
@@ -156,7 +156,7 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def located_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As-of join: each answer with the last heading before it."""
     t = _turns(spark, sf_dir)
-    heads = t.where("role = 'user'").select("conv_id", "line_no", F.substring("text", 1, 8).alias("title"))
+    heads = t.where("role = 'user'").select("conv_id", "line_no", F.col("text").alias("title"))
     return spans.located(t.where("role = 'assistant'").select("conv_id", "line_no"), heads, "conv_id", "line_no", "title")
 
 
@@ -535,13 +535,15 @@ def near_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     WITH p AS (SELECT p_partkey, p_name AS target, p_type, p_size FROM part), c AS (SELECT *, count(*) OVER (PARTITION BY target) AS k FROM p)
     SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'read_error' WHEN p_type IS NULL OR p_size % 5 = 0 THEN 'needs_ruling'
-           WHEN target IN (SELECT p_name FROM part WHERE p_partkey % 50 = 0) THEN 'collision' WHEN k > 1 THEN 'conflict' ELSE 'move' END AS bucket FROM c
+           WHEN target IN (SELECT p_name FROM part JOIN lineitem ON l_partkey = p_partkey WHERE l_returnflag = 'R') THEN 'collision' WHEN k > 1 THEN 'conflict' ELSE 'move' END AS bucket FROM c
     """,
 )
 def plan_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A move plan: what may move, and what must not and why."""
+    """A move plan: what may move, and what must not and why. Names of parts that came back are taken."""
     p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("target"), "p_type", "p_size")
-    out = ledger.plan_buckets(p, "target", F.col("p_type").isNull() | (F.col("p_size") % 5 == 0), F.col("p_size") % 7 == 0, p.where("p_partkey % 50 = 0").select("target"))
+    back = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey")).distinct()
+    taken = p.join(back, "p_partkey", "left_semi").select("target")
+    out = ledger.plan_buckets(p, "target", F.col("p_type").isNull() | (F.col("p_size") % 5 == 0), F.col("p_size") % 7 == 0, taken)
     return out.select("p_partkey", "bucket")
 
 
