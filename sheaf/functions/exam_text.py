@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheaf.functions.text import best_score, count_of, find_all, first_match, half_width, strip
+from sheaf.functions.text import SPACE, best_score, count_of, find_all, first_match, half_width, strip
 
 # Patterns and word lists of the paper format.
 QUESTION_NUMBER = r"^(\d{1,3})\s*[\.．。、\)）\]］:：]\s*"
+# QUESTION_NUMBER of a line with blanks, heading marks, asterisks and backslashes about it
+LEADING_NUMBER = rf"(?U)^[{SPACE}]*(?:#{{1,6}}\s*)?(?:\*\*+)?\\*(\d(?:\\*\d){{0,2}})[\\\s]*[\.．。、\)）\]］:：]"
 RANGE_ANSWER = r"(?<![\d.])(\d{1,3})\s*[–\-~—]\s*(\d{1,3})\s*([A-DＡ-Ｄ]{2,})"
 INLINE_ANSWER = r"(?<![\d.])(\d{1,3})\s*\\?\.\s*([A-DＡ-Ｄ])(?![a-zA-Z\u4e00-\u9fff])"
 ANSWER_LETTERS = "[A-DＡ-Ｄ]{1,4}"
@@ -43,16 +45,23 @@ def _contains_any(c: Column, words: list[str]) -> Column:
     return out
 
 
+def leading_number(line: Column) -> Column:
+    """The number at a line's start, whatever marks stand before it, or null. One match of the line as
+    it is: only the number's own characters are rewritten."""
+    n = F.regexp_extract(line, LEADING_NUMBER, 1)
+    return F.when(n != "", half_digits(F.replace(n, F.lit("\\"), F.lit(""))).cast("int"))
+
+
 def question_number(line: Column) -> Column:
-    """The number at a line's start, whatever marks stand before it: struct<n, rest>, or null."""
+    """The number at a line's start and what follows it: struct<n, rest>, or null."""
     s = F.regexp_replace(strip(line), r"(?U)^#{1,6}\s*", "")
     s = half_digits(F.replace(F.regexp_replace(s, r"^\*\*+", ""), F.lit("\\"), F.lit("")))
-    n = F.regexp_extract(s, f"(?U){QUESTION_NUMBER}", 1)
-    return F.when(n != "", F.struct(n.cast("int").alias("n"), F.regexp_replace(s, f"(?U){QUESTION_NUMBER}", "").alias("rest")))
+    n = leading_number(line)
+    return F.when(n.isNotNull(), F.struct(n.alias("n"), F.regexp_replace(s, f"(?U){QUESTION_NUMBER}", "").alias("rest")))
 
 
 def half_digits(c: Column) -> Column:
-    return F.translate(c, "０１２３４５６７８９", "0123456789")
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(c, "０１２３４５６７８９", "0123456789"))
 
 
 def _first_of(entries: Column) -> Column:

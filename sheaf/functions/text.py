@@ -12,25 +12,37 @@ from pyspark.sql import functions as F
 
 #: Line ends of str.splitlines().
 LINE_END = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
+OTHER_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 #: Characters that str.isspace() accepts, as a class body.
 SPACE = r"\s\x1c-\x1f\x85"
+#: The same, one by one.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _FULL = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
 _HALF = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F))
 
 
+def has_other_ends(c: Column) -> Column:
+    """Whether a line end but the line feed is there: a search of bytes, as texts seldom have one."""
+    out = F.lit(False)
+    for end in OTHER_ENDS:
+        out = out | F.contains(c, F.lit(end))
+    return out
+
+
 def split_lines(c: Column) -> Column:
     """str.splitlines(): no empty line after a final line end, none for an empty text."""
     cut = lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p)
-    return F.transform(F.array(F.split(c, LINE_END, -1)), cut)[0]  # bound by a lambda, so that it is split once
+    parts = F.when(has_other_ends(c), F.split(c, LINE_END, -1)).otherwise(F.split(c, "\n", -1))
+    return F.transform(F.array(parts), cut)[0]  # bound by a lambda, so that it is split once
 
 
 def strip(c: Column) -> Column:
     """str.strip()."""
-    return F.regexp_replace(c, f"(?U)^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, f"(?U)[{SPACE}]+$", "")
+    return F.rtrim(c, F.lit(BLANKS))
 
 
 def half_width(c: Column) -> Column:

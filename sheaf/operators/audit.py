@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sheaf.functions.exam_text import question_number, range_answers, table_answers
 from sheaf.functions.text import computed, find_all, half_width, let, split_lines, strip
 from sheaf.operators import binding
-from sheaf.operators.exam import IMAGE_LINE, ROLES, TABLE_LINE, ZONES, _issue, _text, _when, anchors, identity_issues, sections, with_quality
+from sheaf.operators.exam import IMAGE_LINE, ROLES, TABLE_LINE, ZONES, _issue, _text, _when, anchors, identity_issues, sections, with_facts, with_quality
 from sheaf.operators.fixers import many_parts
 from sheaf.operators.options import option_marks
 
@@ -148,8 +148,8 @@ def preflight(papers: DataFrame) -> DataFrame:
     PC6 provenance outside their words (``printed_provenance`` of a unit, null if units lack it);
     PC7 provenance and printed number contradict; PC8 a section that is not there; PC9 spans out
     of bounds."""
-    rows = _text(with_quality(papers))
-    lines, n = F.col("lines"), F.greatest(F.size("lines"), F.lit(1))
+    rows = with_quality(with_facts(papers))
+    lines, n = F.col("_of_text.lines"), F.greatest(F.size("_of_text.lines"), F.lit(1))
     secs = F.col("sections") if "sections" in papers.columns else sections(lines)
     fields = papers.schema["units"].dataType.elementType.fieldNames()
     own = lambda u: u["printed_provenance"] if "printed_provenance" in fields else F.lit(None).cast("string")

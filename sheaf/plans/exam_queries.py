@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions import exam_text as X
-from sheaf.functions.text import computed, split_lines
+from sheaf.functions.text import OTHER_ENDS, computed, has_other_ends, split_lines
 from sheaf.operators import audit, binding, exam, fixers, ledger, mutants
 from sheaf.plans.catalog import query
 from sheaf.sources.tables import table
 
 #: Line ends that the engine knows besides the line feed; papers have blanks in their place.
-ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85  "
+ENDS = OTHER_ENDS
 _CODES = "||".join(f"chr({ord(c)})" for c in ENDS)
 _PAPERS = f"""
 WITH d AS (SELECT doc_id, source, lang, string_split(translate(coalesce(text, ''), {_CODES}, '{" " * len(ENDS)}'), chr(10)) AS ls FROM documents),
@@ -28,12 +28,18 @@ v AS (SELECT *, k = 1 + cut::INT AS is_first FROM u WHERE NOT (cut AND k = 1))
 """
 
 
+def document_lines() -> Column:
+    """Lines of a document's text, null as empty, with blanks for ENDS."""
+    text = F.coalesce("text", F.lit(""))
+    return F.split(F.when(has_other_ends(text), F.translate(text, ENDS, " " * len(ENDS))).otherwise(text), "\n", -1)
+
+
 def papers(spark: SparkSession, sf_dir: str, *carried: str) -> DataFrame:
     """Papers with one fault each, by source: src1 claims a number twice, src2 shows a short answer,
     src3 has no source text, src4 cites lines that are not there, src5 has an image outside of all
     spans, src6 a composite unit without a text. In French ones the first unit is missing.
     ``carried``: source or lang, as _source and _lang."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.split(F.translate(F.coalesce("text", F.lit("")), ENDS, " " * len(ENDS)), "\n", -1).alias("ls"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", document_lines().alias("ls"))
     rows = computed(rows, {"n": F.size("ls"), "ls": F.col("ls")})
     numbered = F.transform("ls", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x))
     answers = F.transform("ls", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". A")))
@@ -202,7 +208,7 @@ def contract_preflight(spark: SparkSession, sf_dir: str) -> DataFrame:
 def semantic_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probes on papers whose German units claim other numbers, and whose Spanish answers are "-". One
     number with one letter is no form of an answer."""
-    lang = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("_id"), "lang", F.size(F.split(F.translate(F.coalesce("text", F.lit("")), ENDS, " " * len(ENDS)), "\n", -1)).alias("n"))
+    lang = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("_id"), "lang", F.size(document_lines()).alias("n"))
     rows = papers(spark, sf_dir).where("text IS NOT NULL").join(lang, F.col("doc_id") == F.col("_id"))
     plain = F.regexp_replace("text", r"(?<=\n)\d+\. A(?=\n|$)", "-")
     rows = rows.withColumns({"text": F.when(F.col("lang") == "es", plain).otherwise(F.col("text")), "units": F.when(F.col("lang") == "de", F.transform("units", lambda u: u.withField("question_numbers", F.array(F.lit(-1))))).otherwise(F.col("units"))})
@@ -410,7 +416,7 @@ def proved_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mark_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotations of the older form: src1 has an empty answer, src2 an answer's number twice, src4 an
     image outside of all blocks, src5 no second question."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", F.split(F.translate(F.coalesce("text", F.lit("")), ENDS, " " * len(ENDS)), "\n", -1).alias("ls"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", document_lines().alias("ls"))
     rows = computed(rows, {"n": F.size("ls"), "ls": F.col("ls")})
     of = lambda s: F.col("source") == s
     mark = lambda kind, end, i: F.concat(F.lit(f"<!-- META:{kind}:{end}:"), (i + 1).cast("string"), F.lit(",x" if (kind, end) == ("question", "start") else ""), F.lit(" -->\n"))

@@ -32,3 +32,17 @@ def test_matrix_and_survivors(spark):
     plan = judged._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
     assert M.judged_mutants(df.limit(0)).count() == 0
+
+
+def test_rows_wait_for_python_without_their_texts(spark):
+    node = E.quality(ready(spark, paper()))._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "ArrowEvalPython":
+        node = node.children().apply(0)
+    held = {a.name() for a in (node.children().apply(0).output().apply(i) for i in range(node.children().apply(0).output().size()))}
+    assert "_pairs" in held and not held & {"text", "rendered", "annotated", "units", "lines", "sections"} and not any(c.startswith("_of_") for c in held)
+
+
+def test_facts_are_told_anew_where_a_text_is_edited(spark):
+    df = ready(spark, paper())
+    fresh = M.judged_mutants(df, check=lambda p: E.with_quality(p.drop(*E.FACTS)))
+    assert sorted(map(str, M.judged_mutants(df).collect())) == sorted(map(str, fresh.collect()))
