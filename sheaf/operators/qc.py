@@ -42,3 +42,15 @@ def number_coverage(rows: DataFrame, key: str, number: Column) -> DataFrame:
     each = rows.select(key, number.cast("long").alias("_n")).groupBy(key, "_n").count()
     inside = F.count_if(F.col("_n") >= 1)
     return each.groupBy(key).agg(F.max("_n").alias("top"), F.greatest(F.coalesce(F.max("_n"), F.lit(0)) - inside, F.lit(0)).alias("n_missing"), F.coalesce(F.sum(F.when(F.col("_n").isNotNull(), F.col("count") - 1)), F.lit(0)).alias("n_repeated"))
+
+
+def missing_numbers(rows: DataFrame, key: str, number: Column) -> DataFrame:
+    """Per key: missing (array<long>, the numbers that lack in 1..max, in order) and n_repeated (numbers
+    beyond the first of each). The gaps between a key's sorted distinct numbers are filled, so what is
+    held is as long as the key's numbers and what they lack. Null numbers are not looked at."""
+    each = rows.select(key, number.cast("long").alias("_n")).groupBy(key, "_n").count()
+    own = each.groupBy(key).agg(F.sort_array(F.collect_list("_n")).alias("_ns"), F.coalesce(F.sum(F.when(F.col("_n").isNotNull(), F.col("count") - 1)), F.lit(0)).alias("n_repeated"))
+    none = F.array().cast("array<bigint>")
+    before = lambda i: F.greatest(F.coalesce(F.get("_ns", i - 1), F.lit(0)), F.lit(0))
+    gap = lambda n, i: F.when(n - before(i) > 1, F.sequence(before(i) + 1, n - 1)).otherwise(none)
+    return own.select(key, F.flatten(F.transform("_ns", gap)).alias("missing"), "n_repeated")

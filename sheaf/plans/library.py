@@ -401,13 +401,13 @@ def shared_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "missing_numbers",
     """
-    SELECT l_partkey, max(l_linenumber) AS top, max(l_linenumber) - count(DISTINCT l_linenumber) AS n_missing, count(*) - count(DISTINCT l_linenumber) AS n_repeated
-    FROM lineitem GROUP BY l_partkey
+    WITH g AS (SELECT l_orderkey, list(DISTINCT l_linenumber) AS ns, max(l_linenumber) AS top, count(*) AS n FROM lineitem GROUP BY l_orderkey)
+    SELECT l_orderkey, list_sort(list_filter(range(1, top + 1), lambda x: NOT list_contains(ns, x))) AS missing, n - len(ns) AS n_repeated FROM g
     """,
 )
 def missing_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many line numbers up to its largest each part never had, and how many it had again."""
-    return qc.number_coverage(table(spark, sf_dir, "lineitem"), "l_partkey", F.col("l_linenumber"))
+    """Gaps of 1..max and repeated numbers of each order."""
+    return qc.missing_numbers(table(spark, sf_dir, "lineitem"), "l_orderkey", F.col("l_linenumber"))
 
 
 @query(

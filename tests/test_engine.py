@@ -124,3 +124,12 @@ def test_entry_imports_without_the_optional_parts(tmp_path):
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; assert 'line_profile' in e.queries() and 'pipeline' not in e.queries(); e.oracle_sql()"
     assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path).returncode == 0
+
+
+def test_missing_numbers_of_each_key(spark):
+    from sheaf.operators import qc
+
+    rows = spark.createDataFrame([(1, 5), (1, 2), (1, 2), (2, None), (3, 1), (3, -4), (4, 3), (5, 0)], "k long, n int")
+    got = {r["k"]: (r["missing"], r["n_repeated"]) for r in qc.missing_numbers(rows, "k", F.col("n")).collect()}
+    assert got == {1: ([1, 3, 4], 1), 2: ([], 0), 3: ([], 0), 4: ([1, 2], 0), 5: ([], 0)}
+    assert catalog.queries()["missing_numbers"](spark, "/root/testdata/sf0.001").columns == ["l_orderkey", "missing", "n_repeated"]
