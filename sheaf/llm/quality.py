@@ -33,9 +33,6 @@ VIEWS = {"char": 5, "word": 3}
 EDGE = "\x02"  # stands before a text, once less than an n-gram is long
 #: Rows of an input file that make a block.
 ROWS = 16_384
-#: Trusted documents that the model is fitted on at most, by hash of their ids, and ids that are
-#: broadcast (16 MB). Documents are scored, and limits taken, over all.
-MOST_TRUSTED = 1_000_000
 #: Slots of a table of n-grams (4 MB); those of more than so many distinct ones leave the task.
 SLOTS, MOST_GRAMS = 1 << 20, 1 << 19
 #: Rows of a table of languages that are broadcast at most; more are joined by shuffle.
@@ -256,12 +253,30 @@ def grouped(batch: pa.RecordBatch, key, columns: tuple) -> Iterator[tuple[tuple,
 BLOCK_GRAMS = "block long, view string, lang string, g string, c0 long, c1 long"
 
 
-def block_grams(docs: DataFrame) -> DataFrame:
-    """BLOCK_GRAMS of ``docs`` (block, lang, fold, trusted, text): distinct n-grams of each block,
-    with their counts in its trusted texts by fold. A task may tell one twice, in parts."""
+class Trusted:
+    """The trusted ids of one block at a time, from its file under ``folder``."""
+
+    def __init__(self, folder: str):
+        self.store, self.root = _folder(folder)
+        self.block, self.ids = None, frozenset()
+
+    def has(self, block: int, doc_id: int | None) -> bool:
+        if block != self.block:
+            path = f"{self.root}/{block}.parquet"
+            some = self.store.get_file_info(path).is_file
+            self.block, self.ids = block, frozenset(pq.read_table(path, filesystem=self.store)["doc_id"].to_pylist() if some else ())
+        return doc_id in self.ids
+
+
+def block_grams(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """BLOCK_GRAMS of ``docs`` (block, doc_id, lang, fold, text): distinct n-grams of each block, with
+    their counts in its trusted texts by fold. A task may tell one twice, in parts. ``folder`` has the
+    trusted ids of each block (see write_blocks): no text is shuffled for them, however many there are. Without it they are told by the column trusted."""
+    told = "trusted" if folder is None else "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = held("quality", Held).kinds
+        has = Trusted(folder).has if folder else lambda block, trusted: trusted
         parts: dict[tuple[str, str], Grams] = {}
         at = None
 
@@ -273,7 +288,7 @@ def block_grams(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, at)), pa.array([view] * n), pa.array([lang] * n), pa.array(g[i : i + n].tolist()), pa.array(c[0, i : i + n]), pa.array(c[1, i : i + n])], ["block", "view", "lang", "g", "c0", "c1"])
 
         for batch in batches:
-            for (block, lang, fold), texts in grouped(batch, lambda b, x, f, t: (b, x, f if t else 2), ("block", "lang", "fold", "trusted")):
+            for (block, lang, fold), texts in grouped(batch, lambda b, x, f, i: (b, x, f if has(b, i) else 2), ("block", "lang", "fold", told)):
                 if block != at or len(parts) > 16 or sum(p.places.n for p in parts.values()) > MOST_GRAMS:
                     yield from out()
                     at = block
@@ -284,7 +299,7 @@ def block_grams(docs: DataFrame) -> DataFrame:
                         parts[view, lang].add(v, fold)
         yield from out()
 
-    return arrow_rows(docs.select("block", "lang", "fold", "trusted", "text"), run, BLOCK_GRAMS)
+    return arrow_rows(docs.select("block", told, "lang", "fold", "text"), run, BLOCK_GRAMS)
 
 
 def orders(counts: DataFrame, order: int) -> list[DataFrame]:
@@ -364,7 +379,12 @@ def write_tables(grams: DataFrame, model: DataFrame, folder: str) -> None:
     ``model`` (view, lang, g, p0, p1)."""
     bits = [F.coalesce(F.least(F.lit(NONE - 1), F.round(-F.log2(f"p{f}") * UNIT)), F.lit(NONE)).cast("int").alias(f"b{f}") for f in (0, 1)]
     rows = grams.select("block", "view", "lang", "g").join(model.select("view", "lang", "g", *bits), ["view", "lang", "g"])
-    rows = rows.repartition(partitions(grams.sparkSession), "block").sortWithinPartitions("block", "view", "lang", "g").select("block", "view", "lang", "g", "b0", "b1")
+    write_blocks(rows.select("block", "view", "lang", "g", "b0", "b1"), ["view", "lang", "g"], ["view", "lang"], folder)
+
+
+def write_blocks(rows: DataFrame, order: list[str], words: list[str], folder: str) -> None:
+    """A file a block under ``folder``: its ``rows``, sorted by ``order``, with ``words`` in dictionaries."""
+    rows = rows.repartition(partitions(rows.sparkSession), "block").sortWithinPartitions("block", *order)
     store, root = _folder(folder)
     store.create_dir(root, recursive=True)
 
@@ -376,7 +396,7 @@ def write_tables(grams: DataFrame, model: DataFrame, folder: str) -> None:
             if waiting:
                 temp = f"{root}/.{uuid.uuid4().hex}.tmp"
                 with store.open_output_stream(temp) as out:
-                    pq.write_table(pa.Table.from_batches(waiting).drop_columns("block"), out, compression="zstd", use_dictionary=["view", "lang"])
+                    pq.write_table(pa.Table.from_batches(waiting).drop_columns("block"), out, compression="zstd", use_dictionary=words or False)
                 store.move(temp, f"{root}/{at}.parquet")  # an attempt that runs again writes the same rows
                 done.append(at)
 
@@ -473,12 +493,11 @@ def _in_blocks(docs: DataFrame) -> DataFrame:
         return stored(docs.select("doc_id", "lang", "text"), "texts").select(block, *rows)
 
 
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, most_trusted: int = MOST_TRUSTED) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.999) -> DataFrame:
     """One row per row of ``docs``: doc_id, th (text_hash), lang, the perplexities char and word,
     their limits char_limit and word_limit, and kept.
 
-    Trusted are the documents that ``labels`` calls of quality 1 and not toxic, of more than
-    ``most_trusted`` about so many by hash of doc_id. Documents are in two folds, by hash of
+    Trusted are all documents that ``labels`` calls of quality 1 and not toxic. Documents are in two folds, by hash of
     doc_id, and each is held to the model of the other fold's trusted texts: no text is judged
     by a model that has seen it, trusted ones neither, so limits do not come out too low where
     trusted text is scarce. A document goes if a perplexity is above its language's limit, the
@@ -493,11 +512,9 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, most_tr
     rows = _in_blocks(docs)
     ids = labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     ids = stored(ids, "trusted")
-    if (n := ids.count()) > most_trusted:
-        ids = stored(ids.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < (most_trusted << 20) // n), "trusted")
-    known = F.broadcast(ids.withColumn("trusted", F.lit(True)))  # about most_trusted at most
-    marked = rows.join(known, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    found = stored(block_grams(marked), "grams")
+    marks = new_folder(docs.sparkSession, "marks")
+    write_blocks(rows.select("block", "doc_id").join(ids, "doc_id").select("block", "doc_id"), ["doc_id"], [], marks)
+    found = stored(block_grams(rows, marks), "grams")
     model = None
     for view, order in VIEWS.items():
         tables = orders(stored(found.where(F.col("view") == view).groupBy("lang", "g").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "counts"), order)
@@ -508,11 +525,11 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, most_tr
     write_tables(found, model, folder)
     discard(found, model)
     scores = stored(perplexities(rows, folder), "perplexities")
-    mean = scores.join(known, "doc_id", "left_semi").groupBy("lang").agg(*[(F.sum(f"{v}_bits") / F.sum(f"{v}_n")).alias(f"{v}_mean") for v in VIEWS])
+    mean = scores.join(ids, "doc_id", "left_semi").groupBy("lang").agg(*[(F.sum(f"{v}_bits") / F.sum(f"{v}_n")).alias(f"{v}_mean") for v in VIEWS])
     scores = scores.join(_near(stored(mean, "means")), "lang", "left")
     smooth = {v: F.when(F.col(f"{v}_n") > 0, F.pow(F.lit(2.0), (F.col(f"{v}_bits") + PRIOR[v] * F.col(f"{v}_mean")) / (F.col(f"{v}_n") + PRIOR[v]))) for v in VIEWS}
     scores = scores.select("doc_id", "th", "lang", *[smooth[v].alias(v) for v in VIEWS])
-    limit = scores.join(known, "doc_id", "left_semi").groupBy("lang").agg(*[F.percentile_approx(v, quantile, 10_000).alias(f"{v}_limit") for v in VIEWS])
+    limit = scores.join(ids, "doc_id", "left_semi").groupBy("lang").agg(*[F.percentile_approx(v, quantile, 10_000).alias(f"{v}_limit") for v in VIEWS])
     kept = F.lit(True)
     for v in VIEWS:
         kept = kept & F.coalesce(F.col(v) <= F.col(f"{v}_limit"), F.lit(True))

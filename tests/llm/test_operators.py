@@ -804,3 +804,16 @@ def test_op10_and_op2_queries(spark, documents):
     rows_ = quality.op2_quality_classifier(spark, SF).collect()
     assert {r["doc_id"] for r in rows_} == documents.keys() and len(rows_) == len(documents)
     assert all(r["kept"] == all(r[v] is None or r[v] <= r[f"{v}_limit"] for v in ("char", "word")) for r in rows_)
+
+
+def test_quality_counts_every_trusted_text(spark, tmp_path):
+    import inspect
+
+    assert list(inspect.signature(quality.quality).parameters) == ["docs", "labels", "quantile"]  # no bound of trusted texts
+    n = 40
+    spark.createDataFrame([(i, "en", "s", f"word {i} of a text") for i in range(n)] + [(None, "en", "s", "nobody's")], "doc_id long, lang string, source string, text string").write.parquet(str(tmp_path / "d"))
+    docs = quality._in_blocks(spark.read.parquet(str(tmp_path / "d")))
+    folder = "file://" + str(tmp_path / "marks")
+    quality.write_blocks(docs.where("doc_id % 2 = 0").select("block", "doc_id"), ["doc_id"], [], folder)
+    got = quality.block_grams(docs, folder).where("view = 'char'").agg(F.sum(F.col("c0") + F.col("c1"))).first()[0]
+    assert got == sum(len(f"word {i} of a text") for i in range(0, n, 2))
