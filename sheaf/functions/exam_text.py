@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheaf.functions.text import SPACE, best_score, count_of, find_all, first_match, half_width, strip
+from sheaf.functions.text import SPACE, best_score, count_of, find_all, first_match, half_width, let, strip
 
 # Patterns and word lists of the paper format.
 QUESTION_NUMBER = r"^(\d{1,3})\s*[\.．。、\)）\]］:：]\s*"
@@ -66,8 +66,9 @@ def half_digits(c: Column) -> Column:
 
 def _first_of(entries: Column) -> Column:
     """Map of array<struct<n, value>> in which the first entry of a number holds."""
-    keys = F.array_distinct(F.transform(entries, lambda e: e["n"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.filter(entries, lambda e: e["n"] == k)[0]["value"]))
+    first = lambda es, k: F.filter(es, lambda e: e["n"] == k)[0]["value"]
+    told = lambda es: let(F.array_distinct(F.transform(es, lambda e: e["n"])), lambda keys: F.map_from_arrays(keys, F.transform(keys, lambda k: first(es, k))))
+    return let(entries, told)  # bound, so that the text is parsed once and not for each number
 
 
 def range_answers(text: Column) -> Column:

@@ -68,3 +68,9 @@ def test_windowed_counts_on_a_stream(spark, tmp_path):
     got = spark.sql("SELECT n FROM counted").collect()
     assert [r["n"] for r in got] == [2]
     assert windowed_counts(rows).agg(F.sum("n")).first()[0] == 3
+
+
+@pytest.mark.parametrize("name, most", [("range_answers", 3), ("inline_answers", 2), ("table_answers", 3), ("display_forms", 2)])
+def test_texts_are_parsed_once(spark, name, most):
+    text = catalog.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= text.count("regexp_extract_all(") <= most
