@@ -85,7 +85,7 @@ def inline_answers(lines: Column) -> Column:
 
     def pairs(line: Column) -> Column:
         got = F.arrays_zip(find_all(line, INLINE_ANSWER, 1).alias("n"), find_all(line, INLINE_ANSWER, 2).alias("value"))
-        return F.when(F.size(got) >= 2, F.transform(got, lambda p: F.struct(p["n"].cast("int").alias("n"), half_width(p["value"]).alias("value"))))
+        return let(got, lambda g: F.when(F.size(g) >= 2, F.transform(g, lambda p: F.struct(p["n"].cast("int").alias("n"), half_width(p["value"]).alias("value")))))
 
     return _first_of(F.flatten(F.array_compact(F.transform(lines, pairs))))
 
