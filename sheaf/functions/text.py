@@ -15,6 +15,8 @@ LINE_END = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 OTHER_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 #: Characters that str.isspace() accepts, as a class body.
 SPACE = r"\s\x1c-\x1f\x85"
+#: Runs of those of ASCII, one by one: a set of bits, where ranges and (?U) are chains of questions.
+ASCII_SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f ]+"
 #: The same, one by one.
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _FULL = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
@@ -45,9 +47,14 @@ def rstrip(c: Column) -> Column:
     return F.rtrim(c, F.lit(BLANKS))
 
 
+def is_ascii(c: Column) -> Column:
+    """By its length."""
+    return F.octet_length(c) == F.char_length(c)
+
+
 def half_width(c: Column) -> Column:
-    """Full-width forms U+FF01-U+FF5E as ASCII. A text that is ASCII by its length has none."""
-    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(c, _FULL, _HALF))
+    """Full-width forms U+FF01-U+FF5E as ASCII, which has none."""
+    return F.when(is_ascii(c), c).otherwise(F.translate(c, _FULL, _HALF))
 
 
 def compact(c: Column) -> Column:

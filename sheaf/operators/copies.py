@@ -2,7 +2,8 @@
 
 difflib's matching blocks decide, and Python's own matcher computes them; but what two lines can have
 in common at most is their characters, each as often as the rarer side has it. Only pairs whose
-bound reaches what is asked for go to Python, as arrays of their document's row: nothing shuffles.
+bound reaches what is asked for, or the best so far, are matched (see functions.similarity). Lines go to
+Python as arrays of their document's row: nothing shuffles, and no line is carried once a pair.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions import places, similarity
-from sheaf.functions.text import SPACE, computed, find_all, let, split_lines
+from sheaf.functions.text import ASCII_SPACE, SPACE, computed, is_ascii, let, split_lines
 from sheaf.operators.exam import _text
 
 # Forms that differ in print only, commands, patterns of lines, and limits.
@@ -23,7 +24,11 @@ SPACING = r"\\(?:quad|qquad|cdot|times|,|;|!| |%|\$)"
 MARKUP = r"[$^_{}\\]"
 LINE_NUMBER = r"(?U)^\s*(\d{1,3})\s*[.．、]"
 NUMBERED = r"(?U)^\s*(\d{1,3})\s*[.、．]\s*(\S.*)$"
-PUNCTUATION = rf"(?U)[{SPACE},。，、：:；;（）()]"
+#: What stands before the body of a line that is NUMBERED.
+NUMBERED_HEAD = r"(?U)^\s*\d{1,3}\s*[.、．]\s*(?=\S)"
+PUNCTUATION = rf"(?U)[{SPACE},。，、：:；;（）()]+"
+#: The same of ASCII, sign by sign.
+ASCII_PUNCTUATION = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f ,:;()]+"
 LATEX = r"\\[a-zA-Z]+\{|\^\{|_\{|\\xrightarrow|\\frac|\\sqrt|\\times|\\ce\b"
 COMPLEX = r"\\mathrm|\\xrightarrow|\\xleftarrow|\\text\{|\\underset|\\overset|\\ce\{|\\frac|\\begin"
 LOW, HIGH, LEAST = 0.62, 0.995, 12
@@ -31,13 +36,22 @@ NEAR_LINES, LEAST_RATIO, LEAST_BODY = 4, 0.7, 8
 QUESTION, ANSWER = ("stem", "options", "material", "questions"), ("answer", "explanation")
 
 
+def without_punctuation(text: Column) -> Column:
+    return F.when(is_ascii(text), F.regexp_replace(text, ASCII_PUNCTUATION, "")).otherwise(F.regexp_replace(text, PUNCTUATION, ""))
+
+
 def print_form(line: Column) -> Column:
     """The line without what differs in print only: blanks, widths, raised digits, LaTeX wrappers."""
     table = SAME | SMALL
-    t = F.translate(F.regexp_replace(line, f"(?U)[{SPACE}]+", ""), "".join(table) + GONE, "".join(table.values()))
-    for pattern in WRAPPED:
-        t = F.regexp_replace(t, pattern, "$1")
-    return F.regexp_replace(F.regexp_replace(t, SPACING, ""), MARKUP, "")
+    wide = lambda x: F.translate(F.regexp_replace(x, f"(?U)[{SPACE}]+", ""), "".join(table) + GONE, "".join(table.values()))
+    t = F.when(is_ascii(line), F.regexp_replace(line, ASCII_SPACE, "")).otherwise(wide(line))  # all that is translated is not ASCII
+
+    def unwrapped(x: Column) -> Column:
+        for pattern in WRAPPED:
+            x = F.regexp_replace(x, pattern, "$1")
+        return F.regexp_replace(x, SPACING, "")
+
+    return F.regexp_replace(let(t, lambda x: F.when(F.contains(x, F.lit("\\")), unwrapped(x)).otherwise(x)), MARKUP, "")
 
 
 def counts(text: Column) -> Column:
@@ -90,13 +104,10 @@ def copied_lines(papers: DataFrame, low: float = LOW, high: float = HIGH) -> Dat
     of_unit = lambda u, i: F.flatten(F.transform(spans(u, QUESTION), lambda s: F.transform(F.filter(between(s["start"], F.least(s["end"], n)), lambda k: (k >= 1) & plain(line(k))), lambda k: F.struct(i.alias("unit_ord"), print_form(line(k)).alias("y")))))
     rows = computed(rows, {"_open": F.filter(F.flatten(F.transform("_units", windows)), lambda w: F.char_length(w["x"]) >= LEAST)})
     rows = computed(rows.where(F.size("_open") > 0), {"_asked": F.filter(F.flatten(F.transform("_units", of_unit)), lambda q: q["y"] != "")})
-    rows = rows.select("doc_id", "lines", "_asked", F.inline("_open"))
-    rows = computed(rows, {"_counts": counts(F.col("x"))})
-    may = lambda q: most_in_common(F.col("_counts"), q["y"]) >= F.lit(low) * F.least(F.char_length("x"), F.char_length(q["y"]))
-    rows = computed(rows, {"_near": F.filter("_asked", may)}).where(F.size("_near") > 0)
-    rows = rows.select("doc_id", "unit_ord", "line_no", line(F.col("line_no")).alias("text"), "_near", similarity.best_cover(F.col("x"), F.col("_near.y")).alias("_best"))
-    mine = F.get("_near", F.col("_best.at"))["unit_ord"] == F.col("unit_ord")
-    return rows.where(F.col("_best.cover").between(low, high) & mine).select("doc_id", "unit_ord", "line_no", "text", F.col("_best.cover").alias("cover"))
+    rows = rows.where(F.size("_asked") > 0).withColumn("_best", similarity.best_covers(F.col("_open.x"), F.col("_asked.y"), F.lit(low)))
+    told = F.transform("_open", lambda w, i: F.struct(w["unit_ord"].alias("unit_ord"), w["line_no"].alias("line_no"), line(w["line_no"]).alias("text"), F.get("_best.at", i).alias("at"), F.get("_best.cover", i).alias("cover")))
+    mine = lambda w: w["cover"].between(low, high) & (F.get("_asked", w["at"])["unit_ord"] == w["unit_ord"])
+    return rows.select("doc_id", F.inline(F.filter(told, mine))).select("doc_id", "unit_ord", "line_no", "text", "cover")
 
 
 def line_scan(docs: DataFrame) -> DataFrame:
@@ -104,19 +115,26 @@ def line_scan(docs: DataFrame) -> DataFrame:
 
     doubled: numbered lines at most NEAR_LINES apart with one number and bodies of LEAST_BODY characters
     or more (punctuation aside) that are alike by LEAST_RATIO; a line is held against the few numbered
-    ones that follow, so the pairs are linear. bare: lines with LaTeX commands and no dollar sign.
-    A null text has no lines; rows that share a doc_id are looked at one by one."""
+    ones that follow, so the pairs are linear. Where one body begins with the other, the ratio is that of
+    their lengths; only other pairs whose lengths allow it go to Python. bare: lines with LaTeX commands
+    and no dollar sign. A null text has no lines; rows that share a doc_id are looked at one by one."""
     rows = computed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), {"lines": split_lines(F.col("text"))})
-    part = lambda x, g: F.regexp_extract(x, NUMBERED, g)
-    item = lambda x, i: F.when(x.rlike(NUMBERED), F.struct((i + 1).alias("line"), part(x, 1).alias("number"), F.regexp_replace(part(x, 2), PUNCTUATION, "").alias("body")))
-    rows = computed(rows, {"_items": F.array_compact(F.transform("lines", item))})
-    alike = lambda a, b: F.lit(2.0) * most_in_common(counts(a["body"]), b["body"]) >= F.lit(LEAST_RATIO) * (F.char_length(a["body"]) + F.char_length(b["body"]))
-    close = lambda a: lambda b: (b["line"] - a["line"] <= NEAR_LINES) & (a["number"] == b["number"]) & (F.least(F.char_length(a["body"]), F.char_length(b["body"])) >= LEAST_BODY) & alike(a, b)
-    pair = lambda a: lambda b: F.struct(a["line"].alias("line"), b["line"].alias("again"), a["number"].alias("number"), a["body"].alias("x"), b["body"].alias("y"))
-    rows = computed(rows, {"_pairs": F.flatten(F.transform("_items", lambda a, i: F.transform(F.filter(F.slice("_items", i + 2, NEAR_LINES), close(a)), pair(a))))})
-    rows = rows.withColumn("_ratios", similarity.ratios(F.col("_pairs.x"), F.col("_pairs.y")))
-    sure = F.filter("_pairs", lambda p, i: F.get("_ratios", i) >= LEAST_RATIO)
-    bare = F.filter(F.transform("lines", lambda x, i: F.struct((i + 1).alias("line"), x.rlike(COMPLEX).alias("complex"), (~F.contains(x, F.lit("$")) & x.rlike(LATEX)).alias("bare"))), lambda b: b["bare"])
-    rows = computed(rows.select("doc_id", "lines", F.transform(sure, lambda p: F.struct(p["line"].alias("line"), p["again"].alias("again"), p["number"].alias("number"))).alias("doubled")), {"_bare": bare})
+    heads = F.transform("lines", lambda x, i: F.struct((i + 1).alias("line"), F.regexp_extract(x, NUMBERED_HEAD, 0).alias("head"), x.alias("x")))
+    item = lambda h: F.struct(h["line"].alias("line"), F.regexp_extract(h["head"], r"(?U)\d{1,3}", 0).alias("number"), without_punctuation(F.substr(h["x"], F.char_length(h["head"]) + 1)).alias("body"))
+    sized = lambda a: F.struct(a["line"].alias("line"), a["number"].alias("number"), a["body"].alias("body"), F.char_length(a["body"]).alias("n"))
+    has = lambda x: F.contains(x, F.lit("\\")) | F.contains(x, F.lit("^{")) | F.contains(x, F.lit("_{"))  # noqa: E731  (in all that LATEX matches)
+    bare = F.filter(F.transform("lines", lambda x, i: F.when(has(x) & ~F.contains(x, F.lit("$")) & x.rlike(LATEX), F.struct((i + 1).alias("line"), x.rlike(COMPLEX).alias("complex")))), lambda b: b.isNotNull())
+    rows = computed(rows.select("doc_id", "lines"), {"_items": F.transform(F.transform(F.filter(heads, lambda h: h["head"] != ""), item), sized), "_bare": bare}).drop("lines")
+    most = lambda a, b: F.lit(2.0) * F.least(a["n"], b["n"]) / (a["n"] + b["n"])  # noqa: E731  (what the ratio is at most)
+    close = lambda a: lambda b: (a["number"] == b["number"]) & (b["line"] - a["line"] <= NEAR_LINES) & (F.least(a["n"], b["n"]) >= LEAST_BODY) & (most(a, b) >= LEAST_RATIO)
+    begins = lambda a, b: F.startswith(a["body"], b["body"]) | F.startswith(b["body"], a["body"])
+
+    def pair(a: Column):
+        return lambda b: let(begins(a, b), lambda sure: F.struct(a["line"].alias("line"), b["line"].alias("again"), a["number"].alias("number"), F.when(~sure, a["body"]).alias("x"), F.when(~sure, b["body"]).alias("y")))
+
+    rows = computed(rows, {"_pairs": F.flatten(F.transform("_items", lambda a, i: F.transform(F.filter(F.slice("_items", i + 2, NEAR_LINES), close(a)), pair(a))))}).drop("_items")
+    rows = rows.withColumn("_alike", similarity.alike(F.col("_pairs.x"), F.col("_pairs.y"), F.lit(LEAST_RATIO)))
+    sure = F.filter("_pairs", lambda p, i: p["x"].isNull() | F.get("_alike", i))
     some = lambda c: F.transform(F.filter("_bare", lambda b: b["complex"] == c), lambda b: b["line"])
-    return rows.select("doc_id", "doubled", some(F.lit(False)).alias("bare_simple"), some(F.lit(True)).alias("bare_complex"))
+    told = F.transform(sure, lambda p: F.struct(p["line"].alias("line"), p["again"].alias("again"), p["number"].alias("number")))
+    return rows.select("doc_id", told.alias("doubled"), some(F.lit(False)).alias("bare_simple"), some(F.lit(True)).alias("bare_complex"))
