@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.exam_text import question_number, range_answers, table_answers
-from sheaf.functions.text import computed, find_all, half_width, let, split_lines, strip
+from sheaf.functions.text import computed, find_all, half_width, is_ascii, let, split_lines, strip
 from sheaf.operators import binding
 from sheaf.operators.exam import IMAGE_LINE, ROLES, TABLE_LINE, ZONES, _issue, _text, _when, anchors, identity_issues, sections, with_facts, with_quality
 from sheaf.operators.fixers import many_parts
@@ -256,13 +256,17 @@ def fidelity(source: Column, layer: Column, least_text: int = 50, least: int = 1
     """struct<status, n_prose, n_found, coverage, missing> of a source text against the text layer of
     its original: passages of ``least`` letters, digits and Chinese characters or more must stand in
     the source, whole or by their first or last ``edge``."""
-    bare = lambda c: F.regexp_replace(c, r"[^0-9A-Za-z一-鿿]+", "")
-    passages = F.filter(F.transform(F.split(layer, r"[，。、；：！？\n\r]", -1), bare), lambda s: F.char_length(s) >= least)
-    parts = F.struct(passages.alias("passages"), bare(F.regexp_replace(F.coalesce(source, F.lit("")), "<[^>]+>", "")).alias("near"), F.char_length(bare(layer)).alias("n"))
+    bare = lambda c: F.when(is_ascii(c), F.regexp_replace(c, r"[\W_]+", "")).otherwise(F.regexp_replace(c, r"[^0-9A-Za-z一-鿿]+", ""))
+    untagged = lambda c: F.when(F.contains(c, F.lit("<")) & F.contains(c, F.lit(">")), F.regexp_replace(c, "<[^>]++>", "")).otherwise(c)
+    # no separator is a letter, so what the layer holds is what its parts hold
+    pieces = F.transform(F.split(layer, r"[，。、；：！？\n\r]", -1), lambda s: let(bare(s), lambda b: F.struct(b.alias("x"), F.char_length(b).alias("n"))))
+    near = let(F.coalesce(source, F.lit("")), lambda c: let(untagged(c), bare))
+    parts = let(pieces, lambda ps: F.struct(F.transform(F.filter(ps, lambda s: s["n"] >= least), lambda s: s["x"]).alias("passages"), F.aggregate(ps, F.lit(0), lambda n, s: n + s["n"]).alias("n"), near.alias("near")))
 
     def told(p: Column) -> Column:
         near, n = p["near"], F.size(p["passages"])
-        stands = lambda s: F.contains(near, s) | F.contains(near, F.left(s, F.lit(edge))) | F.contains(near, F.right(s, F.lit(edge)))
+        # a passage that stands there whole stands there by its ends
+        stands = lambda s: F.contains(near, F.left(s, F.lit(edge))) | F.contains(near, F.right(s, F.lit(edge)))
         status = F.when(p["n"].isNull() | (p["n"] < least_text), "no_text_layer").when(n == 0, "no_prose").otherwise("ok")
 
         def judged(lost: Column) -> Column:

@@ -453,7 +453,8 @@ def layer_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = "，。、；：！？\r"
     layer = F.translate(F.coalesce("text", F.lit("")), ",.;:!?()", marks)
     source = F.array_join(F.when(F.col("source") == "src1", F.slice(lines, 2, F.size(lines))).otherwise(lines), "\n")
-    rows = table(spark, sf_dir, "documents").select("doc_id", audit.fidelity(source, layer).alias("f"))
+    rows = table(spark, sf_dir, "documents")
+    rows = computed(computed(rows.select("doc_id", source.alias("s"), layer.alias("l")), {"s": F.col("s"), "l": F.col("l")}), {"f": audit.fidelity(F.col("s"), F.col("l"))})
     return rows.select("doc_id", "f.status", F.col("f.n_prose").cast("long").alias("n_prose"), F.col("f.n_found").cast("long").alias("n_found"))
 
 
