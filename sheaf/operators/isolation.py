@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions.text import computed
+from sheaf.functions.text import computed, let
 from sheaf.operators import exam
 
 #: A span of more lines than this, and than its text has, is an error of its manifest.
@@ -43,7 +43,7 @@ def paper_guards() -> dict[str, Column]:
         "units are missing": units.isNotNull(),
         "a unit is null": F.forall(units, lambda u: u.isNotNull()),
         "a span has one end": F.forall(units, lambda u: F.forall(F.array(*[u[r] for r in exam.ROLES]), lambda s: s["start"].isNull() == s["end"].isNull())),
-        "a span is too wide": F.forall(units, lambda u: F.forall(F.array(*[u[r] for r in exam.ROLES]), lambda s: width(s) < wide)),
+        "a span is too wide": let(wide, lambda most: F.forall(units, lambda u: F.forall(F.array(*[u[r] for r in exam.ROLES]), lambda s: width(s) < most))),
         "a number is null": F.forall(units, lambda u: F.forall(numbers(u), lambda n: n.isNotNull())),
         "a number is too large": F.forall(units, lambda u: F.forall(numbers(u), lambda n: F.coalesce(n.between(-LARGEST, LARGEST), F.lit(True)))),
     }
