@@ -73,8 +73,12 @@ def _first_of(entries: Column) -> Column:
 
 def range_answers(text: Column) -> Column:
     """``1-5 ACDBA`` as map<int, string>; a range must have a letter a number."""
-    lo, hi, letters = (find_all(text, RANGE_ANSWER, g) for g in (1, 2, 3))
-    rows = F.arrays_zip(lo.alias("lo"), hi.alias("hi"), letters.alias("letters"))
+    part = lambda x, g: F.regexp_extract(x, RANGE_ANSWER, g)
+    dashed = F.lit(False)
+    for dash in "–-~—":
+        dashed = dashed | F.contains(text, F.lit(dash))
+    found = F.when(dashed, find_all(text, RANGE_ANSWER)).when(text.isNotNull(), F.array().cast("array<string>"))  # the text is searched once, its hits are parted
+    rows = F.transform(found, lambda x: F.struct(part(x, 1).alias("lo"), part(x, 2).alias("hi"), part(x, 3).alias("letters")))
     rows = F.filter(rows, lambda r: (r["hi"].cast("int") > r["lo"].cast("int")) & (F.char_length(r["letters"]) == r["hi"].cast("int") - r["lo"].cast("int") + 1))
     each = F.transform(rows, lambda r: F.transform(F.sequence(r["lo"].cast("int"), r["hi"].cast("int")), lambda n: F.struct(n.alias("n"), half_width(F.substr(r["letters"], n - r["lo"].cast("int") + 1, F.lit(1))).alias("value"))))
     return _first_of(F.flatten(each))
@@ -97,7 +101,7 @@ def _cells(row: Column) -> Column:
 def table_answers(text: Column) -> Column:
     """HTML tables whose row of numbers stands over a row of letters, as map<int, string>; the
     last entry of a number holds."""
-    tables = find_all(text, r"(?s)<table[^>]*>(.*?)</table>", 1)
+    tables = F.when(F.contains(text, F.lit("<table")), find_all(text, r"(?s)<table[^>]*>(.*?)</table>", 1)).when(text.isNotNull(), F.array().cast("array<string>"))
     rows = F.transform(tables, lambda t: F.transform(find_all(t, r"(?s)<tr[^>]*>(.*?)</tr>", 1), _cells))
 
     def paired(rs: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Line ends of str.splitlines().
 LINE_END = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
+OTHER_END = r"[\r\x0b\x0c\x1c\x1d\x1e\x85\u2028-\u2029]"
 OTHER_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 #: Characters that str.isspace() accepts, as a class body.
 SPACE = r"\s\x1c-\x1f\x85"
@@ -24,18 +25,15 @@ _HALF = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F))
 
 
 def has_other_ends(c: Column) -> Column:
-    """Whether a line end but the line feed is there: a search of bytes, as texts seldom have one."""
-    out = F.lit(False)
-    for end in OTHER_ENDS:
-        out = out | F.contains(c, F.lit(end))
-    return out
+    """Whether a line end but the line feed is there, which texts seldom have: one search for all of them."""
+    return c.rlike(OTHER_END)
 
 
 def split_lines(c: Column) -> Column:
     """str.splitlines(): no empty line after a final line end, none for an empty text."""
     cut = lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p)
-    parts = F.when(has_other_ends(c), F.split(c, LINE_END, -1)).otherwise(F.split(c, "\n", -1))
-    return F.transform(F.array(parts), cut)[0]  # bound by a lambda, so that it is split once
+    parts = lambda x: F.when(has_other_ends(x), F.split(x, LINE_END, -1)).otherwise(F.split(x, "\n", -1))
+    return let(c, lambda x: let(parts(x), cut))  # bound, so that it is made once, not for each end looked for, and split once
 
 
 def strip(c: Column) -> Column:

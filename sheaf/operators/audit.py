@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sheaf.functions.exam_text import question_number, range_answers, table_answers
 from sheaf.functions.text import computed, find_all, half_width, is_ascii, let, split_lines, strip
 from sheaf.operators import binding
-from sheaf.operators.exam import IMAGE_LINE, ROLES, TABLE_LINE, ZONES, _issue, _text, _when, anchors, identity_issues, sections, with_facts, with_quality
+from sheaf.operators.exam import IMAGE_LINE, ROLES, TABLE_LINE, ZONES, _issue, _text, _when, identity_issues, marks_of, paired_marks, sections, with_facts, with_quality
 from sheaf.operators.fixers import many_parts
 from sheaf.operators.options import option_marks
 
@@ -76,13 +76,14 @@ def answer_zone(lines: Column, u: Column, everywhere: Column) -> Column:
 
 def _answers(text: Column) -> Column:
     """Answers of tables, then of ranges, as map<int,string>."""
-    return let(F.struct(table_answers(text).alias("t"), range_answers(text).alias("r")), lambda m: F.map_concat(F.map_filter(m["r"], lambda k, v: ~F.map_contains_key(m["t"], k)), m["t"]))
+    return let(let(text, lambda x: F.struct(table_answers(x).alias("t"), range_answers(x).alias("r"))), lambda m: F.map_concat(F.map_filter(m["r"], lambda k, v: ~F.map_contains_key(m["t"], k)), m["t"]))
 
 
 def _zone_of(block: Column, marks: tuple[str, str], opened: bool = False) -> Column:
     """Lines of a zone of a unit's block; null without its marks. ``opened``: the block begins in it."""
-    body = block if opened else F.when(F.contains(block, F.lit(marks[0])), F.get(F.split(block, marks[0], 2), F.lit(1)))
-    return F.when(F.contains(body, F.lit(marks[1])), split_lines(F.substring_index(body, marks[1], 1)))
+    at = F.instr(block, marks[0])
+    body = block if opened else F.when(at > 0, F.substr(block, at + len(marks[0])))
+    return let(body, lambda b: F.when(F.contains(b, F.lit(marks[1])), split_lines(F.substring_index(b, marks[1], 1))))
 
 
 def consistency(papers: DataFrame) -> DataFrame:
@@ -92,12 +93,11 @@ def consistency(papers: DataFrame) -> DataFrame:
     number of blocks than units also has a DRIFT of zone ``blocks``."""
     rows = computed(_text(papers), {"_blocks": F.split(F.coalesce("rendered", F.lit("")), ZONES["stem"][0], -1)})
     lines, blocks = F.col("lines"), F.slice("_blocks", 2, F.greatest(F.size("_blocks") - 1, F.lit(0)))
-    whole = F.array_join(lines, "\n")
-    everywhere = _answers(whole)
-    rows = computed(rows, {"_b": blocks, "_all": everywhere})
+    rows = computed(rows, {"_b": blocks, "_all": _answers(F.array_join(lines, "\n"))})
 
     def told(name: str, want: Column, got: Column) -> Column:
-        return F.struct(F.lit(name).alias("zone"), F.when(got.isNull(), "MISSING").when(_close(want) == _close(got), "MATCH").otherwise("DRIFT").alias("status"))
+        status = let(got, lambda g: F.when(g.isNull(), "MISSING").when(_close(want) == _close(g), "MATCH").otherwise("DRIFT"))
+        return F.struct(F.lit(name).alias("zone"), status.alias("status"))
 
     def judged(u: Column, i: Column) -> Column:
         b = F.get("_b", i)
@@ -115,17 +115,16 @@ def consistency(papers: DataFrame) -> DataFrame:
 def anchor_drift(papers: DataFrame) -> DataFrame:
     """doc_id, kind, tag, nth, status of the spans of units and the marks of ``annotated``: MATCH, or
     DRIFT where the lines differ or one side lacks the other."""
-    spans = papers.select("doc_id", F.posexplode("units").alias("i", "u"))
-    parts = F.array_compact(F.array(*[F.when(F.col("u")[r].isNotNull(), F.struct(F.lit(r).alias("kind"), F.col("u")[r]["start"].alias("a"), F.col("u")[r]["end"].alias("z"))) for r in ROLES]))
-    from pyspark.sql import Window
-
-    keys = ["doc_id", "kind", "tag"]
-    spans = spans.select("doc_id", "i", F.coalesce("u.unit_id", F.lit("")).alias("tag"), F.explode(parts).alias("p")).select("doc_id", "i", "tag", "p.*")
-    spans = spans.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("i")))
-    marks = anchors(papers.where("annotated IS NOT NULL")).where(F.col("kind").isin(*ROLES))
-    met = spans.join(marks, [*keys, "nth"], "full_outer")
+    # spans are side 0, in their units' order, of one relation with the marks: a paper is made once
+    span = lambda u, r, i: F.when(u[r].isNotNull(), F.struct(F.lit(r).alias("kind"), F.coalesce(u["unit_id"], F.lit("")).alias("tag"), F.lit(0).alias("side"), i.alias("at"), F.lit(None).cast("long").alias("line_no"), u[r]["start"].alias("a"), u[r]["end"].alias("z")))
+    spans = F.flatten(F.transform("units", lambda u, i: F.array_compact(F.array(*[span(u, r, i) for r in ROLES]))))
+    no = F.lit(None).cast("int")
+    marks = F.transform(F.filter(marks_of(F.col("annotated")), lambda m: m["kind"].isin(*ROLES)), lambda m: F.struct(*[m[c].alias(c) for c in ("kind", "tag", "side", "at", "line_no")], no.alias("a"), no.alias("z")))
+    none = F.array().cast("array<struct<kind:string,tag:string,side:int,at:int,line_no:bigint,a:int,z:int>>")
+    rows = papers.select("doc_id", F.inline(F.concat(F.coalesce(spans, none), F.coalesce(marks, none))))
+    met = paired_marks(rows, F.max("a").alias("a"), F.max("z").alias("z"))
     same = F.col("a").eqNullSafe(F.col("start_line")) & F.col("z").eqNullSafe(F.col("end_line"))
-    return met.select(*keys, "nth", F.when(same, "MATCH").otherwise("DRIFT").alias("status"))
+    return met.select("doc_id", "kind", "tag", "nth", F.when(same, "MATCH").otherwise("DRIFT").alias("status"))
 
 
 def answer_invariants(numbers: Column, answers: Column, unresolved: Column) -> Column:

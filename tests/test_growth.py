@@ -7,9 +7,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from sheaf.functions import exam_text as X
 from sheaf.functions import similarity
+from sheaf.functions import text as T
 from sheaf.operators import audit, isolation
 from sheaf.operators import copies as C
+from sheaf.operators import exam as E
+from sheaf.plans import catalog, repair_queries
 from tests.test_copies import cover
 from tests.test_exam import frame, paper, span, unit
 
@@ -85,3 +89,47 @@ def test_fidelity_of_mixed_texts(spark):
 def test_a_text_is_measured_once_for_all_spans(spark):
     guard = str(isolation.paper_guards()["a span is too wide"])
     assert guard.index("char_length") < guard.index("forall")
+
+
+def test_a_text_is_made_once_to_be_split(spark):
+    ends = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+    texts = ["", "a", "a\n", "\n\n", None, *[f"x{e}y\nz{e}" for e in (*ends, "\r\n")], "a\u2027b\u202ac\x1fd"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.split_lines(F.concat("t", F.lit(""))).alias("ls"))
+    assert all(ls == (None if t is None else t.splitlines()) for t, ls in df.collect())
+    assert str(T.split_lines(F.upper("t"))).count("upper") == 1
+
+
+def test_marks_need_one_shuffle_and_one_paper(spark):
+    p = paper() | {"annotated": "<!-- META:stem:start:Q1 -->\n# 一\n<!-- META:stem:end:Q1 -->\nb <!-- META:stem:start:Q1 -->\n<!-- META:stem:end:Q1 -->\n<!-- META:x -->\nc\n<!-- META:unit:end:Q9 -->"}
+    rows = frame(spark, p, p | {"doc_id": "q", "annotated": None})
+    got = sorted(map(tuple, E.anchors(rows).select("kind", "tag", "nth", "start_line", "end_line").collect()), key=str)
+    assert got == [("stem", "Q1", 1, 1, 1), ("stem", "Q1", 2, 3, 2), ("unit", "Q9", 1, None, 3)]
+    assert plan(E.anchors(rows)).count("Exchange") == plan(audit.anchor_drift(rows)).count("Exchange") == 1
+    assert {r["status"] for r in audit.anchor_drift(rows).where("doc_id = 'q'").collect()} == {"DRIFT"}
+
+
+def test_zones_are_cut_once(spark):
+    mark = F.lit("x")
+    assert str(audit._zone_of(F.upper(mark), ("a", "b"))).count("upper") <= 3
+    assert str(X.range_answers(F.col("t"))).count("regexp_extract_all") == 1
+    texts = ["1-3ABC", "11–12 AB，.2-3AB 4~5CDE 6—7ＡＢ", "1-2A", "12-3AB", "", None, "1234-5AB 1 - 2 AB3-4 CD"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.range_answers(F.col("t")).alias("m"))
+    for t, m in df.collect():
+        want = {}
+        for lo, hi, letters in re.findall(X.RANGE_ANSWER, t or ""):
+            if int(hi) > int(lo) and len(letters) == int(hi) - int(lo) + 1:
+                for i, c in enumerate(letters):
+                    want.setdefault(int(lo) + i, c.translate({0xFF21 + k: 65 + k for k in range(4)}))
+        assert (m or {}) == want and (m is None) == (t is None)
+
+
+def test_moves_read_texts_once(spark, tmp_path, monkeypatch):
+    rows = [(i, f"t{i % 3}", "en", "src1") for i in range(9)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = catalog.queries()["applied_moves"](spark, str(tmp_path))
+    assert {tuple(r) for r in out.select("gate", "detail").collect()} == {("BATCH", "target_twice")}
+    seen = []
+    real = repair_queries.stored
+    monkeypatch.setattr(repair_queries, "stored", lambda df, name: seen.append((name, "sha2(" in plan(df))) or real(df, name))
+    catalog.queries()["applied_moves"](spark, str(tmp_path)).collect()
+    assert [n for n, texts in seen if texts] == ["digests"]
