@@ -28,6 +28,8 @@ IMAGE_LINE = r"<img\s|!\[[^\]]*\]\("
 TABLE_LINE = r"^\s*\|.*\|\s*$|<table|</tr>"
 NOTICE = "考生须知|注意事项|答题卡|考场纪律|考[生试]须知"
 INSTRUCTION = r"本大题共|请将答案.{0,10}答题卡|在答题卡上|答题卡指定区域|考试时间\s*\d|注意事项"
+#: One of these is in all that INSTRUCTION matches.
+INSTRUCTS = ("本大题共", "答题卡", "考试时间", "注意事项")
 ESSENTIAL = "任选|不少于|不超过|按要求作答|保留.{0,4}小数|写一篇|自拟"
 GUIDANCE = "选出.{0,10}(选项|答案)|(涂黑|填涂|填写)该项|将该项.{0,6}(涂黑|填涂|填写)|填入.{0,12}(单词|空白|空格|表格)|完成下列各题|完成题目|根据要求写作"
 PAPER_LINE = (
@@ -226,6 +228,7 @@ def rendered_facts(rendered: Column) -> Column:
     times = lambda x, m: ((F.octet_length(x) - F.octet_length(F.replace(x, F.lit(m), F.lit("")))) / len(m.encode())).cast("int")
     empty = lambda b: ~F.contains(b, F.lit(start)) | (F.char_length(strip(F.substring_index(F.split(b, start, -1)[1], end, 1))) < 2)
     instructs = lambda x: x.rlike(INSTRUCTION) & ~x.rlike(ESSENTIAL) & ~(F.forall(F.regexp_extract_all(x, F.lit(INSTRUCTION), 0), lambda h: h == "在答题卡上") & x.rlike(GUIDANCE))
+    may_instruct = lambda x: functools.reduce(lambda a, b: a | b, (F.contains(x, F.lit(w)) for w in INSTRUCTS))
     blocks = lambda x: let(F.split(x, ZONES["stem"][0], -1), lambda b: F.slice(b, 2, F.greatest(F.size(b) - 1, F.lit(0))))
     none = F.array().cast("array<string>")
 
@@ -233,7 +236,7 @@ def rendered_facts(rendered: Column) -> Column:
         return F.struct(
             *[times(x, m).alias(name) for name, m in marks.items()],
             F.size(F.filter(blocks(x), empty)).alias("empty"),
-            F.when(x.rlike(INSTRUCTION), F.filter(split_lines(x), instructs)).otherwise(none).alias("told"),
+            F.when(may_instruct(x) & x.rlike(INSTRUCTION), F.filter(split_lines(x), lambda l: may_instruct(l) & instructs(l))).otherwise(none).alias("told"),
         )
 
     return let(whole, told)
@@ -465,18 +468,37 @@ def anchors(annotated: DataFrame) -> DataFrame:
     """doc_id, kind, tag, nth, start_line, end_line of META start and end marks in the annotated
     text; lines are those of the source. Of one kind and tag, the n-th start goes with the n-th
     end; what has no partner has a null there."""
+    rows = annotated.select("doc_id", F.inline(marks_of(F.col("annotated"))))
+    return paired_marks(rows).select("doc_id", "kind", "tag", "nth", "start_line", "end_line")
+
+
+def marks_of(annotated: Column) -> Column:
+    """array<struct<kind, tag, side, at, line_no>> of an annotated text's marks, in order: side is 1 of a start
+    and 2 of an end, line_no the last line of the source up to it. Lines without a mark go no further."""
+    part = lambda x, g: F.regexp_extract(x, r"META:(\w+):(start|end):?(.*?)\s*-->", g)
+    told = lambda x, i: F.when(F.contains(x, F.lit("META:")), F.struct(i.alias("at"), x.rlike(r"^\s*<!--\s*META:").alias("alone"), part(x, 1).alias("kind"), part(x, 2).alias("end"), part(x, 3).alias("tag")))
+
+    def counted(ms: Column) -> Column:
+        def lined(all_alone: Column) -> Column:
+            # a mark's own lines are not the source's; one inside a line of the source is rare
+            before = lambda m, k: F.when(all_alone, k + 1).otherwise(F.size(F.filter(ms, lambda o: o["alone"] & (o["at"] <= m["at"]))))
+            each = F.transform(ms, lambda m, k: F.struct(m["kind"].alias("kind"), m["tag"].alias("tag"), F.when(m["end"] == "end", 2).otherwise(1).alias("side"), m["at"].alias("at"), (m["at"] + 1 - before(m, k)).cast("long").alias("line_no")))
+            return F.filter(each, lambda m: m["kind"] != "")
+
+        return let(F.forall(ms, lambda m: m["alone"]), lined)
+
+    return let(F.array_compact(F.transform(split_lines(annotated), told)), counted)
+
+
+def paired_marks(rows: DataFrame, *more: Column) -> DataFrame:
+    """Marks (doc_id, kind, tag, side, at, line_no) by doc_id, kind, tag and nth of their side, as start_line and
+    end_line; and ``more`` aggregates of what shares a place. One shuffle, of marks."""
     from pyspark.sql import Window
 
-    rows = annotated.select("doc_id", F.posexplode(split_lines(F.col("annotated"))).alias("pos", "x"))
-    by = Window.partitionBy("doc_id").orderBy("pos")
-    part = lambda g: F.regexp_extract("x", r"META:(\w+):(start|end):?(.*?)\s*-->", g)
-    mark = F.col("x").rlike(r"^\s*<!--\s*META:")
-    rows = rows.withColumns({"line_no": F.sum(F.when(mark, 0).otherwise(1)).over(by), "kind": part(1), "end": part(2) == "end", "tag": part(3)})
     keys = ["doc_id", "kind", "tag"]
-    rows = rows.where(F.col("kind") != "").withColumn("nth", F.row_number().over(Window.partitionBy(*keys, "end").orderBy("pos")))
-    a = rows.where("NOT end").select(*keys, "nth", (F.col("line_no") + 1).alias("start_line"))
-    b = rows.where("end").select(*keys, "nth", F.col("line_no").alias("end_line"))
-    return a.join(b, [*keys, "nth"], "full_outer")
+    rows = rows.repartition(*keys).withColumn("nth", F.row_number().over(Window.partitionBy(*keys, "side").orderBy("at")))
+    of = lambda side, line: F.max(F.when(F.col("side") == side, line))
+    return rows.groupBy(*keys, "nth").agg(of(1, F.col("line_no") + 1).alias("start_line"), of(2, F.col("line_no")).alias("end_line"), *more)
 
 
 def annotated(papers: DataFrame) -> DataFrame:
