@@ -9,7 +9,7 @@ from sheaf.operators import chain, exam, fixers, isolation, versions
 from sheaf.operators.guarded import digest_of
 from sheaf.plans.catalog import query
 from sheaf.plans.exam_queries import _PAPERS, papers
-from sheaf.sources.stages import new_folder
+from sheaf.sources.stages import new_folder, stored
 from sheaf.sources.tables import table
 
 #: What is wrong with a paper after its images are attached and its numbers moved up.
@@ -72,13 +72,14 @@ def applied_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree of texts by source becomes one by language and content. What the gates refuse, here copies
     that would take one place, stays; the rest moves as one version, which is read back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.coalesce("source", F.lit("none")).alias("source"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+    docs = stored(docs, "digests")  # texts are read once; what follows is asked many times
     files = docs.select("doc_id", F.concat_ws("", "source", F.lit("/"), "doc_id", F.lit(".md")).alias("path"), "sha256")
     plan = docs.select(F.concat_ws("", "source", F.lit("/"), "doc_id", F.lit(".md")).alias("from_rel"), F.concat(F.coalesce("lang", F.lit("und")), F.lit("/"), "sha256", F.lit(".md")).alias("to_rel"), "sha256")
     store = versions.Versions(spark, new_folder(spark, "tree"))
     lease = store.acquire("applied_moves", 86_400)
     store.put(lease, files)
-    refused = versions.refused_moves(plan, store.read())
-    allowed = plan.join(refused.select("from_rel"), "from_rel", "left_anti").select(*plan.columns)
+    refused = stored(versions.refused_moves(plan, store.read()), "refused")
+    allowed = stored(plan.join(refused.select("from_rel"), "from_rel", "left_anti").select(*plan.columns), "allowed")
     versions.apply_moves(store, lease, allowed, digest_of(allowed))
     store.release(lease)
     why = refused.select(F.col("from_rel").alias("_from"), "gate", "detail")
