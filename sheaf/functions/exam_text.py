@@ -9,8 +9,9 @@ from sheaf.functions.text import SPACE, best_score, count_of, find_all, first_ma
 
 # Patterns and word lists of the paper format.
 QUESTION_NUMBER = r"^(\d{1,3})\s*[\.．。、\)）\]］:：]\s*"
-# QUESTION_NUMBER of a line with blanks, heading marks, asterisks and backslashes about it
-LEADING_NUMBER = rf"(?U)^[{SPACE}]*(?:#{{1,6}}\s*)?(?:\*\*+)?\\*(\d(?:\\*\d){{0,2}})[\\\s]*[\.．。、\)）\]］:：]"
+# QUESTION_NUMBER of a line with blanks, heading marks, asterisks and backslashes about it, or nothing: a
+# pattern that fails at the line's start would be tried at all of its places
+LEADING_NUMBER = rf"(?U)^(?:[{SPACE}]*(?:#{{1,6}}\s*)?(?:\*\*+)?\\*(\d(?:\\*\d){{0,2}})[\\\s]*[\.．。、\)）\]］:：])?"
 RANGE_ANSWER = r"(?<![\d.])(\d{1,3})\s*[–\-~—]\s*(\d{1,3})\s*([A-DＡ-Ｄ]{2,})"
 INLINE_ANSWER = r"(?<![\d.])(\d{1,3})\s*\\?\.\s*([A-DＡ-Ｄ])(?![a-zA-Z\u4e00-\u9fff])"
 ANSWER_LETTERS = "[A-DＡ-Ｄ]{1,4}"
@@ -48,8 +49,8 @@ def _contains_any(c: Column, words: list[str]) -> Column:
 def leading_number(line: Column) -> Column:
     """The number at a line's start, whatever marks stand before it, or null. One match of the line as
     it is: only the number's own characters are rewritten."""
-    n = F.regexp_extract(line, LEADING_NUMBER, 1)
-    return F.when(n != "", half_digits(F.replace(n, F.lit("\\"), F.lit(""))).cast("int"))
+    whole = lambda n: F.when(n != "", let(F.replace(n, F.lit("\\"), F.lit("")), half_digits).cast("int"))
+    return let(F.regexp_extract(line, LEADING_NUMBER, 1), whole)
 
 
 def question_number(line: Column) -> Column:

@@ -34,11 +34,11 @@ def document_lines() -> Column:
     return F.split(F.when(has_other_ends(text), F.translate(text, ENDS, " " * len(ENDS))).otherwise(text), "\n", -1)
 
 
-def papers(spark: SparkSession, sf_dir: str, *carried: str) -> DataFrame:
+def papers(spark: SparkSession, sf_dir: str, *carried: str, keep_lines: bool = False) -> DataFrame:
     """Papers with one fault each, by source: src1 claims a number twice, src2 shows a short answer,
     src3 has no source text, src4 cites lines that are not there, src5 has an image outside of all
     spans, src6 a composite unit without a text. In French ones the first unit is missing.
-    ``carried``: source or lang, as _source and _lang."""
+    ``carried``: source or lang, as _source and _lang; ``keep_lines``: see exam.with_lines()."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", document_lines().alias("ls"))
     rows = computed(rows, {"n": F.size("ls"), "ls": F.col("ls")})
     numbered = F.transform("ls", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x))
@@ -83,11 +83,11 @@ def papers(spark: SparkSession, sf_dir: str, *carried: str) -> DataFrame:
         kept(F.transform("ls", unit)).cast(f"array<{exam.UNIT}>").alias("units"),
         *[F.col(c).alias(f"_{c}") for c in carried],
     )
-    return exam.assign_identity(rows)
+    return exam.assign_identity(rows, keep_lines)
 
 
-def annotated_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exam.annotated(papers(spark, sf_dir))
+def annotated_papers(spark: SparkSession, sf_dir: str, *carried: str) -> DataFrame:
+    return exam.annotated(papers(spark, sf_dir, *carried, keep_lines=True))
 
 
 @query(
