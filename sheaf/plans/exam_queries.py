@@ -190,10 +190,9 @@ def zone_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def contract_preflight(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consumer's contract; German papers have no basis, Spanish ones contradict their provenance."""
-    lang = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("_id"), "lang")
-    rows = annotated_papers(spark, sf_dir).join(lang, F.col("doc_id") == F.col("_id"))
-    basis, prov = F.when(F.col("lang") != "de", "unverified"), F.when(F.col("lang") == "es", "unknown").otherwise("source_line")
-    rows = rows.withColumn("units", F.transform("units", lambda u: u.withField("basis", basis).withField("printed_provenance", prov))).drop("_id", "lang")
+    rows, lang = annotated_papers(spark, sf_dir, "lang"), F.col("_lang")
+    basis, prov = F.when(~lang.eqNullSafe("de"), "unverified"), F.when(lang == "es", "unknown").otherwise("source_line")
+    rows = rows.withColumn("units", F.transform("units", lambda u: u.withField("basis", basis).withField("printed_provenance", prov))).drop("_lang")
     return audit.preflight(rows).select("doc_id", F.array_join(F.array_sort(F.array_distinct(F.transform("findings", lambda i: i["code"]))), ",").alias("codes"))
 
 
