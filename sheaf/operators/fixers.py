@@ -5,12 +5,14 @@ Each takes papers as in operators.exam (one row, lines and units as arrays) and
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.exam_text import inline_answers, question_number, range_answers, table_answers
 from sheaf.functions.text import computed, find_all, first_match, one_of, split_lines, strip
-from sheaf.operators.exam import ROLES, _at, _issue, _text, _when, covered, is_paper_line, unit_start
+from sheaf.operators.exam import LINES, ROLES, _at, _issue, _text, _when, covered, is_paper_line, text_lines, unit_start
 
 ANSWER_MARK = "【答案】"
 
@@ -54,9 +56,14 @@ def shift_numbers(papers: DataFrame) -> DataFrame:
     return rows.withColumn("units", F.transform("units", lambda u, i: u.withField("question_numbers", F.element_at("_new", i)))).drop("_new")
 
 
+def _lines_where(papers: DataFrame, some: Column) -> DataFrame:
+    """``papers`` with ``lines``, null where ``some`` does not hold: texts that need no look are not split."""
+    return computed(papers, {"lines": F.when(some, F.col(LINES) if LINES in papers.columns else text_lines(F.col("text")))})
+
+
 def trim_explanations(papers: DataFrame) -> DataFrame:
     """Explanations start at their first line that says so, if any does."""
-    rows = _text(papers)
+    rows = _lines_where(papers, F.exists("units", lambda u: u["explanation"].isNotNull()))
 
     def fixed(u: Column) -> Column:
         e = u["explanation"]
@@ -69,9 +76,10 @@ def trim_explanations(papers: DataFrame) -> DataFrame:
 
 def plain_numbered_lines(papers: DataFrame) -> DataFrame:
     """Numbered lines inside units lose their heading marks."""
-    rows = computed(_text(papers), {"_in": covered(F.col("units"))})
-    new = F.transform("lines", lambda x, i: F.when(F.array_contains(F.col("_in"), i + 1) & x.rlike(r"^#{1,6}\s*\d{1,3}\s*[.．、]"), F.regexp_replace(x, r"^#{1,6}\s*", "")).otherwise(x))
-    return rows.withColumn("text", F.array_join(new, "\n")).drop("lines", "_in")
+    marked = lambda x: F.startswith(x, F.lit("#")) & x.rlike(r"^#{1,6}\s*\d{1,3}\s*[.．、]")
+    rows = computed(_text(papers), {"_in": F.when(F.exists("lines", marked), covered(F.col("units")))})
+    new = F.transform("lines", lambda x, i: F.when(marked(x) & F.array_contains(F.col("_in"), i + 1), F.regexp_replace(x, r"^#{1,6}\s*", "")).otherwise(x))
+    return rows.withColumn("text", F.array_join(new, "\n")).drop("lines", "_in", LINES)
 
 
 def wrap_bare_latex(line: Column) -> Column:
@@ -83,7 +91,9 @@ def attach_orphan_images(papers: DataFrame, most: int = 6) -> DataFrame:
     """Image lines that no span covers join the nearest span within ``most`` lines that only
     blank lines part from them; ties go to the earlier unit. All gaps are those of the spans as
     they came in, and a span that several images join reaches over all of them."""
-    rows = computed(_text(papers), {"_in": covered(F.col("units"))})
+    some = functools.reduce(lambda a, b: a | b, (F.contains("text", F.lit(w)) for w in ("META:", "<img", "![")))  # what goes with a META comment may part a mark
+    rows = _lines_where(papers, some)
+    rows = computed(rows, {"_in": F.when(F.col("lines").isNotNull(), covered(F.col("units")))})
     lines = F.col("lines")
     orphans = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(r"<img\s|!\[[^\]]*\]\(") & ~F.array_contains(F.col("_in"), i + 1), i + 1)), lambda n: n.isNotNull())
     spans = F.flatten(F.transform("units", lambda u, i: F.array_compact(F.array(*[F.when(u[r].isNotNull(), F.struct(i.alias("u"), F.lit(k).alias("r"), u[r]["start"].alias("a"), u[r]["end"].alias("z"))) for k, r in enumerate(ROLES)]))))
@@ -96,7 +106,7 @@ def attach_orphan_images(papers: DataFrame, most: int = 6) -> DataFrame:
         best = F.array_min(F.transform(near, lambda s: F.struct(gap(s).alias("gap"), s["u"].alias("u"), s["r"].alias("r"))))
         return F.struct(n.alias("n"), best["u"].alias("u"), best["r"].alias("r"))
 
-    rows = computed(rows, {"_orphans": orphans, "_spans": spans})
+    rows = computed(rows, {"_orphans": orphans, "_spans": F.when(lines.isNotNull(), spans)})
     rows = computed(rows, {"_homes": F.transform("_orphans", home)})
 
     def mine(i: Column, k: int) -> Column:
@@ -109,7 +119,7 @@ def attach_orphan_images(papers: DataFrame, most: int = 6) -> DataFrame:
             out = out.withField(r, F.when(F.size(own) > 0, F.struct(F.least(u[r]["start"], F.array_min(own)).alias("start"), F.greatest(u[r]["end"], F.array_max(own)).alias("end"))).otherwise(u[r]))
         return out
 
-    return rows.withColumn("units", F.transform("units", fixed)).drop("lines", "_in", "_orphans", "_spans", "_homes")
+    return rows.withColumn("units", F.when(F.size("_homes") > 0, F.transform("units", fixed)).otherwise(F.col("units"))).drop("lines", "_in", "_orphans", "_spans", "_homes")
 
 
 # Phrases that stand for an answer, whole answers that are none, marks of parts.

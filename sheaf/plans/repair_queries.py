@@ -42,7 +42,7 @@ def fix_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _upgrade(rows: DataFrame) -> DataFrame:
-    out = fixers.shift_numbers(fixers.attach_orphan_images(rows)).withColumn("numbers", F.transform("units", lambda u: u["question_numbers"]))
+    out = fixers.shift_numbers(fixers.attach_orphan_images(exam.with_lines(rows))).withColumn("numbers", F.transform("units", lambda u: u["question_numbers"]))
     return exam.with_quality(exam.annotated(out.withColumn("identity_version", F.lit(2))))
 
 
