@@ -12,13 +12,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sheaf.functions.text import computed
 from sheaf.operators.guarded import row_text
 from sheaf.sources.stages import stored
 
 Fix = Callable[[DataFrame], DataFrame]
-OWN = ("_digest", "rounds", "steps", "settled")
+OWN = ("rounds", "steps", "settled")
 
 
 def digest(columns: list[str]) -> Column:
@@ -26,14 +26,34 @@ def digest(columns: list[str]) -> Column:
     return F.sha2(row_text(columns), 256)
 
 
+def _unordered(kind: T.DataType) -> bool:
+    """Whether Spark cannot compare values of a type: maps, variants and what holds them."""
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    return any(_unordered(f.dataType) for f in kind.fields) if isinstance(kind, T.StructType) else isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _same(rows: DataFrame, columns: list[str], before: str) -> Column:
+    """Whether all ``columns`` are what the struct ``before`` holds. Fields are compared, not digested: a
+    fixer leaves most as they are."""
+    text = lambda c: F.to_json(F.struct(c.alias("v")))
+    out = F.lit(True)
+    for c in columns:
+        a, b = F.col(f"`{c}`"), F.col(f"{before}.`{c}`")
+        out = out & (text(a).eqNullSafe(text(b)) if _unordered(rows.schema[c].dataType) else a.eqNullSafe(b))
+    return out
+
+
 def _round(rows: DataFrame, columns: list[str], fixers: dict[str, Fix]) -> DataFrame:
-    """One pass of all fixers. ``steps`` gains those that changed the row, ``settled`` tells that none did."""
-    out = rows.withColumn("_before", F.col("_digest"))
-    for name, fix in fixers.items():
-        out = computed(fix(out), {"_now": digest(columns)})
-        moved = F.col("_now") != F.col("_digest")
-        out = out.withColumns({"steps": F.when(moved, F.array_union("steps", F.array(F.lit(name)))).otherwise(F.col("steps")), "_digest": F.col("_now")}).drop("_now")
-    return out.withColumns({"rounds": F.col("rounds") + 1, "settled": F.col("_digest") == F.col("_before")}).drop("_before")
+    """One pass of all fixers. ``steps`` gains those that changed the row, ``settled`` tells that it is what it was."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    out = rows.withColumn("_first", whole)
+    for k, (name, fix) in enumerate(fixers.items()):
+        before = "_last" if k else "_first"
+        out = fix(out.withColumn("_last", whole) if k else out)
+        moved = ~_same(out, columns, before)
+        out = out.withColumn("steps", F.when(moved, F.array_union("steps", F.array(F.lit(name)))).otherwise(F.col("steps"))).drop("_last")
+    return out.withColumns({"rounds": F.col("rounds") + 1, "settled": _same(out, columns, "_first")}).drop("_first")
 
 
 def fixpoint(rows: DataFrame, fixers: dict[str, Fix], most: int = 10) -> DataFrame:
@@ -46,7 +66,7 @@ def fixpoint(rows: DataFrame, fixers: dict[str, Fix], most: int = 10) -> DataFra
     shared folder, so a round that is lost starts from the one before.
     """
     columns = [c for c in rows.columns if c not in OWN]
-    moving = rows.select(*columns).withColumns({"rounds": F.lit(0), "steps": F.array().cast("array<string>"), "settled": F.lit(False), "_digest": digest(columns)})
+    moving = rows.select(*columns).withColumns({"rounds": F.lit(0), "steps": F.array().cast("array<string>"), "settled": F.lit(False)})
     parts = []
     for i in range(most):
         done = stored(_round(moving, columns, fixers), "chain")
@@ -57,7 +77,7 @@ def fixpoint(rows: DataFrame, fixers: dict[str, Fix], most: int = 10) -> DataFra
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.drop("_digest")
+    return out
 
 
 def unsettled(rows: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def fix_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     german = F.coalesce(F.col("_lang") == "de", F.lit(False))
     rows = papers(spark, sf_dir, "lang").withColumn("text", F.when(german, F.regexp_replace("text", r"(?m)^(?=\d+\. )", "### ")).otherwise(F.col("text")))
     fixed = chain.fixpoint(rows.drop("_lang"), CHAIN)
-    done = exam.with_quality(exam.annotated(fixed))
+    done = exam.with_quality(exam.annotated(exam.with_lines(fixed)))
     return done.select("doc_id", F.array_join("steps", ",").alias("steps"), "rounds", "settled", F.array_join(F.transform("issues", lambda i: i["code"]), ",").alias("codes"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sheaf.functions import exam_text as X
 from sheaf.functions import similarity
 from sheaf.functions import text as T
-from sheaf.operators import audit, isolation
+from sheaf.operators import audit, chain, isolation
 from sheaf.operators import copies as C
 from sheaf.operators import exam as E
 from sheaf.plans import catalog, repair_queries
@@ -133,3 +133,39 @@ def test_moves_read_texts_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(repair_queries, "stored", lambda df, name: seen.append((name, "sha2(" in plan(df))) or real(df, name))
     catalog.queries()["applied_moves"](spark, str(tmp_path)).collect()
     assert [n for n, texts in seen if texts] == ["digests"]
+
+
+def test_rules_take_lines_and_leave_the_rest_alone(spark):
+    p = paper()
+    rows = E.assign_identity(frame(spark, p), keep_lines=True)
+    split = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("META:[^>]*")
+    assert split(E.with_facts(E.annotated(rows))) < split(E.with_facts(E.annotated(E.assign_identity(frame(spark, p)))))
+    assert E.LINES not in E.with_quality(E.annotated(rows)).columns
+    assert "regexp" not in str(T.has_other_ends(F.col("t"))).lower() and "rlike" not in str(T.has_other_ends(F.col("t"))).lower()
+    line = str(X.leading_number(F.col("t")))
+    assert line.count("regexp_extract") == 1  # not once for each use of the number
+
+
+@pytest.mark.parametrize("end", ["\r", " ", "\r\n"])
+def test_other_line_ends_in_annotated_texts(spark, end):
+    lines, mark = ["a", "b"], "<!-- META:stem:start:Q1 -->"
+    texts = [f"a\n{mark}\nb", f"a{end}{mark}{end}b", f"a\n<!-- META:x{end} -->\nb", f"a\nb{end}", f"a\nb{end}c", "a\nb\n", "a\nb\n\n", ""]
+    df = spark.createDataFrame([(t, lines) for t in texts], "t string, ls array<string>")
+    got = df.select("t", E.differs(F.col("t"), E.annotated_facts(F.col("t")), F.col("ls")).alias("d")).collect()
+    for t, d in got:
+        assert d == ([x for x in t.splitlines() if not re.match(r"\s*<!--\s*META:", x)] != lines), repr(t)
+
+
+def test_preflight_does_not_join_papers_with_their_table(spark):
+    text = plan(catalog.queries()["contract_preflight"](spark, "/root/testdata/sf0.001"))
+    assert "Join" not in text and "Exchange" not in text
+
+
+def test_rounds_of_a_chain_compare_fields(spark):
+    rows = spark.createDataFrame([("a", 1, {"k": 1}), ("b", None, None)], "x string, n int, m map<string,int>")
+    fixers = {"none": lambda d: d, "up": lambda d: d.withColumn("n", F.when(F.col("n") < 3, F.col("n") + 1).otherwise(F.col("n"))), "map": lambda d: d.withColumn("m", F.create_map(F.lit("k"), F.lit(2)))}
+    assert "sha2(" not in plan(chain._round(rows.withColumns({"rounds": F.lit(0), "steps": F.array().cast("array<string>"), "settled": F.lit(False)}), rows.columns, fixers))
+    got = {r["x"]: (r["n"], r["m"], r["rounds"], r["steps"], r["settled"]) for r in chain.fixpoint(rows, fixers).collect()}
+    assert got == {"a": (3, {"k": 2}, 3, ["up", "map"], True), "b": (None, {"k": 2}, 2, ["map"], True)}
+    undone = {"up": lambda d: d.withColumn("n", F.col("n") + 1), "down": lambda d: d.withColumn("n", F.col("n") - 1)}
+    assert {r["x"]: (r["n"], r["rounds"], r["steps"], r["settled"]) for r in chain.fixpoint(rows, undone).collect()} == {"a": (1, 1, ["up", "down"], True), "b": (None, 1, [], True)}
