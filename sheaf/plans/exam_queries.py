@@ -73,15 +73,20 @@ def papers(spark: SparkSession, sf_dir: str, *carried: str, keep_lines: bool = F
         return F.concat(F.lit(a + "\n"), x, F.lit("\n" + b + c + "\n"), said, F.lit("\n" + d))
 
     kept = lambda c: F.slice(c, F.col("cut").cast("int") + 1, F.col("n"))
+    text = F.array_join(lines, "\n")
+    # where none of them has a comment or an end, they are the text's lines, which are not split again
+    whole = F.coalesce(~F.exists(lines, lambda x: F.contains(x, F.lit("META:"))) & ~has_other_ends(F.concat("source", "lang")) & ~F.contains(F.concat("source", "lang"), F.lit("\n")), F.lit(False))
+    own = {exam.LINES: F.when(~of("src3"), F.when(whole, lines).otherwise(exam.text_lines(text)))} if keep_lines else {}
     rows = rows.select(
         F.col("doc_id").cast("string").alias("doc_id"),
-        F.when(~of("src3"), F.array_join(lines, "\n")).alias("text"),
+        F.when(~of("src3"), text).alias("text"),
         F.array_join(kept(F.transform("q", shown)), "\n").alias("rendered"),
         F.lit(None).cast("string").alias("annotated"),
         F.lit("p.md").alias("source_file"),
         F.lit(1).alias("identity_version"),
         kept(F.transform("ls", unit)).cast(f"array<{exam.UNIT}>").alias("units"),
         *[F.col(c).alias(f"_{c}") for c in carried],
+        *[c.alias(k) for k, c in own.items()],
     )
     return exam.assign_identity(rows, keep_lines)
 
